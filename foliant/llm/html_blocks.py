@@ -144,22 +144,34 @@ LABELLED = (
     '<nav><a href="/q">Index</a></nav><div class="ad">A short offer.</div><article><h1>§Rain</h1><p>§It rained.<p>§For days the gutters ran over, and nobody went out but the postman.<p>§Yes.</article><footer>Imprint of the house. Printed on the hill.</footer>',
     '<table><tr><td><a href="/m1">Menu one</a></td><td><a href="/m2">Menu two</a></td></tr></table><div><p>§This long report on harvests tells of a dry spring, a wet summer and a late autumn, and of what the farmers made of it.</p><p>§Wheat did worst of all crops in the valley, maize did best on the upper fields.</p></div><div><a href="/p">Previous</a> <a href="/n">Next</a></div><p>Powered by a small program</p>',
     '<div class="banner">Sale ends today for all members of the club.</div><div class="newsletter"><p>Leave your address to hear from us once a month, no more often.</p></div><main><p>§Owls hear better than they see, though their eyes are large and open wide.</p><aside class="promo"><p>Get the bird book with many pictures for a small price.</p></aside><p>§They turn their heads.</p><footer>Filed under birds by the desk.</footer></main>',
+    "<article><h1>§Only this</h1><p>§A page may hold its article and nothing else at all.</p><p>§No.</p><p>§Then all of it is text.</p></article>",
+    "<div>Welcome to the site of our town, dear reader.</div><p>Offices are closed on Friday.</p><article><h1>§A well</h1><p>§Workers found an old well under the square, and it still holds water.</p><p>§It is deep.</p></article><div><p>More from our desk can be found among the stories of past years.</p></div><p>Call us.</p>",
+    "<div><h2>Our house</h2><p>We have made papers since the year the town was founded.</p></div><main><p>§Snow fell on the pass, and drivers had to put on chains.</p><h2>§Later</h2><p>§The road was open at ten.</p></main><div><h3>Weather</h3><p>Cold and dry for the rest of the week.</p></div><p>Thank you for your visit to these pages.</p>",
+    "<main><p>§Fog.</p><p>§It came at night and stayed until noon, and boats lay still.</p></main>",
+    '<article><p>§Links <a href="/l">may stand in a line of an article</a> and be most of it.</p><p><a href="/e">Read on elsewhere in full</a></p><ul><li>§a list of things</li><li>§and one more</li></ul><form><p>Tell us what you think of this page.</p></form></article>',
     '<div class="content"><h1>§Notes from a garden</h1><p>§Beans climb, peas cling, and pumpkins run along the ground as far as they are let.</p><p>§Water in the evening.</p></div><div class="footer"><p>Legal notice and contact of this site are found here.</p></div><div role="navigation"><ul><li><a href="/k">Kitchen</a></li><li>Plants</li></ul></div>',
 )
 
 
+#: How often each labelled page enters the table, its blocks' texts repeated a varying number of times.
+VARIANTS = 24
+
+
 def labelled_table() -> tuple[np.ndarray, np.ndarray]:
-    """FEATURES and labels of the blocks of LABELLED."""
+    """FEATURES and labels of the blocks of LABELLED; lengths are varied so that the tree does not learn those of the few pages."""
+    random = np.random.Generator(np.random.PCG64(3))
     rows, labels = [], []
     for page in LABELLED:
-        main = [text.startswith("§") for text, _ in blocks(page)]
-        plain = blocks(page.replace("§", ""))
-        rows += [f for _, f in plain]
-        labels += main
+        for variant in range(VARIANTS):
+            times = lambda m: ">" + (m[1] + (" " + m[1].replace("§", "")) * (int(random.integers(0, 12)) if variant else 0)) + "<"  # noqa: E731, B023
+            own = re.sub(r">([^<>]+)<", times, page)
+            main = [text.startswith("§") for text, _ in blocks(own)]
+            rows += [f for _, f in blocks(own.replace("§", ""))]
+            labels += main
     return np.array(rows, np.float64), np.array(labels, np.int64)
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 1) -> tuple:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 6) -> tuple:
     """A decision tree: ("leaf", share of main) or (feature, bound, tree where value <= bound, tree above)."""
     share = float(y.mean())
     if depth == 0 or share in (0.0, 1.0):

@@ -110,19 +110,25 @@ def _present(model_features: np.ndarray, data: np.ndarray, offsets: np.ndarray)
 
 def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """(doc_id, text, toxic) of at most ``max_rows`` labelled texts of each class."""
-    marked = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marked = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     few = [marked.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows) for c in (0, 1)]
     chosen = few[0].unionByName(few[1])
-    texts = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))  # at most 2 * max_rows rows
-    key = F.array_min(F.transform(_grams("text"), lambda g: F.xxhash64(g)))
-    # among texts that share their least shingle, the first stays
-    first = texts.select("doc_id", "toxic", F.coalesce(key, F.xxhash64(F.coalesce("text", F.lit("")))).alias("key")).groupBy("key", "toxic").agg(F.min("doc_id").alias("doc_id"))
-    return cut(texts.join(F.broadcast(first.select("doc_id").distinct()), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    texts = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id"))  # at most 2 * max_rows rows
 
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.zeros(batch.num_rows, np.uint64)
+            for start, end, data, offsets in _bytes.chunks(batch.column(2)):
+                low, starts, ends, before = _bytes.words(data, offsets)
+                row, hashes = _bytes.shingles(_bytes.span_hashes(low, starts, ends), before, 5)
+                least = np.full(end - start, np.iinfo(np.uint64).max, np.uint64)
+                np.minimum.at(least, row, hashes)
+                keys[start:end] = least
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys.view(np.int64))], ["doc_id", "toxic", "key"])
 
-def _grams(text: str):
-    word = F.split(F.lower(F.col(text)), "\\s+")
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(word) - 4, F.lit(1))), lambda i: F.array_join(F.slice(word, i, 5), " "))
+    # among texts that share their least shingle, the first stays
+    first = texts.select("doc_id", "toxic", "text").mapInArrow(keyed, "doc_id long, toxic int, key long").groupBy("key", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    return cut(texts.join(F.broadcast(first.select("doc_id").distinct()), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
 
 def train(chosen: DataFrame, n_features: int = FEATURES, ridge: float = 1.0, counterfactual: float = 10.0, groups=IDENTITY_TERMS, prior: float | None = None) -> Model:
