@@ -1,15 +1,15 @@
 """From buckets of candidates to verified links and connected components.
 
-``link`` finds links inside buckets without ever forming all pairs of one. In
-each round every bucket has one leader and every other member is compared with
-it. Members like enough are linked to the leader, so they are connected and
-need no comparison among themselves. Dissimilarity (1 - Jaccard, also on
-multisets) is a metric, so a member m near the leader can only be like a
-member f that missed it if d(f, leader) <= d(m, leader) + (1 - threshold).
-Members that missed go to the next round, together with just those near ones.
-A tight group of any size therefore takes one comparison a member, and no link
-that could connect two components is lost inside a bucket. All steps are joins
-and aggregates with partial sums, which Spark splits if a bucket is hot.
+``link`` finds the components inside buckets without forming all pairs of one.
+Every bucket first has one leader, and each other member is compared with it
+alone: a group of any size takes one comparison a member and bucket. Buckets
+whose members are all in one component after that are done, for more links
+would change nothing. Where several components meet in a bucket, members of
+different ones are compared: directly in buckets of few members, else with
+LEADERS further leaders a round, who leave the bucket afterwards. A bucket ends
+when each pair of different components was compared, so no link that connects
+two components is lost. All steps are joins and aggregates with partial sums,
+which Spark splits if a bucket is hot.
 
 ``components`` is a distributed union-find: alternating large-star and
 small-star contractions until every node points at the least one.
@@ -24,44 +24,46 @@ from pyspark.sql import functions as F
 
 from ._spark import cut
 
-#: Buckets that still have so few members after the first round are finished by direct comparison.
-SMALL = 32
+#: Buckets of so few members are finished by direct comparison.
+SMALL = 128
+LEADERS = 32
 
 
 def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
-    """Verified links (a, b, sim), a < b.
+    """(id, root) of all ids that have a link: components over verified links.
 
-    members: (bucket long, id long), distinct. verify: takes distinct (a, b) and
-    returns (a, b, sim) for each of them.
+    members: (bucket long, id long), distinct. verify: takes distinct (a, b),
+    a < b, and returns (a, b, sim) for each of them.
     """
-    members = members.select("bucket", "id", F.lit(True).alias("missed"))
-    found: DataFrame | None = None
-    first = True
+    # four orders of the ids, so that a group has leaders of its own in different buckets
+    members = members.select("bucket", "id", F.xxhash64("id", F.pmod("bucket", F.lit(4))).alias("by"))
+    lead = members.groupBy("bucket").agg(F.min(F.struct("by", "id")).alias("lead"), F.count("*").alias("n")).filter("n > 1").select("bucket", F.col("lead.id").alias("lead"))
+    tries = members.join(lead, "bucket").filter("id != lead")
+    found = cut(verify(_pairs(tries)).select("a", "b", "sim"))
+    roots = cut(components(found.filter(F.col("sim") >= threshold)))
+    members = members.join(lead, "bucket").filter("id != lead").drop("lead")
     while True:
-        stats = members.groupBy("bucket").agg(F.min(F.when(F.col("missed"), F.col("id"))).alias("lead"), F.count("*").alias("n")).filter("n > 1 and lead is not null")
-        near = members.join(stats, "bucket")
-        if first:
-            tries = near.filter("id != lead").select("bucket", "id", "missed", "lead", F.lit(False).alias("small"))
-        else:
-            few = near.filter(F.col("n") <= SMALL).select("bucket", "id", "missed")
-            other = few.select("bucket", F.col("id").alias("lead"), F.col("missed").alias("other_missed"))
-            direct = few.join(other, "bucket").filter("id > lead and (missed or other_missed)").select("bucket", "id", "missed", "lead", F.lit(True).alias("small"))
-            tries = near.filter((F.col("n") > SMALL) & (F.col("id") != F.col("lead"))).select("bucket", "id", "missed", "lead", F.lit(False).alias("small")).unionByName(direct)
-        tries = cut(tries.withColumns({"a": F.least("id", "lead"), "b": F.greatest("id", "lead")}))
-        pairs = tries.select("a", "b").distinct()
-        if found is not None:
-            pairs = pairs.join(found, ["a", "b"], "left_anti")
-        fresh = cut(verify(pairs).select("a", "b", "sim"))
-        found = fresh if found is None else cut(found.unionByName(fresh))
-        judged = tries.filter("not small").join(found, ["a", "b"])
-        missed = judged.filter((F.col("sim") < threshold) & F.col("missed"))
-        edge = missed.groupBy("bucket").agg(F.max("sim").alias("nearest"))
-        # d(m) >= d(f) - (1 - threshold)  <=>  sim(m) <= nearest sim of a missed one + (1 - threshold)
-        border = judged.filter(f"sim >= {threshold} or not missed").join(edge, "bucket").filter(F.col("sim") <= F.col("nearest") + (1 - threshold) + 1e-9)
-        members = cut(missed.select("bucket", "id", F.lit(True).alias("missed")).unionByName(border.select("bucket", "id", F.lit(False).alias("missed"))))
-        first = False
+        placed = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter("lo != hi").select("bucket", "n")
+        placed = cut(placed.join(mixed, "bucket"))
+        if placed.isEmpty():
+            return roots
+        few = placed.filter(F.col("n") <= SMALL)
+        direct = few.join(few.select("bucket", F.col("id").alias("lead"), F.col("root").alias("lead_root")), "bucket").filter("id > lead and root != lead_root").select("id", "lead")
+        many = placed.filter(F.col("n") > SMALL)
+        lead = many.groupBy("bucket", F.pmod("by", F.lit(LEADERS))).agg(F.min(F.struct("by", "id", "root")).alias("l")).select("bucket", F.col("l.id").alias("lead"), F.col("l.root").alias("lead_root"))
+        tries = many.join(lead, "bucket").filter("id != lead and root != lead_root").select("id", "lead").unionByName(direct)
+        fresh = cut(verify(_pairs(tries).join(found, ["a", "b"], "left_anti")).select("a", "b", "sim"))
+        found = found.unionByName(fresh)
+        if not fresh.filter(F.col("sim") >= threshold).isEmpty():
+            roots = cut(components(found.filter(F.col("sim") >= threshold)))
+        members = cut(many.join(lead.select("bucket", F.col("lead").alias("id")), ["bucket", "id"], "left_anti").select("bucket", "id", "by"))
         if members.isEmpty():
-            return found.filter(F.col("sim") >= threshold)
+            return roots
+
+
+def _pairs(tries: DataFrame) -> DataFrame:
+    return tries.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

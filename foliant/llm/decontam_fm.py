@@ -279,7 +279,7 @@ def without_spans(text, spans):
     cuts = F.concat(F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))), spans)
     stop = lambda i: F.when(i + 1 < F.size(cuts), F.element_at(cuts, F.least(i + 2, F.size(cuts)))["start"]).otherwise(F.char_length(text).cast("long"))
     pieces = F.transform(cuts, lambda c, i: F.substr(text, (c["end"] + 1).cast("int"), (stop(i) - c["end"]).cast("int")))
-    return F.array_join(pieces, "")
+    return F.when(text.isNotNull(), F.array_join(pieces, ""))
 
 
 def is_contaminated():
