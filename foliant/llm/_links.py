@@ -19,29 +19,61 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import _bytes
 from ._spark import cut
 
 #: Buckets of so few members are finished by direct comparison.
-SMALL = 128
-LEADERS = 32
+SMALL = 32
+LEADERS = 8
 
+#: Four bits of each register stand in a sketch.
+SKETCH_BITS = 4
 
-def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+
+def sketch(registers: np.ndarray) -> np.ndarray:
+    """Rows of uint64 registers as rows of int64 words of SKETCH_BITS bits a register.
+
+    Equal registers agree in all their bits, others in half of them, so the
+    share of equal bits is (1 + s) / 2 for texts of similarity s.
+    """
+    bits = (_bytes.mix(registers)[:, :, None] >> np.arange(SKETCH_BITS, dtype=np.uint64)) & np.uint64(1)
+    flat = bits.reshape(len(registers), -1).astype(np.uint8)
+    flat = np.pad(flat, ((0, 0), (0, -flat.shape[1] % 64)))
+    return np.packbits(flat, axis=1, bitorder="little").view(np.int64)
+
+
+def _near(a: str, b: str, bits: int, threshold: float):
+    """Whether two sketches leave room for the threshold: five standard deviations below what it would give."""
+    from math import sqrt
+
+    registers = bits / SKETCH_BITS
+    least = (1 + threshold) / 2 - 5 * (sqrt(threshold * (1 - threshold) / registers) / 2 + sqrt((1 - threshold) * 0.25 / bits) / 2)
+    differing = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
+    return differing <= int(bits * (1 - least))
+
+
+def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float, bits: int = 0) -> DataFrame:
     """(id, root) of all ids that have a link: components over verified links.
 
-    members: (bucket long, id long), distinct. verify: takes distinct (a, b),
+    members: (bucket long, id long), distinct, with bits also (sketch
+    array<long>, comparable inside a bucket); pairs whose sketches of ``bits``
+    bits differ too much are not verified. verify: takes distinct (a, b),
     a < b, and returns (a, b, sim) for each of them.
     """
+    if not bits:
+        members = members.withColumn("sketch", F.array().cast("array<long>"))
+    near = lambda: _near("sketch", "lead_sketch", bits, threshold) if bits else F.lit(True)
     # four orders of the ids, so that a group has leaders of its own in different buckets
-    members = members.select("bucket", "id", F.xxhash64("id", F.pmod("bucket", F.lit(4))).alias("by"))
-    lead = members.groupBy("bucket").agg(F.min(F.struct("by", "id")).alias("lead"), F.count("*").alias("n")).filter("n > 1").select("bucket", F.col("lead.id").alias("lead"))
-    tries = members.join(lead, "bucket").filter("id != lead")
-    found = cut(verify(_pairs(tries)).select("a", "b", "sim"))
+    members = members.select("bucket", "id", F.xxhash64("id", F.pmod("bucket", F.lit(4))).alias("by"), "sketch")
+    lead = members.groupBy("bucket").agg(F.min(F.struct("by", "id", "sketch")).alias("lead"), F.count("*").alias("n")).filter("n > 1").select("bucket", F.col("lead.id").alias("lead"), F.col("lead.sketch").alias("lead_sketch"))
+    led = members.join(lead, "bucket").filter("id != lead")
+    found = cut(verify(_pairs(led.filter(near()))).select("a", "b", "sim"))
     roots = cut(components(found.filter(F.col("sim") >= threshold)))
-    members = members.join(lead, "bucket").filter("id != lead").drop("lead")
+    members = led.drop("lead", "lead_sketch")
     while True:
         placed = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
         mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter("lo != hi").select("bucket", "n")
@@ -49,15 +81,17 @@ def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold
         if placed.isEmpty():
             return roots
         few = placed.filter(F.col("n") <= SMALL)
-        direct = few.join(few.select("bucket", F.col("id").alias("lead"), F.col("root").alias("lead_root")), "bucket").filter("id > lead and root != lead_root").select("id", "lead")
+        other = few.select("bucket", F.col("id").alias("lead"), F.col("root").alias("lead_root"), F.col("sketch").alias("lead_sketch"))
+        direct = few.join(other, (few["bucket"] == other["bucket"]) & (F.col("id") > F.col("lead")) & (F.col("root") != F.col("lead_root")) & near()).select("id", "lead")
         many = placed.filter(F.col("n") > SMALL)
-        lead = many.groupBy("bucket", F.pmod("by", F.lit(LEADERS))).agg(F.min(F.struct("by", "id", "root")).alias("l")).select("bucket", F.col("l.id").alias("lead"), F.col("l.root").alias("lead_root"))
-        tries = many.join(lead, "bucket").filter("id != lead and root != lead_root").select("id", "lead").unionByName(direct)
-        fresh = cut(verify(_pairs(tries).join(found, ["a", "b"], "left_anti")).select("a", "b", "sim"))
+        lead = many.groupBy("bucket", F.pmod("by", F.lit(LEADERS))).agg(F.min(F.struct("by", "id", "root", "sketch")).alias("l"))
+        lead = lead.select("bucket", F.col("l.id").alias("lead"), F.col("l.root").alias("lead_root"), F.col("l.sketch").alias("lead_sketch"))
+        by_lead = many.join(lead, (many["bucket"] == lead["bucket"]) & (F.col("id") != F.col("lead")) & (F.col("root") != F.col("lead_root")) & near()).select("id", "lead")
+        fresh = cut(verify(_pairs(by_lead.unionByName(direct)).join(found, ["a", "b"], "left_anti")).select("a", "b", "sim"))
         found = found.unionByName(fresh)
         if not fresh.filter(F.col("sim") >= threshold).isEmpty():
             roots = cut(components(found.filter(F.col("sim") >= threshold)))
-        members = cut(many.join(lead.select("bucket", F.col("lead").alias("id")), ["bucket", "id"], "left_anti").select("bucket", "id", "by"))
+        members = cut(many.join(lead.select("bucket", F.col("lead").alias("id")), ["bucket", "id"], "left_anti").select("bucket", "id", "by", "sketch"))
         if members.isEmpty():
             return roots
 
