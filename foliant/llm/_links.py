@@ -27,8 +27,8 @@ from . import _bytes
 from ._spark import cut
 
 #: Buckets of so few members are finished by direct comparison.
-SMALL = 32
-LEADERS = 8
+SMALL = 256
+LEADERS = 32
 
 #: Four bits of each register stand in a sketch.
 SKETCH_BITS = 4
