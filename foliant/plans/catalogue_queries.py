@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from foliant.functions import parsing as P
 from foliant.functions import similarity as S
 from foliant.functions import text as T
+from foliant.operators import build
 from foliant.operators import catalogue as C
 from foliant.operators import entities as E
 from foliant.operators import folds, layout, search
@@ -342,6 +343,73 @@ def volume_names(spark, sf_dir):
     return rows.select("path", "v.number", "v.display", P.volume_of(F.col("path")).alias("vol"))
 
 
+
+def _citations(spark, sf_dir) -> DataFrame:
+    item, supplier, part = _t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "supplier"), _t(spark, sf_dir, "part")
+    rows = item.join(supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey")).join(part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    return rows.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("position"), (F.col("l_orderkey") % 102 + 1).cast("int").alias("idea_number"), F.col("l_linenumber").cast("string").alias("topic_label"), F.col("l_suppkey").cast("int").alias("author_number"),
+        F.regexp_replace("s_name", "[^A-Za-z]", "").alias("author"), F.col("p_name").alias("work"), F.col("l_quantity").cast("int").cast("string").alias("page_start"), F.col("l_quantity").cast("int").cast("string").alias("page_end"), F.when(F.col("l_orderkey") % 2 == 0, F.col("p_name")).otherwise("").alias("cited"),
+    )
+
+
+@_register("""
+WITH c AS (SELECT l_orderkey * 10 + l_linenumber AS position, (l_orderkey % 102 + 1)::INT AS idea_number, l_linenumber::VARCHAR AS topic_label, l_suppkey::INT AS author_number, lower(p_name) AS tn, p_name AS work, s_nationkey AS volume_id, (l_quantity::INT)::VARCHAR AS page_start
+  FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey WHERE s_suppkey % 10 <> 3),
+a AS (SELECT author_number, row_number() OVER (ORDER BY min(position), author_number) AS author_id FROM c GROUP BY 1),
+w AS (SELECT volume_id, tn, row_number() OVER (ORDER BY min(position), volume_id, tn) AS work_id FROM c GROUP BY 1, 2)
+SELECT position, idea_number, topic_label, author_id, work_id, page_start, page_start AS page_end, work AS ref_text FROM c JOIN a USING (author_number) JOIN w USING (volume_id, tn) WHERE topic_label::INT <= 5""")
+def build_references(spark, sf_dir):
+    supplier = _t(spark, sf_dir, "supplier")
+    volume_of = supplier.filter("s_suppkey % 10 <> 3").select(F.col("s_suppkey").cast("int").alias("author_number"), F.col("s_nationkey").alias("volume_id"))
+    topics = spark.range(1, 103).select(F.col("id").cast("int").alias("idea_number"), F.explode(F.array(*[F.lit(str(k)) for k in range(1, 6)])).alias("label"))
+    return build.build_references(_citations(spark, sf_dir), volume_of, topics)["references"]
+
+
+@_register("""
+WITH n AS (SELECT n_nationkey AS volume_id, unnest([n_name, 'Anonymous ' || chr(65 + n_regionkey)]) AS name, unnest([0, 1]) AS nth FROM nation),
+a AS (SELECT volume_id, name, row_number() OVER (ORDER BY volume_id, nth) AS id FROM n)
+SELECT id AS author_id, id AS work_id FROM a""")
+def volume_index(spark, sf_dir):
+    display = F.concat("n_name", F.lit(", Anonymous "), F.chr(65 + F.col("n_regionkey")))
+    rows = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("number"), display.alias("display"), F.lit("x.txt").alias("path"))
+    return build.index_volumes(rows)["authorships"]
+
+
+@_register("""
+WITH r AS (SELECT n_regionkey + 1 AS topic_id, n_nationkey, n_name, row_number() OVER (ORDER BY n_regionkey, n_nationkey) AS id FROM nation)
+SELECT id, topic_id::INT AS topic_id, id AS subtopic_id, 1 AS author_id, id AS work_id, 'PLATO' AS author, 7 AS volume, (n_nationkey + 1) || 'a' AS page_start, (n_nationkey + 2) || 'b' AS page_end FROM r""")
+def csv_star_schema(spark, sf_dir):
+    from pyspark.sql import Window
+
+    k = F.col("n_nationkey")
+    line = F.concat(F.lit("7 PLATO: Work "), F.chr(65 + k), F.lit(", "), (k + 1).cast("string"), F.lit("a-"), (k + 2).cast("string"), F.lit("b"))
+    rows = _t(spark, sf_dir, "nation").select(
+        (F.col("n_regionkey") + 1).cast("int").alias("number"), F.lit("TOPIC").alias("name"), F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")).alias("ord"), k.cast("string").alias("code"), F.col("n_name").alias("description"), F.array(line).alias("refs")
+    )
+    return build.star_schema(rows)["reference"].select("id", "topic_id", "subtopic_id", "author_id", "work_id", "author", "volume", "page_start", "page_end")
+
+
+@_register("""
+SELECT s_suppkey AS vol, (length(s_name) + 25)::INT AS start, CASE WHEN s_suppkey % 2 = 0 THEN 'own' ELSE 'spare ' || s_suppkey END AS outline FROM supplier""")
+def chapter_repair(spark, sf_dir):
+    """The start of an introduction found backward, and an empty outline from a second source."""
+    supplier = _t(spark, sf_dir, "supplier")
+    text = F.concat("s_name", F.lit(" ANGEL INTRODUCTION old\n\nx ANGEL words\nINTRODUCTION prose"))
+    rows = supplier.select(F.col("s_suppkey").alias("vol"), F.when(F.col("s_suppkey") % 2 == 0, "own").otherwise("").alias("outline"), build.intro_start(text, F.lit("ANGEL"), F.lit(0), F.length(text)).alias("start"))
+    spare = supplier.select(F.col("s_suppkey").alias("vol"), F.concat(F.lit("spare "), F.col("s_suppkey").cast("string")).alias("outline"))
+    return build.with_fallback(rows, spare, "vol", "outline").select("vol", "start", "outline")
+
+
+@_register(r"""
+WITH p AS (SELECT o_orderkey AS page, 'Chapter ' || (o_orderkey % 102 + 1) || ': NAME ' || chr((65 + o_orderkey % 26)::INT) || 'X' AS t FROM orders WHERE o_orderkey % 3 = 0)
+SELECT regexp_extract(t, 'Chapter ([0-9]+)', 1)::INT AS number, arg_max(regexp_extract(t, ': (.*)', 1), page) AS name, max(page) AS page FROM p GROUP BY 1""")
+def chapter_map(spark, sf_dir):
+    k = F.col("o_orderkey")
+    text = F.when(k % 3 == 0, F.concat(F.lit("Chapter "), (k % 102 + 1).cast("string"), F.lit(": NAME "), F.chr(65 + k % 26), F.lit("X"))).otherwise("prose")
+    return build.chapter_map(_t(spark, sf_dir, "orders").select(k.alias("page"), text.alias("text")), "page")
+
+
 # Lines and cleaning.
 
 _LINES_SQL = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1)::INT AS line_no FROM documents"
