@@ -38,6 +38,7 @@ CHAIN = 2
 THRESHOLD = 0.8
 #: Keys sampled a bucket to find the splits.
 SAMPLED = 40
+MOST_SAMPLED = 1_000_000
 
 #: Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -156,7 +157,9 @@ def compare_next(docs: DataFrame, chain: int = CHAIN, buckets: int | None = None
     buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64(text).alias("h")).alias("key"))
-    sampled = rows.select("key", F.xxhash64("key", F.monotonically_increasing_id()).alias("by")).orderBy("by").limit(SAMPLED * buckets).select("key.*").collect()
+    # about SAMPLED keys a bucket, at most MOST_SAMPLED in all, chosen by their hash
+    share = min(1.0, min(SAMPLED * buckets, MOST_SAMPLED) / max(docs.count(), 1))
+    sampled = rows.select("key").filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30))).select("key.*").collect()
     sampled = sorted((r["d"], r["h"]) for r in sampled)
     splits = sorted({sampled[k * len(sampled) // buckets] for k in range(1, buckets)} if sampled else set())
     rows = rows.withColumn("bucket", _bucket(F.col("key"), splits).cast("int"))
