@@ -22,7 +22,7 @@ def index_volumes(volumes: DataFrame) -> dict[str, DataFrame]:
     authors = get_or_create_authors(split, "name", "volume_id", "at")
     works = get_or_create_works(split, "volume_id", "name", "at")
     return {
-        "volumes": listed.select("number", F.col("display").alias("display_name"), F.array_join("names", ", ").alias("authors"), F.lit("").alias("works"), F.col("path").alias("txt_path"), F.col("number").isin(2, 3).alias("is_syntopicon")),
+        "volumes": listed.select("number", F.col("display").alias("display_name"), F.array_join("names", ", ").alias("authors"), F.lit("").alias("works"), F.col("path").alias("txt_path"), F.col("number").isin(2, 3).alias("is_index")),
         "authors": authors,
         "works": works,
         "authorships": _authorships(split, authors, works),
