@@ -41,7 +41,7 @@ def sketch(registers: np.ndarray) -> np.ndarray:
     share of equal bits is (1 + s) / 2 for texts of similarity s.
     """
     bits = (_bytes.mix(registers)[:, :, None] >> np.arange(SKETCH_BITS, dtype=np.uint64)) & np.uint64(1)
-    flat = bits.reshape(len(registers), -1).astype(np.uint8)
+    flat = bits.reshape(len(registers), registers.shape[1] * SKETCH_BITS).astype(np.uint8)
     flat = np.pad(flat, ((0, 0), (0, -flat.shape[1] % 64)))
     return np.packbits(flat, axis=1, bitorder="little").view(np.int64)
 
