@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 from .text import squeeze, strip
 
-#: A page reference: up to four digits and a column letter, perhaps a range.
-PAGE_REF = r"\b([0-9]{1,4}[a-d])(?:\s*[-—–]\s*([0-9]{1,4}[a-d]))?\b"
+
+
+def page_ref(digits: int) -> str:
+    """The pattern of a page reference: so many digits at most and a column letter, perhaps a range."""
+    return rf"\b([0-9]{{1,{digits}}}[a-d])(?:\s*[-—–]\s*([0-9]{{1,{digits}}}[a-d]))?\b"
+
+
+#: Page references of books.
+PAGE_REF = page_ref(4)
 TOPIC = r"^\s*([0-9]{1,3})\s*([a-zA-Z^/]?)\s*[.,]\s+([A-Z][^\n]{3,})$"
 CITATION = r"^\s*([0-9]{1,3})\s+([A-Z][A-Za-z'\- ]{1,40}?)\s*[:.]\s*(.*)$"
 CHAPTER = r"(?i)^\s*Chapter\s*([ivxlcdm0-9S]{1,5})\s*[.:]\s*([A-Z][A-Z0-9 &/().\-]{2,}?)\s*(?:INTRODUCTION.*|OUTLINE.*|\[.*|[0-9]+)?$"
@@ -55,11 +62,11 @@ def label_number(label: Column) -> Column:
     return F.coalesce(F.regexp_extract(label, "^([0-9]+)", 1).try_cast("int"), F.lit(0))
 
 
-def page_refs(text: Column) -> Column:
+def page_refs(text: Column, pattern: str = PAGE_REF) -> Column:
     """array<struct<start, end>>: all page references; a single page is its own end."""
-    found = F.regexp_extract_all(text, F.lit(PAGE_REF), F.lit(0))
-    start = lambda x: F.regexp_extract(x, PAGE_REF, 1)
-    return F.transform(found, lambda x: F.struct(start(x).alias("start"), F.coalesce(or_null(F.regexp_extract(x, PAGE_REF, 2)), start(x)).alias("end")))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    start = lambda x: F.regexp_extract(x, pattern, 1)
+    return F.transform(found, lambda x: F.struct(start(x).alias("start"), F.coalesce(or_null(F.regexp_extract(x, pattern, 2)), start(x)).alias("end")))
 
 
 def marker(text: Column) -> Column:
@@ -72,19 +79,19 @@ def _rtrim(text: Column, marks: str) -> Column:
     return F.regexp_replace(text, f"[{marks}]+$", "")
 
 
-def work_title(raw: Column) -> Column:
+def work_title(raw: Column, pattern: str = PAGE_REF) -> Column:
     """The title of a work without the parts of it that a reference names; "" if nothing is left that could be one."""
     s = F.regexp_replace(raw, "^[^A-Za-z]+", "")
     cut = r"(?i)^(.*?),\s*\b(?:%s)\b.*$" % "|".join(PARTS_OF_WORKS)
     s = F.when(s.rlike(cut), _rtrim(strip(F.regexp_extract(s, cut, 1)), ",")).otherwise(s)
-    page = rf"^(.*?){PAGE_REF}.*$"
+    page = rf"^(.*?){pattern}.*$"
     s = F.when(s.rlike(page), _rtrim(strip(F.regexp_extract(s, page, 1)), ",")).otherwise(s)
     s = _rtrim(squeeze(s), ",.;:")
     fragment = s.rlike(r"^[IVXivx]+\s*[\[0-9]") | s.rlike(r"^[IVXivx]+\s+\S{0,4}$") | s.rlike("^[IVXivx]+$")
     return F.when(fragment | (F.length(s) < 2), "").otherwise(s)
 
 
-def reference_chunks(rest: Column) -> Column:
+def reference_chunks(rest: Column, pattern: str = PAGE_REF) -> Column:
     """array<struct<work, start, end>> of the body of a reference.
 
     "/" parts works, ";" parts page ranges of one work. A part that begins with
@@ -93,17 +100,17 @@ def reference_chunks(rest: Column) -> Column:
     flat = F.regexp_replace(F.regexp_replace(rest, "[—–]", "-"), r"(?i)\b(passim|esp)\b", "")
     trimmed = lambda x: _rtrim(strip(x), ",;.")
     works = F.filter(F.transform(F.split(flat, "/"), trimmed), lambda x: x != "")
-    head = lambda x: F.when(x.rlike(PAGE_REF), strip(F.regexp_extract(x, rf"(?s)^(.*?){PAGE_REF}", 1))).otherwise(x)
+    head = lambda x: F.when(x.rlike(pattern), strip(F.regexp_extract(x, rf"(?s)^(.*?){pattern}", 1))).otherwise(x)
     none = F.lit(None).cast("string")
 
     def ranges(x: Column) -> Column:
-        body = F.substr(x, F.regexp_instr(x, F.lit(PAGE_REF)))
+        body = F.substr(x, F.regexp_instr(x, F.lit(pattern)))
         name = F.when(head(x) == "", SAME_WORK).otherwise(head(x))
         parts = F.filter(F.transform(F.split(body, ";"), trimmed), lambda y: y != "")
-        first = lambda y: F.element_at(page_refs(y), 1)
-        has = lambda y: F.size(page_refs(y)) > 0
+        first = lambda y: F.element_at(page_refs(y, pattern), 1)
+        has = lambda y: F.size(page_refs(y, pattern)) > 0
         split = F.transform(parts, lambda y: F.struct(name.alias("work"), F.when(has(y), first(y)["start"]).alias("start"), F.when(has(y), first(y)["end"]).alias("end")))
-        return F.when(x.rlike(PAGE_REF), split).otherwise(F.array(F.struct(x.alias("work"), none.alias("start"), none.alias("end"))))
+        return F.when(x.rlike(pattern), split).otherwise(F.array(F.struct(x.alias("work"), none.alias("start"), none.alias("end"))))
 
     return F.flatten(F.transform(works, ranges))
 

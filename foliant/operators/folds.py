@@ -68,16 +68,17 @@ def topics(lines: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*keys, "label", "title", parsing.parent_label(F.col("label")).alias("parent_label"), "line_no")
 
 
-_CITATION, _PAGES, _CONTINUED = re.compile(parsing.CITATION), re.compile(parsing.PAGE_REF), re.compile(CONTINUED)
+_CITATION, _CONTINUED = re.compile(parsing.CITATION), re.compile(CONTINUED)
 
 
-def citations(lines: DataFrame, keys: list[str], repeat_absorbed: bool = True) -> DataFrame:
+def citations(lines: DataFrame, keys: list[str], repeat_absorbed: bool = True, pages: str = parsing.PAGE_REF) -> DataFrame:
     """(keys, topic_label, author_number, author, work_raw, page_start, page_end, line_no, cited).
 
     The i-th topic line of the references takes the i-th outline label. A
     citation whose text has no page yet absorbs the lines below it up to one
     that has. Lines with pages but no author continue the last citation.
     repeat_absorbed: absorbed lines are looked at once more as continuations.
+    pages: the pattern of page references.
     """
     from pyspark.sql import Window
 
@@ -99,11 +100,11 @@ def citations(lines: DataFrame, keys: list[str], repeat_absorbed: bool = True) -
                 author = (int(heads[i][1]), heads[i][2].strip().rstrip(".'`\""))
                 rest = heads[i][3].strip()
                 for k in count(i + 1):
-                    if _PAGES.search(rest) or k >= len(rows) or rows[k].is_topic or heads[k]:
+                    if re.search(pages, rest) or k >= len(rows) or rows[k].is_topic or heads[k]:
                         break
                     rest, skip = f"{rest} {rows[k].line}".strip(), k
                 out.append((r.line_no, r.label, *author, rest, r.line, False))
-            elif author and isinstance(r.label, str) and _PAGES.search(r.line) and (repeat_absorbed or i > skip):
+            elif author and isinstance(r.label, str) and re.search(pages, r.line) and (repeat_absorbed or i > skip):
                 out.append((r.line_no, r.label, *author, r.line, r.line, bool(_CONTINUED.match(r.line))))
         found = pd.DataFrame(out, columns=["line_no", "topic_label", "author_number", "author", "rest", "cited", "inherits"])
         for k in keys:
@@ -114,7 +115,7 @@ def citations(lines: DataFrame, keys: list[str], repeat_absorbed: bool = True) -
     schema = f"line_no int, topic_label string, author_number int, author string, rest string, cited string, inherits boolean, {kinds}"
     cited = parts.groupBy(*keys).applyInPandas(folded, schema)
     # chunks without a work of their own, and continued parts, take the last work named for the same author in the topic
-    chunks = cited.select("*", F.posexplode(parsing.reference_chunks(F.col("rest"))).alias("chunk", "c"))
+    chunks = cited.select("*", F.posexplode(parsing.reference_chunks(F.col("rest"), pages)).alias("chunk", "c"))
     own = F.when((F.col("c.work") != parsing.SAME_WORK) & ~(F.col("inherits") & (F.col("chunk") >= 0)), F.col("c.work"))
     run = Window.partitionBy(*keys, "topic_label").orderBy("line_no", "chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     named = chunks.withColumn("work_raw", F.last(own, ignorenulls=True).over(run))

@@ -610,9 +610,11 @@ r AS (SELECT vol, number, unnest(['1', '1', '2', '2a']) AS topic_label, unnest([
   unnest([vol || 'c', '457a', '500a', vol || 'a']) AS page_start, unnest(['453b', '457a', '501b', vol || 'a']) AS page_end FROM c)
 SELECT * FROM r""")
 def citation_fold(spark, sf_dir):
-    rows = G.chapter_lines(G.lines(_volumes(spark, sf_dir).filter("vol < 10000"), "vol"), "vol")
-    found = folds.citations(rows, ["vol", "number"], repeat_absorbed=False)
-    return found.select("vol", "number", "topic_label", "author_number", "author", P.work_title(F.col("work_raw")).alias("work"), "page_start", "page_end")
+    # a supplier's number is a page number here, of up to the digits of a long
+    pages = P.page_ref(19)
+    rows = G.chapter_lines(G.lines(_volumes(spark, sf_dir), "vol"), "vol")
+    found = folds.citations(rows, ["vol", "number"], repeat_absorbed=False, pages=pages)
+    return found.select("vol", "number", "topic_label", "author_number", "author", P.work_title(F.col("work_raw"), pages).alias("work"), "page_start", "page_end")
 
 
 @_register("""
