@@ -668,11 +668,11 @@ def chapter_files(spark, sf_dir):
 # Layout.
 
 
-def _blocks(spark, sf_dir) -> DataFrame:
-    """Line items as blocks of pages: four a page by line number."""
+def _blocks(spark, sf_dir, where: str = "l_linenumber <= 4") -> DataFrame:
+    """Line items as blocks of pages by line number: four a page, as in _BLOCKS_SQL, if not told otherwise."""
     n = F.col("l_linenumber")
     left = F.when(n % 2 == 1, 40.0).otherwise(320.0)
-    return _t(spark, sf_dir, "lineitem").filter("l_linenumber <= 4").select(
+    return _t(spark, sf_dir, "lineitem").filter(where).select(
         (F.col("l_orderkey") % 100).alias("doc"), F.col("l_orderkey").cast("int").alias("page"), F.lit(600.0).alias("width"), F.lit(800.0).alias("height"),
         left.alias("x0"), (n * 150.0).alias("y0"), F.when(F.col("l_quantity") > 45, 590.0).otherwise(left + 240).alias("x1"), (n * 150.0 + 90).alias("y1"),
         F.concat(F.lit("block "), F.col("l_partkey").cast("string")).alias("text"), F.lit(0).alias("btype"),
@@ -709,7 +709,7 @@ def formatted_pages(spark, sf_dir):
 
 @_register()
 def block_paragraphs(spark, sf_dir):
-    rows = layout.reading_order(_blocks(spark, sf_dir), ["doc"]).withColumn("margin", F.when(F.col("col") == 0, 40.0).otherwise(310.0))
+    rows = layout.reading_order(_blocks(spark, sf_dir, "true"), ["doc"]).withColumn("margin", F.when(F.col("col") == 0, 40.0).otherwise(310.0))
     return folds.block_paragraphs(rows, ["doc"])
 
 

@@ -18,3 +18,8 @@ def test_citation_fold_takes_every_supplier(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW supplier AS SELECT * FROM '{tmp_path}/supplier.parquet'")
     assert rows(found) == rows(con.execute(ORACLE_SQL["citation_fold"]).df())
+
+
+def test_block_paragraphs_takes_every_line_item(spark):
+    found = QUERIES["block_paragraphs"](spark, SF).toPandas()
+    assert sum(t.count("block ") for t in found["text"]) == pq.read_metadata(f"{SF}/lineitem.parquet").num_rows
