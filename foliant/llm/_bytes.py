@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: Row numbers inside a chunk take 12 bits of a sort key.
 CHUNK_ROWS = 1 << 12
 
@@ -19,6 +19,11 @@ _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+#: The second modulus, a prime. A polynomial modulo 2^64 alone has known collisions (the Thue-Morse word and its complement).
+_P = (1 << 31) - 1
+_Q = 1_103_515_247
+_BYTE_P = (_BYTE >> np.uint64(29)) % np.uint64(_P)
+
 #: A-Z to a-z, all other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -31,17 +36,28 @@ WORD[48:58] = WORD[97:123] = WORD[128:] = True
 SPACED = np.ones(256, dtype=bool)
 SPACED[[0x20, *range(0x09, 0x0E)]] = False
 
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_powers: list[np.ndarray] = [np.ones(1, np.uint64)] * 4
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _power(n: int) -> list[np.ndarray]:
+    """The powers of both bases and of their inverses, n of each."""
     if len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES)
+        size = max(n, 1 << 18)
         for at, base in ((0, _B), (1, _B_INV)):
             p = np.full(size, base, np.uint64)
             p[0] = 1
             _powers[at] = np.multiply.accumulate(p)
-    return _powers[0], _powers[1]
+        for at, base in ((2, _Q), (3, pow(_Q, -1, _P))):
+            p = np.ones(1, np.uint64)
+            while len(p) < size:
+                p = np.concatenate([p, p * np.uint64(pow(base, len(p), _P)) % np.uint64(_P)])
+            _powers[at] = p[:size]
+    return _powers
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Congruent modulo _P and below 2^34."""
+    return (x & np.uint64(_P)) + (x >> np.uint64(31))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -96,13 +112,16 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD) -> tup
 
 
 def span_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span."""
+    """A 64-bit hash of each byte span, of its length and its polynomials by two moduli."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    power, inverse = _power(len(low) + 1)
+    power, inverse, power_p, inverse_p = _power(len(low) + 1)
     total = np.zeros(len(low) + 1, np.uint64)
     np.cumsum(_BYTE[low] * power[: len(low)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts])
+    out = mix((total[ends] - total[starts]) * inverse[starts])
+    np.cumsum(_fold(_BYTE_P[low] * power_p[: len(low)]), out=total[1:])
+    second = _fold(total[ends] - total[starts]) % np.uint64(_P) * inverse_p[starts] % np.uint64(_P)
+    return mix(out ^ (second << np.uint64(32) | (ends - starts).astype(np.uint64)))
 
 
 def shingles(hashes: np.ndarray, before: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,15 +1,24 @@
 """From buckets of candidates to verified links and connected components.
 
 ``link`` finds the components inside buckets without forming all pairs of one.
-Every bucket first has one leader, and each other member is compared with it
-alone: a group of any size takes one comparison a member and bucket. Buckets
-whose members are all in one component after that are done, for more links
-would change nothing. Where several components meet in a bucket, members of
-different ones are compared: directly in buckets of few members, else with
-LEADERS further leaders a round, who leave the bucket afterwards. A bucket ends
-when each pair of different components was compared, so no link that connects
-two components is lost. All steps are joins and aggregates with partial sums,
-which Spark splits if a bucket is hot.
+It goes through three passes, each over what the last left open:
+
+1. every member of a bucket is compared with the bucket's leader;
+2. in buckets that still hold several components, members of different ones are
+   compared with each other, but in buckets of more than TINY members with
+   LEADERS of them only;
+3. those larger buckets are finished, all members of different components
+   compared, in groups of at most SMALL. Larger buckets are split before the
+   second pass by SPLITS further band keys of their members, again and again
+   until they are small, so a member meets a bounded number of others in each.
+   What agrees in more than half of the bands is left to the first two passes.
+
+A pair is verified only if its bitmaps allow the threshold. A bitmap has, for
+each of its bits, the parity of the elements that fall on it; two bitmaps differ
+in no more bits than their sets have elements of their own, so this test never
+loses a link. The first pass uses short ones, the others, over fewer rows, long
+ones, which tell pairs just below the threshold from links. All steps are joins and aggregates with partial sums, which Spark
+splits if a bucket is hot.
 
 ``components`` is a distributed union-find: alternating large-star and
 small-star contractions until every node points at the least one.
@@ -17,104 +26,256 @@ small-star contractions until every node points at the least one.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _bytes
-from ._spark import cut
+from ._spark import cut, release, tidy
+
+LEADERS = 8
+#: A bucket of more members is split before its members are compared with each other.
+SMALL = 2048
+SPLITS = 2
+MOST_SPLITS = 8
+#: In buckets of so few members all are compared at once.
+TINY = 32
+#: 64-bit words of the bitmaps of the first pass and of the others; the first divides the second.
+COARSE, FINE = 4, 32
+
+
+def bitmaps(row: np.ndarray, element: np.ndarray, count: np.ndarray, rows: int, words: int = FINE) -> np.ndarray:
+    """rows x words of int64: per bit the parity of a row's elements on it; an element of count 3 is three elements.
+
+    row, element, count: distinct elements.
+    """
+    extra = np.repeat(np.arange(len(count)), count - 1)
+    copy = np.arange(len(extra)) - np.repeat(np.cumsum(count - 1) - (count - 1), count - 1) + 1
+    bit = np.concatenate([element, _bytes.mix(element[extra] + copy.astype(np.uint64))]) % np.uint64(64 * words)
+    place = np.concatenate([row, row[extra]]) * (64 * words) + bit.astype(np.int64)
+    odd = (np.bincount(place, minlength=rows * 64 * words) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(rows, words)
+
+
+def folded(maps: np.ndarray) -> np.ndarray:
+    """Long bitmaps as short ones."""
+    return np.bitwise_xor.reduce(maps.reshape(len(maps), maps.shape[1] // COARSE, COARSE), axis=1)
 
-#: Buckets of so few members are finished by direct comparison.
-SMALL = 256
-LEADERS = 32
 
-#: Four bits of each register stand in a sketch.
-SKETCH_BITS = 4
+def lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, rows.shape[1]), pa.int32()), pa.array(rows.reshape(-1)))
 
 
-def sketch(registers: np.ndarray) -> np.ndarray:
-    """Rows of uint64 registers as rows of int64 words of SKETCH_BITS bits a register.
+def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
+    """rows x bands of uint64 from rows x registers."""
+    parts = signature.reshape(len(signature), bands, -1)
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), parts.shape[:2]).copy()
+    for k in range(parts.shape[2]):
+        key = _bytes.mix(key * np.uint64(0x9E3779B97F4A7C15) ^ parts[:, :, k].astype(np.uint64))
+    return key
 
-    Equal registers agree in all their bits, others in half of them, so the
-    share of equal bits is (1 + s) / 2 for texts of similarity s.
+
+def verifier(texts: DataFrame, bags: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Callable[[DataFrame], DataFrame]:
+    """For ``link``: the exact overlap of the texts (id, text) of pairs (a, b), sum of smaller counts over sum of larger ones.
+
+    bags: (row, element, count), sorted, of the texts in a run of bytes.
     """
-    bits = (_bytes.mix(registers)[:, :, None] >> np.arange(SKETCH_BITS, dtype=np.uint64)) & np.uint64(1)
-    flat = bits.reshape(len(registers), registers.shape[1] * SKETCH_BITS).astype(np.uint8)
-    flat = np.pad(flat, ((0, 0), (0, -flat.shape[1] % 64)))
-    return np.packbits(flat, axis=1, bitorder="little").view(np.int64)
 
+    def verify(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+
+        @tidy
+        def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sims = [np.zeros(0)]
+                for start, end, data, offsets in _bytes.chunks(batch.column(2)):
+                    for more, stop, other, bounds in _bytes.chunks(batch.column(3).slice(start, end - start)):
+                        # the left texts of just these pairs
+                        lo, hi = offsets[more], offsets[stop]
+                        sims.append(overlaps(bags(data[lo:hi], offsets[more : stop + 1] - lo), bags(other, bounds), stop - more))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(sims))], ["a", "b", "sim"])
+
+        return both.select("a", "b", "ta", "tb").mapInArrow(compared, "a long, b long, sim double")
 
-def _near(a: str, b: str, bits: int, threshold: float):
-    """Whether two sketches leave room for the threshold: five standard deviations below what it would give."""
-    from math import sqrt
+    return verify
 
-    registers = bits / SKETCH_BITS
-    least = (1 + threshold) / 2 - 5 * (sqrt(threshold * (1 - threshold) / registers) / 2 + sqrt((1 - threshold) * 0.25 / bits) / 2)
-    differing = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
-    return differing <= int(bits * (1 - least))
 
+def overlaps(a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray, np.ndarray], rows: int) -> np.ndarray:
+    """The overlap of the multisets of each row, 1 for two empty ones; elements of 52 bits."""
+    total = np.bincount(a[0], a[2], rows) + np.bincount(b[0], b[2], rows)
+    key, other = ((x[0].astype(np.uint64) << np.uint64(52)) | x[1] for x in (a, b))
+    shared = np.zeros(rows)
+    if len(key) and len(other):
+        at = np.minimum(np.searchsorted(other, key), len(other) - 1)
+        same = other[at] == key
+        shared = np.bincount(a[0][same], np.minimum(a[2][same], b[2][at[same]]), rows)
+    return np.where(total > 0, shared / np.maximum(total - shared, 1), 1.0)
 
-def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float, bits: int = 0) -> DataFrame:
+
+def _may_link(threshold: float, words: int, a: str, b: str) -> Column:
+    """Whether sets of n elements with these bitmaps can reach the threshold; columns {a}n, {a}map and {b}n, {b}map."""
+    na, nb = F.col(f"{a}n"), F.col(f"{b}n")
+    apart = sum((F.bit_count(F.col(f"{a}map")[i].bitwiseXOR(F.col(f"{b}map")[i])) for i in range(words)), F.lit(0))
+    # a hair of room for rounding
+    return (F.least(na, nb) >= F.greatest(na, nb) * (threshold - 1e-9)) & (apart <= (na + nb) * ((1 - threshold) / (1 + threshold) + 1e-9))
+
+
+def link(members: DataFrame, known: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
     """(id, root) of all ids that have a link: components over verified links.
 
-    members: (bucket long, id long), distinct, with bits also (sketch
-    array<long>, comparable inside a bucket); pairs whose sketches of ``bits``
-    bits differ too much are not verified. verify: takes distinct (a, b),
-    a < b, and returns (a, b, sim) for each of them.
+    members: (bucket long, id long), distinct. known: (id, n int, map
+    array<long>, fine array<long>, keys array<long>), the number of elements of
+    each id, its short and its long bitmap and its band keys, its buckets among
+    them. verify: takes distinct (a, b), a < b, and returns (a, b, sim) for each
+    of them.
     """
-    if not bits:
-        members = members.withColumn("sketch", F.array().cast("array<long>"))
-    near = lambda: _near("sketch", "lead_sketch", bits, threshold) if bits else F.lit(True)
-    # four orders of the ids, so that a group has leaders of its own in different buckets
-    members = members.select("bucket", "id", F.xxhash64("id", F.pmod("bucket", F.lit(4))).alias("by"), "sketch")
-    lead = members.groupBy("bucket").agg(F.min(F.struct("by", "id", "sketch")).alias("lead"), F.count("*").alias("n")).filter("n > 1").select("bucket", F.col("lead.id").alias("lead"), F.col("lead.sketch").alias("lead_sketch"))
-    led = members.join(lead, "bucket").filter("id != lead")
-    found = cut(verify(_pairs(led.filter(near()))).select("a", "b", "sim"))
-    roots = cut(components(found.filter(F.col("sim") >= threshold)))
-    members = led.drop("lead", "lead_sketch")
-    while True:
-        placed = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter("lo != hi").select("bucket", "n")
-        placed = cut(placed.join(mixed, "bucket"))
-        if placed.isEmpty():
-            return roots
-        few = placed.filter(F.col("n") <= SMALL)
-        other = few.select("bucket", F.col("id").alias("lead"), F.col("root").alias("lead_root"), F.col("sketch").alias("lead_sketch"))
-        direct = few.join(other, (few["bucket"] == other["bucket"]) & (F.col("id") > F.col("lead")) & (F.col("root") != F.col("lead_root")) & near()).select("id", "lead")
-        many = placed.filter(F.col("n") > SMALL)
-        lead = many.groupBy("bucket", F.pmod("by", F.lit(LEADERS))).agg(F.min(F.struct("by", "id", "root", "sketch")).alias("l"))
-        lead = lead.select("bucket", F.col("l.id").alias("lead"), F.col("l.root").alias("lead_root"), F.col("l.sketch").alias("lead_sketch"))
-        by_lead = many.join(lead, (many["bucket"] == lead["bucket"]) & (F.col("id") != F.col("lead")) & (F.col("root") != F.col("lead_root")) & near()).select("id", "lead")
-        fresh = cut(verify(_pairs(by_lead.unionByName(direct)).join(found, ["a", "b"], "left_anti")).select("a", "b", "sim"))
-        found = found.unionByName(fresh)
-        if not fresh.filter(F.col("sim") >= threshold).isEmpty():
-            roots = cut(components(found.filter(F.col("sim") >= threshold)))
-        members = cut(many.join(lead.select("bucket", F.col("lead").alias("id")), ["bucket", "id"], "left_anti").select("bucket", "id", "by", "sketch"))
-        if members.isEmpty():
-            return roots
+    lead = members.groupBy("bucket").agg(F.min("id").alias("o_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
+    pairs = _pairs(members.join(lead, "bucket").filter("id != o_id"))
+    for side in ("a", "b"):
+        pairs = pairs.join(known.select(F.col("id").alias(side), F.col("n").alias(f"{side}_n"), F.col("map").alias(f"{side}_map")), side)
+    roots = _joined(None, verify(pairs.filter(_may_link(threshold, COARSE, "a_", "b_")).select("a", "b")), threshold)
+
+    # what is left: buckets with several components
+    left = cut(_mixed(members, roots).join(known.select("id", "n", F.col("fine").alias("map")), "id").select("bucket", "id", "n", "root", "map", "rows"))
+    small, large, depth = left.filter(F.col("rows") <= SMALL), left.filter(F.col("rows") > SMALL), 0
+    tables = [left]
+    while depth < MOST_SPLITS and not large.isEmpty():
+        depth += 1
+        split = large.drop("rows").join(known.select("id", "keys"), "id")
+        if depth == 1:
+            split = split.withColumn("band", (F.array_position("keys", F.col("bucket")) - 1).cast("int"))
+        split = split.withColumn("step", F.explode(F.array(*[F.lit(k + 1) for k in range(SPLITS)]))).withColumn("band", F.pmod(F.col("band") + F.col("step"), F.size("keys")))
+        split = split.withColumn("bucket", F.xxhash64("bucket", F.col("keys")[F.col("band")])).drop("keys", "step")
+        of = split.groupBy("bucket").agg(F.count("*").alias("rows"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("bucket", "rows")
+        split = cut(split.join(of, "bucket"))
+        tables.append(split)
+        small = small.unionByName(split.filter(F.col("rows") <= SMALL).select(*small.columns))
+        large = split.filter(F.col("rows") > SMALL)
+
+    def tried(rows: DataFrame, leaders: int | None, roots: DataFrame) -> DataFrame:
+        tries = rows.select("bucket", "id", "n", "root", "map").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_across(threshold, leaders), "id long, o_id long")
+        out = _joined(roots, verify(_pairs(tries)), threshold)
+        release(roots)
+        return out
+
+    roots = tried(small, LEADERS, roots)
+    rest = small.filter(F.col("rows") > TINY).select("bucket", "id", "n", "map")
+    if not rest.isEmpty():
+        roots = tried(_mixed(rest, roots), None, roots)
+    release(*tables)
+    return roots
+
+
+def _across(threshold: float, leaders: int | None):
+    """For sorted runs of (bucket, id, n, root, map): the pairs (id, o_id) of a bucket that differ in root and may reach the threshold.
+
+    leaders: how many members of a run of more than TINY the others are compared with; None for all.
+    """
+    share = (1 - threshold) / (1 + threshold) + 1e-9
+
+    def may(n, root, maps, i, j):
+        """Of the index pairs (i, j)."""
+        a, b = n[i], n[j]
+        open_ = np.flatnonzero((root[i] != root[j]) & (np.minimum(a, b) >= np.maximum(a, b) * (threshold - 1e-9)))
+        i, j = i[open_], j[open_]
+        found = []
+        for at in range(0, len(i), 1 << 14):
+            x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+            apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int64)
+            near = apart <= (n[x] + n[y]) * share
+            found.append((x[near], y[near]))
+        return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 2
+
+    def pairs(bucket, ids, n, root, maps) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        size = np.diff(np.append(at, len(bucket)))
+        left = np.repeat(at + size, size) - np.arange(len(bucket))
+        few = np.repeat(size <= TINY, size)
+        for d in range(1, min(int(size.max(initial=0)), TINY)):
+            i = np.flatnonzero(few & (left > d))
+            yield may(n, root, maps, i, i + d)
+        order = _bytes.mix(ids.view(np.uint64) ^ bucket.view(np.uint64))
+        for k in np.flatnonzero(size > TINY).tolist():
+            run = at[k] + np.argsort(order[at[k] : at[k] + size[k]], kind="stable")
+            for i in range(len(run) - 1 if leaders is None else min(leaders, len(run) - 1)):
+                yield may(n, root, maps, np.full(len(run) - 1 - i, run[i]), run[i + 1 :])
+
+    @tidy
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in _then_none(batches):
+            if batch is not None:
+                own = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)] + [batch.column(4).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(batch.num_rows, FINE)]
+                held = own if held is None else [np.concatenate(x) for x in zip(held, own, strict=True)]
+                # the last bucket may go on in the next batch
+                end = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+            else:
+                end = len(held[0]) if held else 0
+            if not end:
+                continue
+            done, held = [x[:end] for x in held], [x[end:] for x in held]
+            for i, j in pairs(*done):
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(done[1][i]), pa.array(done[1][j])], ["id", "o_id"])
+
+    return across
+
+
+def _then_none(items: Iterator) -> Iterator:
+    yield from items
+    yield None
 
 
 def _pairs(tries: DataFrame) -> DataFrame:
-    return tries.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+    return tries.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
+
+
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` of buckets in which several components meet, with root and the bucket's number of rows."""
+    placed = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    of = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("rows")).filter("lo != hi").select("bucket", "rows")
+    return placed.join(of, "bucket")
+
+
+def _joined(roots: DataFrame | None, verified: DataFrame, threshold: float) -> DataFrame:
+    """(id, root) after the links are added to the components so far."""
+    links = verified.filter(F.col("sim") >= threshold).select("a", "b")
+    if roots is None:
+        return components(links)
+    named = links
+    for side in ("a", "b"):
+        own = roots.select(F.col("id").alias(side), F.col("root").alias(f"{side}_root"))
+        named = named.join(own, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
+    merged = components(named.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+    moved = roots.join(merged.select(F.col("id").alias("root"), F.col("root").alias("new")), "root", "left").select("id", F.coalesce("new", "root").alias("root"))
+    # roots that were single ids before
+    single = merged.join(roots.select("id"), "id", "left_anti")
+    out = cut(moved.unionByName(single))
+    release(merged)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, root) of every node of the links (a, b): root is the least id of its component."""
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
-    before = None
     while True:
+        # done when every node points at one other that points at none
+        ends = edges.groupBy("u").agg(F.count("*").alias("out")).select(F.col("u").alias("id"), "out").unionByName(edges.select(F.col("v").alias("id")).distinct().withColumn("out", F.lit(1).cast("long")))
+        if ends.groupBy("id").agg(F.sum("out").alias("out")).filter("out > 1").isEmpty():
+            break
         # large star: every greater neighbour of u moves to the least of u and its neighbours
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
         # small star: u's lesser neighbours and u move to the least of them
         lesser = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(lesser, "u")
-        edges = cut(hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lesser.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if before == state:
-            roots = edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-            return roots.unionByName(roots.select("root").distinct().select(F.col("root").alias("id"), "root"))
-        before = state
+        edges, old = cut(hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lesser.select("u", F.col("m").alias("v"))).filter("u != v").distinct()), edges
+        release(old)
+    roots = edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
+    out = cut(roots.unionByName(roots.select("root").distinct().select(F.col("root").alias("id"), "root")))
+    release(edges)
+    return out

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import _bytes
-from ._spark import folder
+from ._spark import folder, tidy
 
 #: Marks a key that one task saw with several values.
 SEVERAL = np.uint32(0xFFFFFFFF)
@@ -123,6 +123,7 @@ def _stored(rows: DataFrame, parts: int, only_shared: bool) -> KeyFiles:
     """Blob rows merged and stored; only_shared: just the keys that come with different values."""
     path = folder(rows.sparkSession, "keys")
 
+    @tidy
     def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, keys, values in ranges(batches):
             if only_shared:
@@ -149,6 +150,7 @@ def key_files(rows: DataFrame, parts: int | None = None) -> KeyFiles:
     """The distinct (key long, value int from 0) rows."""
     parts = _parts(rows, parts)
 
+    @tidy
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
         for batch in batches:
@@ -167,6 +169,7 @@ def shared_keys(rows: DataFrame, parts: int | None = None) -> KeyFiles:
     """The keys that stand in the lists of two different ids; rows: (id long, keys array<long>)."""
     parts = _parts(rows, parts)
 
+    @tidy
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
         for batch in batches:
@@ -195,22 +198,23 @@ def flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def members(rows: DataFrame, keys: KeyFiles) -> DataFrame:
-    """(bucket, id, sketch) of the keys in ``keys``; rows: (id long, keys array<long>, sketch array<long>)."""
+    """(bucket, id) of the keys in ``keys``; rows: (id long, keys array<long>)."""
 
+    @tidy
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, row = flat(batch.column(1))
             use = keys.holds(key)
-            place = pa.array(row[use])
-            yield pa.RecordBatch.from_arrays([pa.array(key[use]), batch.column(0).take(place), batch.column(2).take(place)], ["bucket", "id", "sketch"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[use]), batch.column(0).take(pa.array(row[use]))], ["bucket", "id"])
 
-    return rows.mapInArrow(kept, "bucket long, id long, sketch array<long>")
+    return rows.mapInArrow(kept, "bucket long, id long")
 
 
 def where_held(rows: DataFrame, column: str, keys: KeyFiles) -> DataFrame:
     """``rows`` whose ``column`` (long) is in ``keys``, filtered where they lie."""
     at = rows.columns.index(column)
 
+    @tidy
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(keys.holds(batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64))))

@@ -25,7 +25,7 @@ def shingles(text, width=5):
     return Counter(tuple(w[k : k + width]) for k in range(max(len(w) - width + 1, 1 if w else 0)))
 
 
-def char_shingles(line, width=9):
+def char_shingles(line, width=5):
     line = lower(line)
     return Counter({line[k : k + width] for k in range(max(len(line) - width + 1, 1))})
 

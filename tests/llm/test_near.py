@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foliant.llm import _bytes, _links, bagminhash, line_dedup, spotsigs
 
@@ -45,26 +46,98 @@ def test_registers_agree_as_often_as_the_weighted_jaccard_similarity_says():
     assert abs((signed[0] == signed[1]).mean() - plain.jaccard(a, b)) < 0.03
 
 
-def test_links_lose_no_component_in_a_bucket(spark):
-    # points on a line: like if closer than 0.2; one bucket of all, chains included
-    rng = random.Random(8)
-    at = {i: rng.random() * 3 for i in range(150)}
-    members = spark.createDataFrame([(0, i) for i in at] + [(1, i) for i in range(40)], "bucket long, id long")
-    place = spark.createDataFrame(list(at.items()), "id long, x double")
+def runs(spark, starts, buckets):
+    """What ``link`` takes, for sets of 90 consecutive numbers: alike (0.8) if they start at most 10 apart."""
+    bags = [(np.zeros(90, np.int64), _bytes.mix(np.arange(x, x + 90, dtype=np.uint64)), np.ones(90, np.int64)) for x in starts]
+    fine = [_links.bitmaps(*bag, 1) for bag in bags]
+    short = [_links.folded(f)[0].tolist() for f in fine]
+    members = spark.createDataFrame([(k, i) for k, ids in buckets.items() for i in ids], "bucket long, id long")
+    known = spark.createDataFrame([(i, 90, short[i], fine[i][0].tolist(), list(buckets)) for i in range(len(starts))], "id long, n int, map array<long>, fine array<long>, keys array<long>")
+    place = spark.createDataFrame(list(enumerate(starts)), "id long, x long")
 
     def verify(pairs):
         both = pairs.join(place.selectExpr("id a", "x xa"), "a").join(place.selectExpr("id b", "x xb"), "b")
-        return both.selectExpr("a", "b", "1 - abs(xa - xb) sim")
+        return both.selectExpr("a", "b", "(90 - abs(xa - xb)) / (90 + abs(xa - xb)) sim")
+
+    return members, known, verify, 0.8
+
 
-    roots = {r.id: r.root for r in _links.link(members, verify, 0.8).collect()}
-    order = sorted(at, key=at.get)
+def chained(starts):
+    """The least index of each index's chain."""
+    order = sorted(range(len(starts)), key=lambda i: starts[i])
     group, want = [order[0]], {}
     for i in order[1:] + [None]:
-        if i is None or at[i] - at[group[-1]] > 0.2:
+        if i is None or starts[i] - starts[group[-1]] > 10:
             want |= {k: min(group) for k in group}
             group = []
         group.append(i)
-    assert {i: roots.get(i, i) for i in at} == want
+    return want
+
+
+@pytest.mark.parametrize("tiny", [32, 2])
+def test_links_lose_no_component_in_a_bucket(spark, monkeypatch, tiny):
+    # one bucket of all, chains included
+    monkeypatch.setattr(_links, "TINY", tiny)
+    rng = random.Random(8)
+    starts = [rng.randrange(900) for _ in range(150)]
+    roots = {r.id: r.root for r in _links.link(*runs(spark, starts, {0: range(150), 1: range(40)})).collect()}
+    want = chained(starts)
+    assert len(set(want.values())) > 3
+    assert {i: roots.get(i, i) for i in range(150)} == want
+
+
+def test_a_large_bucket_is_split_by_further_bands(spark, monkeypatch):
+    # 120 sets share band 0; bands 1 to 3 tell far sets apart and keep chains together
+    monkeypatch.setattr(_links, "SMALL", 20)
+    rng = random.Random(9)
+    starts = [300 * (i % 12) + rng.randrange(40) for i in range(120)]
+    members, known, *rest = runs(spark, starts, {0: range(120)})
+    keys = F.array(F.lit(0).cast("long"), *[(F.col("id") % 12 + 100 * k).cast("long") for k in (1, 2, 3)])
+    roots = {r.id: r.root for r in _links.link(members, known.withColumn("keys", keys), *rest).collect()}
+    assert {i: roots.get(i, i) for i in range(120)} == chained(starts)
+
+
+def test_bitmaps_never_differ_more_than_their_sets():
+    rng = np.random.default_rng(3)
+    for n, own in ((5, 3), (60, 9), (700, 90), (9000, 400)):
+        shared = rng.integers(0, 1 << 52, n, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([shared, rng.integers(0, 1 << 52, own, dtype=np.uint64)])) for _ in range(2))
+        maps = np.vstack([_links.bitmaps(np.zeros(len(x), np.int64), x, np.ones(len(x), np.int64), 1) for x in (a, b)]).view(np.uint64)
+        assert 0 < np.bitwise_count(maps[0] ^ maps[1]).sum() <= len(np.setxor1d(a, b))
+        short = _links.folded(maps.view(np.int64)).view(np.uint64)
+        assert np.bitwise_count(short[0] ^ short[1]).sum() <= np.bitwise_count(maps[0] ^ maps[1]).sum()
+    counted = _links.bitmaps(np.zeros(2, np.int64), np.array([7, 9], np.uint64), np.array([3, 1]), 1).view(np.uint64)
+    assert np.bitwise_count(counted).sum() == 4
+
+
+def test_overlaps_are_those_of_counters():
+    rng = random.Random(4)
+    pairs = [[Counter(rng.choices(range(30), k=rng.choice([0, 1, 5, 60]))) for _ in range(2)] for _ in range(50)]
+
+    def flat(side):
+        rows = [(r, k, c) for r, p in enumerate(pairs) for k, c in sorted(p[side].items())]
+        return tuple(np.array(x, kind) for x, kind in zip(zip(*rows, strict=True), (np.int64, np.uint64, np.int64), strict=True))
+
+    assert _links.overlaps(flat(0), flat(1), len(pairs)) == pytest.approx([plain.jaccard(a, b) for a, b in pairs])
+
+
+def thue_morse(n):
+    word = [0]
+    while len(word) < n:
+        word += [1 - x for x in word]
+    return "".join("ab"[x] for x in word), "".join("ba"[x] for x in word)
+
+
+def test_texts_that_collide_modulo_two_to_the_64_stay_apart(spark):
+    one, other = thue_morse(4096)
+    rows = [(1, one), (2, other), (3, one + "\n" + other), (4, " ".join([one, other] * 3)), (5, " ".join([other, one] * 3))]
+    low = np.frombuffer((one + other).encode(), np.uint8)
+    assert len(set(_bytes.span_hashes(low, np.array([0, 4096]), np.array([4096, 8192])).tolist())) == 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert found[1] == one and found[3] in ("", other) and found[4]
+    found = {r.doc_id: r.class_id for r in bagminhash.near_classes(docs).collect()}
+    assert found[1] == 1 and found[2] == 2
 
 
 def test_components_of_a_path_and_a_star(spark):
