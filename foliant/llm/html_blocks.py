@@ -6,9 +6,11 @@ kinds of element it stands in, and whether the class or id of one of them names
 a part of a page that is no article. A decision tree (grown here, by Gini
 impurity, on the small labelled table below) says which blocks are main text.
 
-Pages are independent: one pass, no shuffle, whole html of any length.
+Pages are independent: one pass, no shuffle, whole html of any length, in time
+that grows with it.
 
-Defined results: null, empty or unparsable html gives an empty text; character
+Defined results: null, empty or unparsable html gives an empty text; an empty
+table gives no rows; an unclosed quote in a tag does not hide its ``>``; character
 references are decoded after cutting, so an encoded tag is text; white space in
 a block becomes one space, blocks are joined by one space; repeated rows give
 each their own; extra columns are kept.
@@ -41,20 +43,72 @@ OUTER_NAMES = frozenset(
     "privacy promo promotion promoted recommended related replies reply respond responses search share sharing shares sidebar signin signup skip skiplink social sponsor sponsored subscribe subscription taboola tags teaser toc toolbar topbar widget widgets complementary".split()
 )
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({SILENT})\b[^>]*+>.*?(?:</\1\s*+[^>]*+>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?][^>]*+>",
-    re.S | re.I,
-)
+_SILENT = frozenset(SILENT.split("|"))
+_NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_QUOTE = re.compile(r"[>\"']")
+#: Characters that may be looked at beyond the ends of tags, as a multiple of a page's length.
+LOOK_AHEAD = 8
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 FEATURES = ("words", "link_density", "words_before", "words_after", "link_before", "link_after", "in_article", "page_has_article", "in_outer_tag", "in_outer_name", "in_header", "heading", "list_item", "ends_sentence")
 
 
+def tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, closing, attributes) of the tags of a page in order; comments, declarations and silent elements have no name.
+
+    Every character is looked at a bounded number of times: a mark that is not
+    found once is not searched again, and once LOOK_AHEAD is used up, a tag ends
+    at its first ``>``, quoted or not.
+    """
+    at, budget = 0, LOOK_AHEAD * len(html) + 1000
+    while (start := html.find("<", at)) >= 0:
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(html)
+            yield start, at, "", False, ""
+            continue
+        found = _NAME.match(html, start + 1)
+        if not found and html[start + 1 : start + 2] not in ("!", "?"):
+            at = start + 1
+            continue
+        first = html.find(">", found.end() if found else start + 2)
+        if first < 0:
+            return
+        if not found:
+            at = first + 1
+            yield start, at, "", False, ""
+            continue
+        name, end = found[2].lower(), first
+        if name in _SILENT:
+            at = first + 1
+            if not found[1]:
+                close = re.compile(rf"</{name}\s*+[^>]*+>", re.I).search(html, at)
+                at = close.end() if close else len(html)
+                yield start, at, "", False, ""
+            else:
+                yield start, at, name, True, ""
+            continue
+        look = found.end()
+        while budget > 0 and (mark := _QUOTE.search(html, look)):
+            if mark[0] == ">":
+                end = mark.start()
+                break
+            close = html.find(mark[0], mark.end())
+            budget -= max((close if close >= 0 else len(html)) - max(look, first), 0)
+            if close < 0:
+                break
+            look = close + 1
+        at = end + 1
+        yield start, at, name, bool(found[1]), html[found.end() : end]
+
+
 class _Stack:
     """Open elements, with counts of the kinds that matter."""
 
     def __init__(self):
         self.tags: list[tuple[str, bool]] = []
+        self.places: dict[str, list[int]] = {}  # of the open elements of each name
+        self.walls: list[int] = []  # places of elements that a stray inline end tag does not close
         self.article = self.outer = self.named = self.header = self.link = self.heading = self.item = 0
 
     def _add(self, tag: str, named: bool, by: int) -> None:
@@ -76,18 +130,24 @@ class _Stack:
                 words = re.split(r"[\s_]+", (m[1] or m[2] or m[3] or "").lower())
                 named = named or any(w in OUTER_NAMES or any(part in OUTER_NAMES for part in w.split("-")) for w in words)
         named = named and tag not in ("body", "html", "article", "main") or named and tag == "article" and "comment" in attributes.lower()
+        self.places.setdefault(tag, []).append(len(self.tags))
+        if tag in ("article", "main", "body", "table"):
+            self.walls.append(len(self.tags))
         self.tags.append((tag, named))
         self._add(tag, named, 1)
 
     def close(self, tag: str) -> None:
-        for k in range(len(self.tags) - 1, -1, -1):
-            if self.tags[k][0] == tag:
-                for t, named in self.tags[k:]:
-                    self._add(t, named, -1)
-                del self.tags[k:]
-                return
-            if self.tags[k][0] in ("article", "main", "body", "table") and tag not in BLOCK_TAGS:
-                return  # a stray inline end tag closes nothing outside
+        if not self.places.get(tag):
+            return
+        k = self.places[tag][-1]
+        if tag not in BLOCK_TAGS and self.walls and self.walls[-1] > k:
+            return
+        for t, named in self.tags[k:]:
+            self._add(t, named, -1)
+            self.places[t].pop()
+        del self.tags[k:]
+        while self.walls and self.walls[-1] >= k:
+            self.walls.pop()
 
 
 def blocks(html: str) -> list[tuple[str, list[float]]]:
@@ -104,25 +164,21 @@ def blocks(html: str) -> list[tuple[str, list[float]]]:
             pieces, linked = [], 0
 
     at = 0
-    for m in _TOKEN.finditer(html):
-        if m.start() > at:
-            piece = html[at : m.start()]
+    for start, stop, tag, closing, attributes in tags(html):
+        if start > at:
+            piece = html[at:start]
             pieces.append(piece)
             linked += len(piece.strip()) * (stack.link > 0)
-        at = m.end()
-        tag = m[3] or m[6]
-        if not tag:
-            continue
-        tag = tag.lower()
+        at = stop
         if tag in BLOCK_TAGS:
             end()
-        if m[2] or m[5]:
+        if closing:
             stack.close(tag)
-        elif tag not in VOID_TAGS:
-            stack.open(tag, m[4] or m[7] or "")
+        elif tag and tag not in VOID_TAGS:
+            stack.open(tag, attributes)
     if at < len(html):
         tail = html[at:]
-        cut = re.search(r"<[a-zA-Z/!?][^>]*\Z", tail)  # a tag broken off by the end
+        cut = re.compile(r"<[a-zA-Z/!?]").search(tail, tail.rfind(">") + 1)  # a tag broken off by the end
         pieces.append(tail[: cut.start()] if cut else tail)
     end()
     article = any(f[6] for _, f in out)
