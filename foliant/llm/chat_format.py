@@ -2,8 +2,9 @@
 
 A message's content is a list of typed parts. A visitor turns the list into one
 text: text parts stand as they are; each image, audio or document part becomes
-a numbered placeholder in its place. The attachments (kind, reference, ordinal,
-expanded token count) are recorded in order beside the text.
+a placeholder in its place, numbered by the part's place in the message
+(``<|image:1|>``). The attachments (kind, reference, ordinal, part, expanded
+token count) are recorded in order beside the text.
 
 The template marks a turn as ``### role``, a line break, the text, ``</turn>``
 and a line break. Inside roles and texts the three characters that markers are
@@ -12,23 +13,23 @@ roles a line break as ``\\n``), so a text can neither open nor close a turn nor
 forge a placeholder, and the output reads back exactly.
 
 Defined results: a null text is empty; a null role is ``user``; a conversation's
-rows are ordered by turn, then role, then text; repeated rows are turns each;
-a null conv_id is a conversation; extra columns are ignored; an unknown kind of
-part is kept as an attachment of no tokens. A conversation is one output row,
-so it must fit a task; conversations are independent of each other.
+rows are ordered by turn (null first), then role, then text before escaping;
+repeated rows are turns each; a null conv_id is a conversation; extra columns
+are ignored; an empty table gives no rows; texts of any length stay whole; an
+unknown kind of part is kept as an attachment of no tokens. A conversation is
+one output row, so it must fit a task; conversations are independent of each
+other. Spans come from running sums, so a conversation's time grows with its
+turns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "### ", "</turn>\n"
 PARTS = "array<struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
 
-#: Placeholder of an attachment; its ``<`` never occurs in escaped text.
-PLACEHOLDER = "<|{}|>"
-
 
 def escape(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("\\"), F.lit("\\b")), F.lit("#"), F.lit("\\h")), F.lit("<"), F.lit("\\l"))
@@ -66,12 +67,15 @@ def _is_text(part: Column) -> Column:
 
 
 def visit(parts: Column) -> dict[str, Column]:
-    """The visitor over one message's parts: ``body`` (escaped text with placeholders) and ``attachments``."""
+    """The visitor over one message's parts: ``raw`` (its texts as they are), ``body`` (escaped text with placeholders) and ``attachments``."""
     parts = F.coalesce(parts, F.array().cast(PARTS))
-    body = F.concat_ws("", F.transform(parts, lambda p: F.when(_is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), escape(F.coalesce(p["type"], F.lit(""))), F.lit("|>")))))
-    others = F.filter(parts, lambda p: ~_is_text(p))
-    attachments = F.transform(others, lambda p, i: F.struct(i.alias("ordinal"), p["type"].alias("kind"), p["ref"].alias("ref"), part_tokens(p).alias("tokens")))
-    return {"body": body, "attachments": attachments}
+    # a placeholder's "<" never occurs in escaped text
+    placeholder = lambda p, i: F.concat(F.lit("<|"), escape(F.coalesce(p["type"], F.lit(""))), F.lit(":"), i.cast("string"), F.lit("|>"))
+    raw = F.concat_ws("", F.transform(parts, lambda p: F.when(_is_text(p), F.coalesce(p["text"], F.lit(""))).otherwise(F.lit(""))))
+    body = F.concat_ws("", F.transform(parts, lambda p, i: F.when(_is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(placeholder(p, i))))
+    seen = F.transform(parts, lambda p, i: F.struct(_is_text(p).alias("is_text"), i.alias("part"), p["type"].alias("kind"), p["ref"].alias("ref"), part_tokens(p).alias("tokens")))
+    attachments = F.transform(F.filter(seen, lambda p: ~p["is_text"]), lambda p, i: F.struct(i.alias("ordinal"), p["part"], p["kind"], p["ref"], p["tokens"]))
+    return {"raw": raw, "body": body, "attachments": attachments}
 
 
 def format_chat(messages: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
@@ -83,20 +87,17 @@ def format_chat(messages: DataFrame, loss_roles: tuple[str, ...] = ("assistant",
     """
     seen = visit(F.col("content"))
     rows = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("user")).alias("role"), *[c.alias(k) for k, c in seen.items()])
-    one = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "body", "attachments"))).alias("t"))
-    piece = lambda t: F.concat(F.lit(OPEN), escape_role(t["role"]), F.lit("\n"), t["body"], F.lit(CLOSE))
-    one = one.withColumn("pieces", F.transform("t", piece))
-    step = lambda acc, t: F.struct(
-        (acc["at"] + F.char_length(t["piece"])).alias("at"),
-        F.when(t["role"].isin(*loss_roles), F.concat(acc["spans"], F.array(F.struct((acc["at"] + F.char_length(F.lit(OPEN)) + F.char_length(escape_role(t["role"])) + 1).cast("long").alias("start"), F.char_length(t["body"]).cast("long").alias("length"))))).otherwise(acc["spans"]).alias("spans"),
-    )
-    items = F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["body"].alias("body"), piece(t).alias("piece")))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-    spans = F.aggregate(items, zero, lambda acc, t: F.struct(step(acc, t)["at"].cast("long").alias("at"), step(acc, t)["spans"].alias("spans")), lambda acc: acc["spans"])
-    refs = F.flatten(F.transform("t", lambda t, i: F.transform(t["attachments"], lambda a: F.struct(i.alias("message"), a["ordinal"].alias("ordinal"), a["kind"].alias("kind"), a["ref"].alias("ref"), a["tokens"].alias("tokens")))))
+    rows = rows.withColumn("piece", F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n"), "body", F.lit(CLOSE)))
+    # the order of turns, by a window and an aggregation over the same exchange
+    before = Window.partitionBy("conv_id").orderBy("turn", "role", "raw", "body").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("at", F.coalesce(F.sum(F.char_length("piece").cast("long")).over(before), F.lit(0).cast("long")))
+    one = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("at", "role", "body", "piece", "attachments"))).alias("t"))
+    start = lambda t: t["at"] + F.char_length(F.lit(OPEN)) + F.char_length(escape_role(t["role"])) + 1
+    spans = F.transform(F.filter("t", lambda t: t["role"].isin(*loss_roles)), lambda t: F.struct(start(t).cast("long").alias("start"), F.char_length(t["body"]).cast("long").alias("length")))
+    refs = F.flatten(F.transform("t", lambda t, i: F.transform(t["attachments"], lambda a: F.struct(i.alias("message"), a["ordinal"].alias("ordinal"), a["part"].alias("part"), a["kind"].alias("kind"), a["ref"].alias("ref"), a["tokens"].alias("tokens")))))
     return one.select(
         "conv_id",
-        F.concat_ws("", "pieces").alias("formatted"),
+        F.concat_ws("", F.transform("t", lambda t: t["piece"])).alias("formatted"),
         spans.alias("spans"),
         refs.alias("attachments"),
         F.size("t").cast("long").alias("n_turns"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bagminhash, chat_format, decontam_fm, html_blocks, kneser_ney, line_dedup, packing, separator_scan, spotsigs, toxicity
-from ._spark import cut, table
+from ._spark import table
 
 #: <|endoftext|> of the vocabulary, which no text yields.
 SEPARATOR = 50256
@@ -55,7 +55,8 @@ def op4_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = toxicity.classifier(docs, labels.filter(_rest(F.col("doc_id"), 5) != 0))
     scored = toxicity.score(docs, model)
-    return scored.select("doc_id", (_rest(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+    held = F.lit(model.held).cast("long").alias("counterfactuals")
+    return scored.select("doc_id", (_rest(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", held)
 
 
 def op5_bagminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,9 +90,11 @@ def op9_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_separator_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = cut(separator_scan.flat_blocks(table(spark, sf_dir, "documents"), tokenizer_path(), SEPARATOR))
-    counted = separator_scan.separator_scan(blocks, SEPARATOR)
-    return separator_scan.named(blocks, counted).select("doc_id", "n_tokens", "file_id", "ordinal", "start", "ended")
+    path, manifest = separator_scan.write_flat(table(spark, sf_dir, "documents"), tokenizer_path(), SEPARATOR)
+    counted = separator_scan.scan_files(spark, f"file://{path}", SEPARATOR)
+    counted = counted.withColumn("file", F.substring_index("file_id", "/", -1).cast("long"))
+    # the scan knows documents by their places alone; the manifest gives them their names
+    return counted.join(manifest, ["file", "ordinal"], "left").select("doc_id", "n_tokens", F.col("file").alias("file_id"), "ordinal", "start", "ended")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -119,9 +122,9 @@ WITH m AS (
   SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
 SELECT conv_id, count(*)::BIGINT AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(length('### ' || replace({_ESCAPED.format("role")}, chr(10), '\n') || chr(10) || {_ESCAPED.format("text")} || '</turn>' || chr(10)))::BIGINT AS formatted_chars
 FROM m GROUP BY conv_id""",
 }

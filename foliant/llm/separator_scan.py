@@ -8,83 +8,94 @@ how many ids after the last one). The scan is two-level: inside runs of
 RUN_BLOCKS blocks, then over the runs, so one long file does not meet in one
 task and no count is made by a single process.
 
-``flat_blocks`` writes tokenised documents as such blocks, ``file_blocks`` reads
-existing binary files (each at most 1 GiB, the writer's own bound), and
-``separator_scan`` counts.
+``write_flat`` writes tokenised documents as such files, with a manifest (which
+document stands where) that the scan never sees; ``scan_files`` lists files,
+plans byte ranges and lets each task read its own, so a file of any length is
+spread over all tasks; ``separator_scan`` counts in blocks from anywhere.
 
 Defined results: a null or empty text is a document of the separator alone
 (n_tokens 0); ids after a file's last separator are a last, unended document;
-an empty file or table gives no rows; repeated rows count each.
+an empty file or table gives no rows; repeated rows count each, so ties need no
+order; a text of any length is a document over many blocks; extra columns are
+ignored; a file that is no whole number of ids is an error.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ._spark import cut, folder, tidy
 from ._tokens import column_ids
 
 BLOCK_TOKENS = 1 << 18
 RUN_BLOCKS = 64
 
 
-def flat_blocks(docs: DataFrame, tokenizer: str, separator: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """(file_id, block_no, ids binary of little-endian uint16, doc_ids): each task's documents as one flat stream.
-
-    doc_ids names the documents that end in the block; it stands in for the
-    manifest that a file's writer keeps and the scan does not read it.
-    """
+def write_flat(docs: DataFrame, tokenizer: str, separator: int) -> tuple[str, DataFrame]:
+    """A shared folder of flat files of little-endian uint16 ids, one a task, and their manifest (file, ordinal, doc_id)."""
+    path = folder(docs.sparkSession, "flat")
+    os.makedirs(path, exist_ok=True)  # a table without partitions writes nothing
 
+    @tidy
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file_id, block_no = TaskContext.get().partitionId(), 0
-        ids, names, held = [], [], 0
-
-        def blocks(last: bool):
-            nonlocal ids, names, held, block_no
-            stream = np.concatenate(ids) if ids else np.zeros(0, np.uint16)
-            doc_id = pa.chunked_array(names, pa.int64()).combine_chunks() if names else pa.array([], pa.int64())
-            done, named = 0, 0
-            while len(stream) - done >= block_tokens or last and done < len(stream):
-                part = stream[done : done + block_tokens]
-                ends = int(np.count_nonzero(part == separator))
-                yield pa.RecordBatch.from_pydict({"file_id": pa.array([file_id], pa.int64()), "block_no": pa.array([block_no], pa.int64()), "ids": pa.array([part.astype("<u2").tobytes()], pa.binary()), "doc_ids": pa.array([doc_id.slice(named, ends).to_pylist()], pa.list_(pa.int64()))})
-                done, named, block_no = done + len(part), named + ends, block_no + 1
-            ids, names, held = [stream[done:]], [doc_id.slice(named)], len(stream) - done
-
-        for batch in batches:
-            for row, chunk, offsets in column_ids(tokenizer, batch.column(1)):
-                stream = np.insert(chunk, offsets[1:], separator)
-                if stream.max(initial=0) > 0xFFFF:
-                    raise ValueError("ids do not fit 16 bits")
-                ids.append(stream.astype(np.uint16))
-                names.append(batch.column(0).slice(row, len(offsets) - 1).cast(pa.int64()))
-                held += len(stream)
-                if held >= 8 * block_tokens:
-                    yield from blocks(False)
-        yield from blocks(True)
-
-    return docs.select("doc_id", "text").mapInArrow(written, "file_id long, block_no long, ids binary, doc_ids array<long>")
-
-
-def file_blocks(spark: SparkSession, path: str, id_bytes: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """(file_id, block_no, ids) of flat binary files below ``path`` on any store that Spark reads."""
-    files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path").alias("file_id"), "content")
+        name, ordinal = TaskContext.get().partitionId(), 0
+        # whole or not at all; hidden until then, and a task that runs again writes the same
+        part = f"{path}/.{name}-{uuid.uuid4().hex}"
+        with open(part, "wb") as out:
+            for batch in batches:
+                for row, chunk, offsets in column_ids(tokenizer, batch.column(1)):
+                    stream = np.insert(chunk, offsets[1:], separator)
+                    if stream.max(initial=0) > 0xFFFF:
+                        raise ValueError("ids do not fit 16 bits")
+                    out.write(stream.astype("<u2").tobytes())
+                    n = len(offsets) - 1
+                    yield pa.RecordBatch.from_pydict({"file": pa.array(np.full(n, name, np.int64)), "ordinal": pa.array(ordinal + np.arange(n)), "doc_id": batch.column(0).slice(row, n).cast(pa.int64())})
+                    ordinal += n
+        os.replace(part, f"{path}/{name}")
+
+    return path, cut(docs.select("doc_id", "text").mapInArrow(written, "file long, ordinal long, doc_id long"))
+
+
+def scan_files(spark: SparkSession, path: str, separator: int, id_bytes: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """``separator_scan`` of the flat binary files below ``path``; file_id is a file's path."""
     size = block_tokens * id_bytes
+    files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
+    ranges = files.select(F.col("path").alias("file_id"), "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / size))).alias("block_no"))
+    ranges = ranges.repartition("file_id", "block_no").select("file_id", "block_no", "length")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @tidy
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                view = content.as_buffer()
-                for k in range(-(-view.size // size)):
-                    part = view.slice(k * size, min(size, view.size - k * size))
-                    yield pa.RecordBatch.from_pydict({"file_id": pa.array([name], pa.int64()), "block_no": pa.array([k], pa.int64()), "ids": pa.array([part.to_pybytes()], pa.binary())})
+            for name, block, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if length % id_bytes:
+                    raise ValueError(f"{name}: {length} bytes are no whole number of {id_bytes}-byte ids")
+                ids = np.frombuffer(_bytes_at(name, block * size, min(size, length - block * size)), f"<u{id_bytes}")
+                yield _found(pa.array([name]), pa.array([block], pa.int64()), [ids], separator)
+
+    return _stitched(ranges.mapInArrow(searched, "file_id string, block_no long, n long, ends array<int>"))
+
 
-    return files.mapInArrow(cut, "file_id long, block_no long, ids binary")
+def _bytes_at(name: str, start: int, size: int) -> bytes:
+    """From any store that Arrow knows."""
+    if name.startswith("file:"):
+        name = "/" + name[5:].lstrip("/")
+    store, path = (pyarrow.fs.LocalFileSystem(), name) if name.startswith("/") else pyarrow.fs.FileSystem.from_uri(name)
+    with store.open_input_file(path) as f:
+        return f.read_at(size, start)
+
+
+def _found(names: pa.Array, blocks: pa.Array, ids: list[np.ndarray], separator: int) -> pa.RecordBatch:
+    ends = [np.flatnonzero(x == separator).astype(np.int32) for x in ids]
+    return pa.RecordBatch.from_pydict({"file_id": names, "block_no": blocks, "n": pa.array([len(x) for x in ids], pa.int64()), "ends": pa.array(ends, pa.list_(pa.int32()))})
 
 
 def separator_scan(blocks: DataFrame, separator: int, id_bytes: int = 2) -> DataFrame:
@@ -94,17 +105,21 @@ def separator_scan(blocks: DataFrame, separator: int, id_bytes: int = 2) -> Data
     """
     kind = f"<u{id_bytes}"
 
+    @tidy
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, at = [], []
-            for ids in batch.column(2):
-                flat = np.frombuffer(ids.as_buffer(), kind) if ids.is_valid else np.zeros(0, kind)
-                n.append(len(flat))
-                at.append(np.flatnonzero(flat == separator).astype(np.int32))
-            yield pa.RecordBatch.from_pydict({"file_id": batch.column(0), "block_no": batch.column(1), "n": pa.array(n, pa.int64()), "ends": pa.array(at, pa.list_(pa.int32()))})
-
-    found = blocks.select("file_id", "block_no", "ids").mapInArrow(searched, "file_id long, block_no long, n long, ends array<int>")
-    found = found.withColumn("run", F.floor(F.col("block_no") / RUN_BLOCKS)).repartition("file_id", "run")
+            ids = [np.frombuffer(x.as_buffer(), kind) if x.is_valid else np.zeros(0, kind) for x in batch.column(2)]
+            yield _found(batch.column(0), batch.column(1), ids, separator)
+
+    named = blocks.schema["file_id"].dataType.simpleString()
+    return _stitched(blocks.select("file_id", "block_no", "ids").mapInArrow(searched, f"file_id {named}, block_no long, n long, ends array<int>"))
+
+
+def _stitched(found: DataFrame) -> DataFrame:
+    """Documents from what was found in each block (file_id, block_no, n, ends)."""
+    named = found.schema["file_id"].dataType.simpleString()
+    # blocks are searched once, whatever the scans read
+    found = cut(found).withColumn("run", F.floor(F.col("block_no") / RUN_BLOCKS))
     # the open ids after a block's last separator, or the whole block
     inside = Window.partitionBy("file_id", "run").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
     found = found.withColumns({
@@ -132,22 +147,19 @@ def separator_scan(blocks: DataFrame, separator: int, id_bytes: int = 2) -> Data
     opened = F.coalesce(F.col("run_at") + F.col("run_open.b") + F.col("run_open.e"), F.col("run_open_at"))
     last = begin + F.col("n") == F.col("file_n")
     block = block.select("file_id", "ends", "n", begin.alias("begin"), opened.alias("opened"), (F.col("run_ends_before") + F.col("ends_before")).alias("first"), last.alias("last"))
-    ends = F.transform("ends", lambda e: F.col("begin") + e)
-    starts = F.concat(F.array("opened"), F.transform("ends", lambda e: F.col("begin") + e + 1))
-    rows = F.transform(ends, lambda e, i: F.struct((F.col("first") + i).alias("ordinal"), F.element_at(starts, i + 1).alias("start"), (e - F.element_at(starts, i + 1)).alias("n_tokens"), F.lit(True).alias("ended")))
-    open_start = F.element_at(starts, -1)
-    tail = F.when(F.col("last") & (open_start < F.col("begin") + F.col("n")), F.array(F.struct((F.col("first") + F.size("ends")).alias("ordinal"), open_start.alias("start"), (F.col("begin") + F.col("n") - open_start).alias("n_tokens"), F.lit(False).alias("ended"))))
-    all_rows = F.concat(rows, F.coalesce(tail, F.array().cast("array<struct<ordinal:bigint,start:bigint,n_tokens:bigint,ended:boolean>>")))
-    return block.select("file_id", F.explode(all_rows).alias("d")).select("file_id", "d.*")
-
-
-def named(blocks: DataFrame, scanned: DataFrame) -> DataFrame:
-    """``scanned`` with the doc_id that the writer's manifest (doc_ids of flat_blocks) has at each ordinal."""
-    within = Window.partitionBy("file_id", "run").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = blocks.select("file_id", "block_no", "doc_ids", F.floor(F.col("block_no") / RUN_BLOCKS).alias("run"))
-    sizes = sizes.withColumn("before", F.coalesce(F.sum(F.size("doc_ids")).over(within), F.lit(0)))
-    runs = sizes.groupBy("file_id", "run").agg(F.sum(F.size("doc_ids")).alias("k"))
-    runs = runs.select("file_id", "run", F.coalesce(F.sum("k").over(Window.partitionBy("file_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("run_before"))
-    manifest = sizes.join(runs, ["file_id", "run"]).select("file_id", (F.col("run_before") + F.col("before")).alias("first"), F.posexplode("doc_ids").alias("i", "doc_id"))
-    manifest = manifest.select("file_id", (F.col("first") + F.col("i")).alias("ordinal"), "doc_id")
-    return scanned.join(manifest, ["file_id", "ordinal"], "left")
+
+    @tidy
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, (n, begin, opened, first, last) in enumerate(zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)):
+                ends = begin + batch.column(1)[k].values.to_numpy().astype(np.int64)
+                starts = np.concatenate([[opened], ends + 1])
+                ended = np.ones(len(ends), bool)
+                if last and starts[-1] < begin + n:
+                    ends, ended = np.append(ends, begin + n), np.append(ended, False)
+                m = len(ends)
+                if m:
+                    names = pa.DictionaryArray.from_arrays(pa.array(np.zeros(m, np.int32)), batch.column(0).slice(k, 1)).dictionary_decode()
+                    yield pa.RecordBatch.from_arrays([names, pa.array(first + np.arange(m)), pa.array(starts[:m]), pa.array(ends - starts[:m]), pa.array(ended)], ["file_id", "ordinal", "start", "n_tokens", "ended"])
+
+    return block.mapInArrow(listed, f"file_id {named}, ordinal long, start long, n_tokens long, ended boolean")

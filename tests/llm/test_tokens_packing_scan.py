@@ -1,9 +1,11 @@
 import random
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from foliant.llm import _bytes, packing, separator_scan
@@ -73,19 +75,33 @@ def test_assignment_balances_cost_in_descending_order():
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert packing.pack(none, tokenizer_path()).count() == 0
-    blocks = separator_scan.flat_blocks(none, tokenizer_path(), SEPARATOR)
+    path, manifest = separator_scan.write_flat(none, tokenizer_path(), SEPARATOR)
+    assert manifest.count() == 0 and separator_scan.scan_files(spark, f"file://{path}", SEPARATOR).count() == 0
+    blocks = spark.createDataFrame([], "file_id long, block_no long, ids binary")
     assert separator_scan.separator_scan(blocks, SEPARATOR).count() == 0
 
 
 @pytest.mark.parametrize("block", [3, 64, 1 << 18])
 def test_separator_scan_counts_every_document(spark, tokenizer, block):
     rows = [r for r in documents() if r[0] is not None and r[0] != 3]
-    blocks = separator_scan.flat_blocks(spark.createDataFrame(rows, SCHEMA).repartition(2), tokenizer_path(), SEPARATOR, block).cache()
-    found = separator_scan.named(blocks, separator_scan.separator_scan(blocks, SEPARATOR)).collect()
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("file_id", F.lit("x")).withColumn("start", F.lit(1)).repartition(2)
+    path, manifest = separator_scan.write_flat(docs, tokenizer_path(), SEPARATOR)
+    found = separator_scan.scan_files(spark, f"file://{path}", SEPARATOR, block_tokens=block)
+    assert found.columns == ["file_id", "ordinal", "start", "n_tokens", "ended"]
+    found = found.withColumn("file", F.substring_index("file_id", "/", -1).cast("long")).join(manifest, ["file", "ordinal"], "left").collect()
     assert {(r.doc_id, r.n_tokens) for r in found} == {(r[0], len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows}
     assert len(found) == len(rows) and all(r.ended for r in found)
 
 
+def test_a_block_of_separators_takes_time_in_proportion(spark):
+    ids = np.full(1 << 18, 5, "<u2").tobytes()
+    began = time.monotonic()
+    blocks = spark.createDataFrame([("f", k, bytearray(ids)) for k in range(2)] + [("f", 2, None)], "file_id string, block_no long, ids binary")
+    found = separator_scan.separator_scan(blocks, 5)
+    assert found.selectExpr("count(*)", "max(n_tokens)", "max(ordinal)", "max(start)").first()[:] == (1 << 19, 0, (1 << 19) - 1, (1 << 19) - 1)
+    assert time.monotonic() - began < 60
+
+
 def test_flat_files_of_any_make(spark, tmp_path):
     rng = np.random.default_rng(4)
     want = set()
@@ -98,7 +114,8 @@ def test_flat_files_of_any_make(spark, tmp_path):
             want.add((len(ids), n, start, end - start, end < len(ids)))
             start = end + 1
     (tmp_path / "empty.bin").write_bytes(b"")
-    blocks = separator_scan.file_blocks(spark, str(tmp_path), 2, 5)
-    lengths = {r.file_id: r.n for r in blocks.selectExpr("file_id", "length(ids) / 2 as n").groupBy("file_id").sum("n").withColumnRenamed("sum(n)", "n").collect()}
-    found = {(int(lengths[r.file_id]), r.ordinal, r.start, r.n_tokens, r.ended) for r in separator_scan.separator_scan(blocks, 65535).collect()}
-    assert found == want
+    found = separator_scan.scan_files(spark, str(tmp_path), 65535, 2, 5).collect()
+    assert {(1000 + int(r.file_id[-5]), r.ordinal, r.start, r.n_tokens, r.ended) for r in found} == want and len(found) == len(want)
+    (tmp_path / "odd.bin").write_bytes(b"abc")
+    with pytest.raises(Exception, match="no whole number"):
+        separator_scan.scan_files(spark, str(tmp_path), 65535, 2, 5).collect()
