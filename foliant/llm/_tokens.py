@@ -2,8 +2,8 @@
 
 A byte-level BPE with this vocabulary's pattern never forms a token over the
 place where a character that is not white space is followed by one that is.
-Texts are therefore cut there, equal stretches (by 64-bit hash and length)
-share one call of the tokenizer, and the ids of whole texts are gathered with
+Texts are therefore cut there, equal stretches (by the hash of
+_bytes.span_hashes, over length and two moduli) share one call of the tokenizer, and the ids of whole texts are gathered with
 array indexing. The result equals tokenising each whole text.
 """
 
@@ -19,7 +19,7 @@ import tiktoken
 from . import _bytes
 
 #: Distinct stretches remembered by a worker between chunks; beyond it the memory starts anew.
-REMEMBERED = 2_000_000
+REMEMBERED = 400_000
 
 # Last bytes of white space outside ASCII, and the bytes before them (U+0085, U+00A0, U+1680, U+2000-200A, U+2028-2029, U+202F, U+205F, U+3000).
 _LAST = np.zeros(256, bool)
@@ -46,7 +46,7 @@ class Tokens:
 
     The file's vocabulary is handed to tiktoken, which merges a short stretch
     several times faster than the library the file is for; both give the same
-    ids (tests/llm/test_tokens.py compares them on random and real texts).
+    ids (tests/llm/test_tokens_packing_scan.py compares them on random and real texts).
     """
 
     def __init__(self, path: str):

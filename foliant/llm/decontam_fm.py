@@ -9,31 +9,38 @@ suffix positions. All windows are searched backward at once; occurrences are
 located by stepping to the nearest sample. Word spans of occurrences merge to
 removal spans.
 
-Documents are not shuffled. The benchmark is the query set: it is sent in
-blocks of at most BLOCK_CHARS characters, each its own broadcast, and a task
-searches one block after the other, so no more than a block is unpacked at once.
+Documents are not shuffled. The benchmark is the query set. It is searched in
+blocks of about BLOCK_CHARS characters: a single one is broadcast, several are
+files in the shared folder, of which driver and tasks hold one at a time.
 
 A window is WINDOW consecutive words of an item; a shorter item, unless it has
 no words, is one window. Defined results: a null text has no words; repeated
 rows are judged each; items that share an item_id are one item; a null item_id
-is written as an empty string; an empty benchmark hits nothing.
+is written as an empty string; an empty benchmark hits nothing; an empty
+documents table gives no rows; a text is never cut, however long, and makes a
+shard of its own if it must; extra columns are kept, but own columns of the
+results' names are replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import pickle
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from . import _bytes
+from ._spark import folder, tidy
 
 WINDOW = 13
-SHARD_WORDS = 4_000_000
-BLOCK_CHARS = 16_000_000
+SHARD_WORDS = 1_000_000
+BLOCK_CHARS = 2_000_000
 SAMPLE = 16
 
 
@@ -117,7 +124,7 @@ class FMIndex:
             active = active[(lengths[active] > step) & (hi[active] > lo[active])]
             if not len(active):
                 break
-            c = phrases[active, lengths[active] - 1 - step]
+            c = phrases[active, lengths[active] - 1 - step].astype(np.int64)
             lo[active] = self.first[c] + self.wavelet.rank(c, lo[active])
             hi[active] = self.first[c] + self.wavelet.rank(c, hi[active])
         return lo, np.maximum(hi, lo)
@@ -142,27 +149,30 @@ class Block:
     """Windows of some benchmark items: distinct phrases over a vocabulary of word hashes, and the items of each."""
 
     def __init__(self, items: list[tuple[str, str]], window: int):
-        hashes, owner = [], []
+        hashes, owner = [np.zeros(0, np.uint64)], []
         for item, text in items:
             data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
             low, starts, ends, _ = _bytes.words(data, np.array([0, len(data)]))
             hashes.append(_bytes.span_hashes(low, starts, ends))
             owner.append(item)
-        self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes]))
-        rows: dict[bytes, set[str]] = {}
-        for h, item in zip(hashes, owner, strict=True):
-            symbols = (np.searchsorted(self.vocabulary, h) + 1).astype(np.int64)
-            for k in range(max(len(symbols) - window + 1, min(len(symbols), 1))):
-                rows.setdefault(symbols[k : k + window].tobytes(), set()).add(item)
-        self.lengths = np.array([len(k) // 8 for k in rows], np.int64)
-        self.phrases = np.zeros((len(rows), window), np.int64)
-        for i, k in enumerate(rows):
-            self.phrases[i, : len(k) // 8] = np.frombuffer(k, np.int64)
-        self.items = sorted({i for s in rows.values() for i in s})
+        self.vocabulary = np.unique(np.concatenate(hashes))
+        self.items = sorted({item for item, h in zip(owner, hashes[1:], strict=True) if len(h)})
         place = {item: i for i, item in enumerate(self.items)}
-        lists = [sorted(place[i] for i in s) for s in rows.values()]
-        self.item_begin = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-        self.item_list = np.array([i for x in lists for i in x], np.int64)
+        rows, of = [np.zeros((0, window), np.int32)], [np.zeros(0, np.int64)]
+        for h, item in zip(hashes[1:], owner, strict=True):
+            symbols = (np.searchsorted(self.vocabulary, h) + 1).astype(np.int32)
+            if len(symbols) >= window:
+                rows.append(np.lib.stride_tricks.sliding_window_view(symbols, window))
+            elif len(symbols):
+                rows.append(np.pad(symbols, (0, window - len(symbols)))[None])
+            else:
+                continue
+            of.append(np.full(len(rows[-1]), place[item]))
+        self.phrases, back = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
+        self.lengths = (self.phrases > 0).sum(axis=1)
+        pairs = np.unique(np.stack([back.reshape(-1), np.concatenate(of)], axis=1), axis=0)
+        self.item_begin = np.searchsorted(pairs[:, 0], np.arange(len(self.phrases) + 1))
+        self.item_list = pairs[:, 1].copy()
 
     def find(self, hashes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first word, end word, phrase) of every occurrence in a shard's word hashes; ``before`` bounds its documents."""
@@ -208,16 +218,37 @@ def blocks(benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_
         yield Block([(r["item"], r["text"]) for r in own.collect()], window)
 
 
+def _sent(spark: SparkSession, found: Iterator[Block]) -> Callable[[], Iterator[Block]]:
+    """What gives a task the blocks, one after the other."""
+    first, second = next(found), next(found, None)
+    if second is None:
+        sent = spark.sparkContext.broadcast(first)  # about BLOCK_CHARS characters
+        return lambda: iter([sent.value])
+    path, n = folder(spark, "benchmark"), 0
+    os.makedirs(path)
+    for block in chain([first, second], found):
+        with open(f"{path}/{n}", "wb") as f:
+            pickle.dump(block, f)
+        n += 1
+
+    def read() -> Iterator[Block]:
+        for k in range(n):
+            with open(f"{path}/{k}", "rb") as f:
+                yield pickle.load(f)
+
+    return read
+
+
 SPANS = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with n_words, n_hit (words inside occurrences), items (ids of items with an occurring window, sorted as strings) and spans (code points of the text to remove, merged)."""
-    context = docs.sparkSession.sparkContext
-    sent = [context.broadcast(b) for b in blocks(benchmark, window, block_chars)]
+    block_at = _sent(docs.sparkSession, blocks(benchmark, window, block_chars))
     own = docs.drop("n_words", "n_hit", "items", "spans")
     text_at = own.columns.index("text")
 
+    @tidy
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, hashes, counts, words = [], [], [], 0
 
@@ -226,8 +257,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             shard = np.concatenate(hashes)
             delta = np.zeros(len(shard) + 1, np.int64)
             found: list[set] = [set() for _ in range(len(before) - 1)]
-            for b in sent:
-                block = b.value if len(sent) == 1 else b.load_from_path(b._path)
+            for block in block_at():
                 begin, end, phrase = block.find(shard, before)
                 np.add.at(delta, begin, 1)
                 np.add.at(delta, end, -1)

@@ -21,12 +21,17 @@ p(w)   = max(n(w) - E(n), 0) / n + g / (V + 1)
 with c counts, n(w) the number of contexts of w, n their sum, D and E the
 modified discounts for counts of 1, 2 and 3 or more, and g the mass they free.
 
-ORDER is 2: at order 3 the model and its exchange do not fit the disk that the
+The order is 2: at order 3 the model and its exchange do not fit the disk that the
 check tool allows (see README). Tokens: A-Z lower-cased, runs of anything but
 ASCII white space, then one end token; a text begins in a start context that is
-no token. Defined results: a null text is empty (only the end token); repeated
-rows count and score each; an unknown word has the uniform share alone; with no
-training text every token has probability 1 / (V + 1).
+no token. Counts may pass 32 bits (those that do stand in a file of their own);
+a vocabulary whose bigram keys would pass 63 bits is an error. Bigrams fall into
+as many ranges as their number of tokens needs (RANGE_TOKENS), so a range does
+not grow with the corpus. Defined results: a null text is empty (only the end
+token); repeated rows count and score each; an unknown word has the uniform
+share alone; with no training text every token has probability 1 / (V + 1); an
+empty table gives no rows; a text of any length is counted and scored whole;
+extra columns are kept, own columns of the results' names are replaced.
 """
 
 from __future__ import annotations
@@ -43,11 +48,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _bytes
-from ._spark import folder
+from ._spark import folder, tidy
 
 END = int(_bytes.mix(np.array([0xE0D], np.uint64))[0])
 #: Texts gathered in a task before their counts are merged.
 GATHER = 4_000_000
+#: Training tokens a range of bigrams.
+RANGE_TOKENS = 4_000_000
+#: A stored count from here on stands in the file of great counts.
+GREAT = (1 << 32) - 1
 
 
 def tokenised(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -134,6 +143,7 @@ class Model:
     texts: int  # training texts
     n: int  # training tokens
     hot: list[int]  # ids of spread contexts, at most 4 a range
+    pair_parts: int = 1  # ranges of bigrams
     discounts: tuple[float, float, float] = (0.0, 0.0, 0.0)
     lower_discounts: tuple[float, float, float] = (0.0, 0.0, 0.0)
     pairs: int = 0  # distinct bigrams
@@ -171,7 +181,7 @@ class Arrays:
         return out
 
     def part_of(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return pair_part(context, word, self.model.v, self.model.parts, self.hot)
+        return pair_part(context, word, self.model.v, self.model.pair_parts, self.hot)
 
     def of_words(self, name: str, kind: str, ids: np.ndarray) -> np.ndarray:
         """Values of the array ``name`` (rows by word id) at sorted ids >= 0."""
@@ -187,13 +197,17 @@ class Arrays:
         part, key = self.part_of(context, word), _key(context, word, self.model.v)
         order = np.lexsort((key, part))
         out = np.zeros(len(key), np.int64)
-        bounds = np.searchsorted(part[order], np.arange(self.model.parts + 1))
+        bounds = np.searchsorted(part[order], np.arange(self.model.pair_parts + 1))
         for p in np.flatnonzero(np.diff(bounds)).tolist():
             at = order[bounds[p] : bounds[p + 1]]
             known = self.file("pair", p, "u8")
             if len(known):
                 place = np.minimum(np.searchsorted(known, key[at]), len(known) - 1)
-                out[at] = np.where(known[place] == key[at], self.file("pair_count", p, "u4")[place], 0)
+                count = self.file("pair_count", p, "u4")[place].astype(np.int64)
+                great = np.flatnonzero(count == GREAT)
+                if len(great):
+                    count[great] = self.file("great_count", p, "i8")[np.searchsorted(self.file("great", p, "i8"), place[great])]
+                out[at] = np.where(known[place] == key[at], count, 0)
         return out
 
 
@@ -205,6 +219,15 @@ def _key(context: np.ndarray, word: np.ndarray, v: int) -> np.ndarray:
     return (context * (v + 1) + word).astype(np.uint64)
 
 
+def _store_counts(path: str, part: int, counts: np.ndarray) -> None:
+    """Counts in 32 bits, and those that need more beside them."""
+    great = np.flatnonzero(counts >= GREAT)
+    _write(f"{path}/pair_count/{part}", np.minimum(counts, GREAT).astype(np.uint32))
+    if len(great):
+        _write(f"{path}/great/{part}", great.astype(np.int64))
+        _write(f"{path}/great_count/{part}", counts[great].astype(np.int64))
+
+
 def pair_part(context: np.ndarray, word: np.ndarray, v: int, parts: int, hot: np.ndarray) -> np.ndarray:
     """The range of a bigram: by its context, or for a hot context by its word."""
     own = context * parts // (v + 1)
@@ -231,6 +254,7 @@ def train(texts: DataFrame, parts: int | None = None) -> Model:
     path = folder(spark, "kneser-ney")
     texts = texts.select("text")
 
+    @tidy
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, held, done = [], [], 0
         for batch in batches:
@@ -244,6 +268,7 @@ def train(texts: DataFrame, parts: int | None = None) -> Model:
         keys, counts = _merge(np.concatenate([k for k, _ in sums]), np.concatenate([c for _, c in sums]))
         yield from _blobs(_range(keys, parts), keys, counts)
 
+    @tidy
     def stored_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, keys, (counts,) in _gathered(batches, 1):
             _write(f"{path}/word/{part}", keys)
@@ -257,8 +282,11 @@ def train(texts: DataFrame, parts: int | None = None) -> Model:
     model = Model(path, parts, sizes, 0, sum(r["total"] for r in rows), [])
     if not model.n:
         return model
+    if (model.v + 1) ** 2 >= 1 << 63:
+        raise OverflowError(f"{model.v} distinct tokens: a bigram's key does not fit 63 bits")
     begin = np.concatenate([[0], np.cumsum(sizes)]).tolist()
-    least = max(model.n // (4 * parts), 1)
+    pair_parts = model.pair_parts = max(parts, -(-model.n // RANGE_TOKENS))
+    least = max(model.n // (4 * pair_parts), 1)
 
     def hot_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,6 +299,7 @@ def train(texts: DataFrame, parts: int | None = None) -> Model:
     model.hot = sorted({r["id"] for r in all_parts.mapInArrow(hot_words, "id long, c long").collect()} | {model.v})
     v = model.v
 
+    @tidy
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = Arrays(model)
         sums, held, done = [], [], 0
@@ -293,13 +322,14 @@ def train(texts: DataFrame, parts: int | None = None) -> Model:
         counted()
         keys, counts = _merge(np.concatenate([k for k, _ in sums]), np.concatenate([c for _, c in sums]))
         whole = keys.astype(np.int64)
-        yield from _blobs(pair_part(whole // (v + 1), whole % (v + 1), v, parts, arrays.hot), keys, counts)
+        yield from _blobs(pair_part(whole // (v + 1), whole % (v + 1), v, pair_parts, arrays.hot), keys, counts)
 
+    @tidy
     def stored_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.array(begin, np.int64)
         for part, keys, (counts,) in _gathered(batches, 1):
             _write(f"{path}/pair/{part}", keys)
-            _write(f"{path}/pair_count/{part}", counts.astype(np.uint32))
+            _store_counts(path, part, counts)
             whole = keys.astype(np.int64)
             context, word = whole // (v + 1), whole % (v + 1)
             # for each word: once, twice, more often followed (as a context); contexts before it
@@ -313,6 +343,7 @@ def train(texts: DataFrame, parts: int | None = None) -> Model:
             own = np.minimum(np.searchsorted(edges, word_id.astype(np.int64), side="right") - 1, parts - 1)
             yield from _blobs(own, word_id, *sums)
 
+    @tidy
     def stored_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, ids, values in _gathered(batches, 4):
             at = ids.astype(np.int64) - begin[part]
@@ -324,7 +355,7 @@ def train(texts: DataFrame, parts: int | None = None) -> Model:
             seen = values[3]
             yield pa.RecordBatch.from_pydict({"n": pa.array([[int((seen == k).sum()) for k in (1, 2, 3, 4)]], pa.list_(pa.int64())), "types": pa.array([int((seen > 0).sum())], pa.int64()), "more": pa.array([int((seen >= 3).sum())], pa.int64()), "pairs": pa.array([int(seen.sum())], pa.int64())})
 
-    sums = _dealt(texts.mapInArrow(pairs, BLOB), parts).mapInArrow(stored_pairs, BLOB)
+    sums = _dealt(texts.mapInArrow(pairs, BLOB), pair_parts).mapInArrow(stored_pairs, BLOB)
     found = _dealt(sums, parts).mapInArrow(stored_sums, "n array<long>, types long, more long, pairs long").collect()
 
     def counts_of_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,7 +364,8 @@ def train(texts: DataFrame, parts: int | None = None) -> Model:
                 c = _map(f"{path}/pair_count/{part}", "u4")
                 yield pa.RecordBatch.from_pydict({"n": pa.array([[int((c == k).sum()) for k in (1, 2, 3, 4)]], pa.list_(pa.int64()))})
 
-    upper = all_parts.mapInArrow(counts_of_counts, "n array<long>").collect()
+    pair_ranges = spark.range(pair_parts, numPartitions=min(pair_parts, 64)).select(F.col("id").cast("int").alias("part"))
+    upper = pair_ranges.mapInArrow(counts_of_counts, "n array<long>").collect()
     model.discounts = discounts(np.sum([r["n"] for r in upper], axis=0).tolist())
     lower = np.sum([r["n"] for r in found], axis=0).tolist()
     model.lower_discounts = discounts(lower)
@@ -366,6 +398,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     text_at = own.columns.index("text")
     v, d, e = model.v, model.discounts, model.lower_discounts
 
+    @tidy
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = _view(model)
         for batch in batches:

@@ -12,7 +12,8 @@ sequence.
 
 Defined results: a null text is an empty one (only the end id); repeated rows
 are packed each on its own; ties go to the earlier document and the lower
-sequence; extra columns are ignored; an empty table gives no rows.
+sequence; extra columns are ignored; an empty table gives no rows; a text of any length is
+tokenised and packed whole.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from ._spark import tidy
 from ._tokens import column_ids
 
-GROUP_TOKENS = 4_000_000
+GROUP_TOKENS = 2_000_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -66,6 +68,7 @@ def assign(lengths: np.ndarray, size: int, linear: float = 1.0, quadratic: float
 def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """One row per piece of ``docs`` (doc_id, text); ``with_ids`` adds the piece's ids as an array of ints."""
 
+    @tidy
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
         used, names, ids, lengths, held = 0, [], [], [], 0
