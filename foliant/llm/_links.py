@@ -69,6 +69,30 @@ def lists(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, rows.shape[1]), pa.int32()), pa.array(rows.reshape(-1)))
 
 
+def packed(rows: np.ndarray) -> pa.Array:
+    """Rows of 64-bit words as binary values, which cost far less on their way than lists."""
+    n, size = len(rows), rows.shape[1] * 8
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * size).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def unpacked(column: pa.Array, words: int) -> np.ndarray:
+    """The rows of uint64 of a column of ``packed``; no nulls."""
+    if not len(column):
+        return np.zeros((0, words), np.uint64)
+    data, ends = np.frombuffer(column.buffers()[2], np.uint8), np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return data[ends[0] : ends[-1]].copy().view(np.uint64).reshape(len(column), words)
+
+
+def key_lists(keys: DataFrame) -> DataFrame:
+    """(id, keys binary) with the keys as array<long>."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.frombuffer(k, np.int64) for k in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "keys"])
+
+    return keys.select("id", "keys").mapInArrow(listed, "id long, keys array<long>")
+
+
 def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     """rows x bands of uint64 from rows x registers."""
     parts = signature.reshape(len(signature), bands, -1)
@@ -123,13 +147,13 @@ def _may_link(threshold: float, words: int, a: str, b: str) -> Column:
     return (F.least(na, nb) >= F.greatest(na, nb) * (threshold - 1e-9)) & (apart <= (na + nb) * ((1 - threshold) / (1 + threshold) + 1e-9))
 
 
-def link(members: DataFrame, known: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+def link(members: DataFrame, known: DataFrame, keys: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
     """(id, root) of all ids that have a link: components over verified links.
 
     members: (bucket long, id long), distinct. known: (id, n int, map
-    array<long>, fine array<long>, keys array<long>), the number of elements of
-    each id, its short and its long bitmap and its band keys, its buckets among
-    them. verify: takes distinct (a, b), a < b, and returns (a, b, sim) for each
+    array<long>, fine binary), the number of elements of each id, its short and
+    its long bitmap. keys: (id, keys binary), the band keys of each id, its
+    buckets among them; read only to split a large bucket. verify: takes distinct (a, b), a < b, and returns (a, b, sim) for each
     of them.
     """
     lead = members.groupBy("bucket").agg(F.min("id").alias("o_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
@@ -144,7 +168,7 @@ def link(members: DataFrame, known: DataFrame, verify: Callable[[DataFrame], Dat
     tables = [left]
     while depth < MOST_SPLITS and not large.isEmpty():
         depth += 1
-        split = large.drop("rows").join(known.select("id", "keys"), "id")
+        split = large.drop("rows").join(key_lists(keys), "id")
         if depth == 1:
             split = split.withColumn("band", (F.array_position("keys", F.col("bucket")) - 1).cast("int"))
         split = split.withColumn("step", F.explode(F.array(*[F.lit(k + 1) for k in range(SPLITS)]))).withColumn("band", F.pmod(F.col("band") + F.col("step"), F.size("keys")))
@@ -208,7 +232,7 @@ def _across(threshold: float, leaders: int | None):
         held = None
         for batch in _then_none(batches):
             if batch is not None:
-                own = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)] + [batch.column(4).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(batch.num_rows, FINE)]
+                own = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)] + [unpacked(batch.column(4), FINE)]
                 held = own if held is None else [np.concatenate(x) for x in zip(held, own, strict=True)]
                 # the last bucket may go on in the next batch
                 end = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0

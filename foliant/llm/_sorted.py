@@ -21,8 +21,6 @@ from pyspark.sql import DataFrame
 from . import _bytes
 from ._spark import folder, tidy
 
-#: Marks a key that one task saw with several values.
-SEVERAL = np.uint32(0xFFFFFFFF)
 BLOB = "part int, k binary, c binary"
 
 
@@ -83,7 +81,7 @@ class KeyFiles:
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query index, value) of every entry of each of these int64 keys."""
         hashed = _bytes.mix(keys.view(np.uint64))
-        order = np.argsort(hashed, kind="stable")
+        order = np.argsort(hashed)
         sorted_keys = hashed[order]
         bounds = np.searchsorted(key_range(sorted_keys, self.parts), np.arange(self.parts + 1))
         at, values = [], []
@@ -119,23 +117,16 @@ class KeyFiles:
 _open: dict[tuple[str, str, int], np.ndarray] = {}
 
 
-def _stored(rows: DataFrame, parts: int, only_shared: bool) -> KeyFiles:
-    """Blob rows merged and stored; only_shared: just the keys that come with different values."""
+def _stored(rows: DataFrame, parts: int) -> KeyFiles:
+    """Blob rows merged and stored."""
     path = folder(rows.sparkSession, "keys")
 
     @tidy
     def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, keys, values in ranges(batches):
-            if only_shared:
-                first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-                last = np.append(first[1:], len(keys)) - 1
-                use = (values[first] != values[last]) | (values[last] == SEVERAL)
-                keys, values = keys[first[use]], values[first[use]]
-            else:
-                use = np.concatenate([[True], (keys[1:] != keys[:-1]) | (values[1:] != values[:-1])])
-                keys, values = keys[use], values[use]
-            write_array(f"{path}/key/{part}", keys)
-            write_array(f"{path}/value/{part}", values)
+            use = np.concatenate([[True], (keys[1:] != keys[:-1]) | (values[1:] != values[:-1])])
+            write_array(f"{path}/key/{part}", keys[use])
+            write_array(f"{path}/value/{part}", values[use])
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32())})
 
     rows.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(stored, "part int").agg({"part": "count"}).collect()
@@ -162,43 +153,109 @@ def key_files(rows: DataFrame, parts: int | None = None) -> KeyFiles:
         new = np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])]) if len(k) else np.zeros(0, bool)
         yield from blobs(k[new], v[new], parts)
 
-    return _stored(rows.mapInArrow(sent, BLOB), parts, False)
+    return _stored(rows.mapInArrow(sent, BLOB), parts)
 
 
-def shared_keys(rows: DataFrame, parts: int | None = None) -> KeyFiles:
-    """The keys that stand in the lists of two different ids; rows: (id long, keys array<long>)."""
+#: Bits of an id's hash beside the 40 low bits of a key's.
+_ID_BITS = np.uint64(24)
+
+
+@dataclass
+class SharedKeys:
+    """Keys that different ids have, as their 40 low hash bits in files by the range of the high ones."""
+
+    path: str
+    parts: int
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        """Of int64 keys: all that are shared, and by chance one of others now and then."""
+        hashed = _bytes.mix(keys.view(np.uint64))
+        part = key_range(hashed, self.parts)
+        low = hashed & np.uint64((1 << 40) - 1)
+        order = np.argsort(part.astype(np.uint32), kind="stable")
+        bounds = np.searchsorted(part[order], np.arange(self.parts + 1))
+        out = np.zeros(len(keys), bool)
+        for p in np.flatnonzero(np.diff(bounds)).tolist():
+            known = map_array(f"{self.path}/{p}", "u8")
+            if len(known):
+                own = order[bounds[p] : bounds[p + 1]]
+                at = np.minimum(np.searchsorted(known, low[own]), len(known) - 1)
+                out[own] = known[at] == low[own]
+        return out
+
+
+def shared_keys(rows: DataFrame, parts: int | None = None) -> SharedKeys:
+    """The keys that two different ids have; rows: (id long, keys binary of 64-bit words)."""
     parts = _parts(rows, parts)
+    path = folder(rows.sparkSession, "shared")
+
+    def ends(entries: np.ndarray) -> np.ndarray:
+        """Of sorted entries the first and the last of each key: they differ if the key has several ids."""
+        key = entries >> _ID_BITS
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        last = np.concatenate([new[1:], [True]])
+        return entries[new | last]
 
     @tidy
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, values = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+        held: list[list[np.ndarray]] = [[] for _ in range(parts)]
         for batch in batches:
             key, row = flat(batch.column(1))
-            keys.append(_bytes.mix(key.view(np.uint64)))
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            values.append((_bytes.mix(ids.view(np.uint64))[row] >> np.uint64(33)).astype(np.uint32))
-        k, v = np.concatenate(keys), np.concatenate(values)
-        if not len(k):
-            return
-        order = np.lexsort((v, k))
-        k, v = k[order], v[order]
-        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        last = np.append(first[1:], len(k)) - 1
-        yield from blobs(k[first], np.where(v[first] == v[last], v[first], SEVERAL), parts)
-
-    return _stored(rows.mapInArrow(sent, BLOB), parts, True)
-
+            hashed = _bytes.mix(key.view(np.uint64))
+            ids = _bytes.mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) >> np.uint64(40)
+            entry = (hashed << _ID_BITS) | ids[row]
+            part = key_range(hashed, parts)
+            order = np.argsort(part.astype(np.uint32), kind="stable")
+            bounds = np.searchsorted(part[order], np.arange(parts + 1))
+            entry = entry[order]
+            for p in np.flatnonzero(np.diff(bounds)).tolist():
+                held[p].append(entry[bounds[p] : bounds[p + 1]])
+        for p, own in enumerate(held):
+            if own:
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([ends(np.sort(np.concatenate(own))).tobytes()], pa.binary())], ["part", "k"])
 
-def flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(values, row of each) of a list column; null lists are empty."""
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.combine_chunks()
-    n = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.float64)).astype(np.int64)
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(len(lists)), n)
+    @tidy
+    def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
 
+        def done():
+            entries = ends(np.sort(np.concatenate(held)))
+            key = entries >> _ID_BITS
+            # two different entries of one key are two ids
+            several = (key[1:] == key[:-1]) & (entries[1:] != entries[:-1])
+            write_array(f"{path}/{part}", np.unique(key[1:][several]))
 
-def members(rows: DataFrame, keys: KeyFiles) -> DataFrame:
-    """(bucket, id) of the keys in ``keys``; rows: (id long, keys array<long>)."""
+        for batch in batches:
+            for p, k in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if p != part:
+                    if held:
+                        done()
+                    part, held = p, []
+                held.append(np.frombuffer(k.as_buffer(), np.uint64))
+        if held:
+            done()
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part if part is not None else -1], pa.int32())})
+
+    rows.mapInArrow(sent, "part int, k binary").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(stored, "part int").agg({"part": "count"}).collect()
+    return SharedKeys(path, parts)
+
+
+def flat(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(int64 words, row of each) of a column of binary values of whole words; nulls are empty."""
+    if isinstance(packed, pa.ChunkedArray):
+        packed = packed.combine_chunks()
+    if not len(packed):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if packed.null_count:
+        packed = packed.fill_null(b"")
+    ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1].astype(np.int64)
+    data = packed.buffers()[2]
+    words = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].copy().view(np.int64) if data is not None else np.zeros(0, np.int64)
+    return words, np.repeat(np.arange(len(packed)), np.diff(ends) // 8)
+
+
+def members(rows: DataFrame, keys: SharedKeys) -> DataFrame:
+    """(bucket, id) of the keys in ``keys``; rows: (id long, keys binary)."""
 
     @tidy
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

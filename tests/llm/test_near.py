@@ -3,7 +3,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from foliant.llm import _bytes, _links, bagminhash, line_dedup, spotsigs
 
@@ -46,20 +45,21 @@ def test_registers_agree_as_often_as_the_weighted_jaccard_similarity_says():
     assert abs((signed[0] == signed[1]).mean() - plain.jaccard(a, b)) < 0.03
 
 
-def runs(spark, starts, buckets):
+def runs(spark, starts, buckets, bands=lambda i: [0, 1]):
     """What ``link`` takes, for sets of 90 consecutive numbers: alike (0.8) if they start at most 10 apart."""
     bags = [(np.zeros(90, np.int64), _bytes.mix(np.arange(x, x + 90, dtype=np.uint64)), np.ones(90, np.int64)) for x in starts]
     fine = [_links.bitmaps(*bag, 1) for bag in bags]
     short = [_links.folded(f)[0].tolist() for f in fine]
     members = spark.createDataFrame([(k, i) for k, ids in buckets.items() for i in ids], "bucket long, id long")
-    known = spark.createDataFrame([(i, 90, short[i], fine[i][0].tolist(), list(buckets)) for i in range(len(starts))], "id long, n int, map array<long>, fine array<long>, keys array<long>")
+    known = spark.createDataFrame([(i, 90, short[i], bytearray(fine[i].tobytes())) for i in range(len(starts))], "id long, n int, map array<long>, fine binary")
+    keys = spark.createDataFrame([(i, bytearray(np.array(bands(i), "<i8").tobytes())) for i in range(len(starts))], "id long, keys binary")
     place = spark.createDataFrame(list(enumerate(starts)), "id long, x long")
 
     def verify(pairs):
         both = pairs.join(place.selectExpr("id a", "x xa"), "a").join(place.selectExpr("id b", "x xb"), "b")
         return both.selectExpr("a", "b", "(90 - abs(xa - xb)) / (90 + abs(xa - xb)) sim")
 
-    return members, known, verify, 0.8
+    return members, known, keys, verify, 0.8
 
 
 def chained(starts):
@@ -91,9 +91,8 @@ def test_a_large_bucket_is_split_by_further_bands(spark, monkeypatch):
     monkeypatch.setattr(_links, "SMALL", 20)
     rng = random.Random(9)
     starts = [300 * (i % 12) + rng.randrange(40) for i in range(120)]
-    members, known, *rest = runs(spark, starts, {0: range(120)})
-    keys = F.array(F.lit(0).cast("long"), *[(F.col("id") % 12 + 100 * k).cast("long") for k in (1, 2, 3)])
-    roots = {r.id: r.root for r in _links.link(members, known.withColumn("keys", keys), *rest).collect()}
+    bands = lambda i: [0, *[i % 12 + 100 * k for k in (1, 2, 3)]]
+    roots = {r.id: r.root for r in _links.link(*runs(spark, starts, {0: range(120)}, bands)).collect()}
     assert {i: roots.get(i, i) for i in range(120)} == chained(starts)
 
 
