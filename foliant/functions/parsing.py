@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .text import squeeze, strip
 
 
+# The formats of page references, topics, citations and chapter headers.
+
 
 def page_ref(digits: int) -> str:
     """The pattern of a page reference: so many digits at most and a column letter, perhaps a range."""
@@ -27,7 +29,7 @@ PARTS_OF_WORKS = "bk book part parts chapter ch sect section q qq a aa ans rep v
 CHAPTER_NUMBERS = {("3S", "HONOR"): 35}
 
 #: Stands for "the work named before" in the chunks of a reference.
-SAME_WORK = "__CONTINUATION__"
+SAME_WORK = "\x00same"
 
 
 def or_null(text: Column) -> Column:
@@ -99,20 +101,21 @@ def reference_chunks(rest: Column, pattern: str = PAGE_REF) -> Column:
     """
     flat = F.regexp_replace(F.regexp_replace(rest, "[—–]", "-"), r"(?i)\b(passim|esp)\b", "")
     trimmed = lambda x: _rtrim(strip(x), ",;.")
-    works = F.filter(F.transform(F.split(flat, "/"), trimmed), lambda x: x != "")
-    head = lambda x: F.when(x.rlike(pattern), strip(F.regexp_extract(x, rf"(?s)^(.*?){pattern}", 1))).otherwise(x)
     none = F.lit(None).cast("string")
+    # each step is an array of its own, so that no pattern runs more often than it must
+    works = F.filter(F.transform(F.split(flat, "/"), trimmed), lambda x: x != "")
+    placed = F.transform(works, lambda x: F.struct(x.alias("x"), F.regexp_instr(x, F.lit(pattern)).alias("at")))
+
+    def split(s: Column) -> Column:
+        name = F.when(s["at"] > 0, strip(F.substr(s["x"], F.lit(1), s["at"] - 1))).otherwise(s["x"])
+        parts = F.filter(F.transform(F.split(F.substr(s["x"], s["at"]), ";"), trimmed), lambda y: y != "")
+        return F.struct(F.when(name == "", SAME_WORK).otherwise(name).alias("work"), F.when(s["at"] > 0, parts).otherwise(F.array(F.lit(""))).alias("parts"))
 
-    def ranges(x: Column) -> Column:
-        body = F.substr(x, F.regexp_instr(x, F.lit(pattern)))
-        name = F.when(head(x) == "", SAME_WORK).otherwise(head(x))
-        parts = F.filter(F.transform(F.split(body, ";"), trimmed), lambda y: y != "")
-        first = lambda y: F.element_at(page_refs(y, pattern), 1)
-        has = lambda y: F.size(page_refs(y, pattern)) > 0
-        split = F.transform(parts, lambda y: F.struct(name.alias("work"), F.when(has(y), first(y)["start"]).alias("start"), F.when(has(y), first(y)["end"]).alias("end")))
-        return F.when(x.rlike(pattern), split).otherwise(F.array(F.struct(x.alias("work"), none.alias("start"), none.alias("end"))))
+    def ranges(s: Column) -> Column:
+        found = F.transform(s["parts"], lambda y: F.struct(or_null(F.regexp_extract(y, pattern, 1)).alias("start"), or_null(F.regexp_extract(y, pattern, 2)).alias("end")))
+        return F.transform(found, lambda r: F.struct(s["work"].alias("work"), F.coalesce(r["start"], none).alias("start"), F.coalesce(r["end"], r["start"]).alias("end")))
 
-    return F.flatten(F.transform(works, ranges))
+    return F.flatten(F.transform(F.transform(placed, split), ranges))
 
 
 def is_topic_title(title: Column) -> Column:

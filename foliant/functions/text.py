@@ -16,27 +16,36 @@ vorld world | Vorld World | vhen when | Vhen When | vere were | Vere Were | vay
 lias has | Lias Has | tlie the | Tlie The | llie the | niatter matter | Niatter Matter
 iiian man | hfe life | Hfe Life | CHAFFER CHAPTER | Chapteri Chapter 1
 JudaeoChristian Judaeo-Christian | senseperception sense-perception | Senseperception Sense-perception
-liave have | liat that | nianv many | jov joy | gocxl good | hojx hope | happv happy | happilv happily | wdth with
+liave have | liat that | nianv many | jov joy | gocxl good | hojx hope | happv happy | happilv happily | wdth with | tliat that
 Citxl God | Gixl God | Gtxl God | Sirints Saints
 """
 
-#: Phrases that are replaced wherever they stand.
-WRONG_PHRASES = {
-    "SCHLEIERMACHFR": "SCHLEIERMACHER",
-    "Maimomdes": "Maimonides",
-    "Scotus Engena": "Scotus Erigena",
-    "Judaeo-christian": "Judaeo-Christian",
-    "Darw in": "Darwin",
-    "doc s": "does",
-    "m;»chine": "machine",
-}
-
-#: A backslash that stands for one letter inside these words.
-BACKSLASH_WORDS = {
-    "v": "have live love give given giving move movement even ever every divine private serve served serving service observe preserve convert convince reveal revolution believe develop deprivation evade living vegetative collectively collective several active actively provide various validate verbal",
-    "k": "works Books Book Dick bulk",
-    "w": "which power showing growth grown",
-}
+# Spellings that scanning leaves where an italic letter stood, as patterns, and what they stand for.
+BACKSLASH_REPAIRS = (
+    (r"\bha\\e\b", "have"), (r"\bli\\e\b", "live"), (r"\blo\\e\b", "love"), (r"\bgi\\e\b", "give"), (r"\bgi\\en\b", "given"), (r"\bgi\\ing\b", "giving"),
+    (r"\bmo\\e\b", "move"), (r"\bmo\\ement\b", "movement"), (r"\bne\\v\b", "new"), (r"\be\\en\b", "even"), (r"\be\\er\b", "ever"), (r"\be\\ery\b", "every"),
+    (r"\bc\\cn\b", "even"), (r"\bdi\\ine\b", "divine"), (r"\bpri\\ate\b", "private"), (r"\bser\\e\b", "serve"), (r"\bser\\ed\b", "served"), (r"\bser\\ing\b", "serving"),
+    (r"\bser\\ice", "service"), (r"\bobser\\e", "observe"), (r"\bpreser\\e", "preserve"), (r"\bcon\\ert", "convert"), (r"\bcon\\ince", "convince"), (r"\bin\\ol", "invol"),
+    (r"\bre\\eal", "reveal"), (r"\bre\\olution", "revolution"), (r"\bbelie\\e", "believe"), (r"\bde\\'eloped\b", "developed"), (r"\bde\\elop", "develop"),
+    (r"\bdepri\\'?ation\b", "deprivation"), (r"\be\\'?ade\b", "evade"), (r"\bli\\'?ing\b", "living"), (r'\bvegetati\\"?e\b', "vegetative"),
+    (r"\bcollecti\\'?ely\b", "collectively"), (r"\bcollecti\\'?e\b", "collective"), (r"\bse\\eral\b", "several"), (r"\bacti\\e\b", "active"), (r"\bacti\\ely\b", "actively"),
+    (r"\bpro\\ide", "provide"), (r"\\arious\b", "various"), (r"\\alidate", "validate"), (r"\b\\'erbal\b", "verbal"), (r"\bE\\'OLUTION\b", "EVOLUTION"),
+    (r"\bsophistr\\'(?!\w)", "sophistry"), (r"\btheor\\'(?!\w)", "theory"), (r"\bglor\\'?(?!\w)", "glory"), (r"\bPurgator\\'?-?(?!\w)", "Purgatory"), (r"\bfacult\\'?i?\b", "faculty"),
+    (r"\bwor\\s\b", "works"), (r"\bBoo\\s\b", "Books"), (r"\bBoo\\\b", "Book"), (r"\bDic\\\b", "Dick"), (r"\bbul\\\b", "bulk"), (r"\bloo\\not\b", "look not"),
+    (r"\\\\'?hich\b", "which"), (r"\bpo\\\\'?er\b", "power"), (r"\bsho\\\\'?ing\b", "showing"), (r"\bgro\\\\'?th\b", "growth"), (r"\bgro\\\\n\b", "grown"),
+    (r"\bcommon\\\\\^?\s*ealth\b", "commonwealth"), (r"\\\^'?orld\b", "world"), (r"\\\^['\x20]rites\b", "writes"), (r"\bspa\\esty\b", "spakest"), (r"\bwhate\\-er\b", "whatever"),
+    (r"\bx\\ristotle\b", "Aristotle"), (r"\bx\\nimal\b", "Animal"), (r"\\ND\b", "AND"), (r"\\vc\b", "we"), (r"\bDar\\vin\b", "Darwin"),
+)
+
+# The same for ligatures and other marks.
+MARK_REPAIRS = (
+    ("SCHLEIERMACHFR", "SCHLEIERMACHER"), ("Maimomdes", "Maimonides"), ("m;»chine", "machine"), (r"\bC»<xl\b", "God"), (r"\bCi[0O]ti\b|\bC»\w+\b", "God"),
+    (r"\bScotus Engena\b", "Scotus Erigena"), ("Judaeo-christian", "Judaeo-Christian"), (r"\bDarw in\b", "Darwin"), (r"\bdoc s\b", "does"),
+    (r"'?\bI'he\b", "The"), (r"\bi'hc\b", "the"), (r"'I'his\b", "This"),
+    (r"\bIx[*:](?!\w)", "be"), (r"\bIx\^(\w+)", "be$1"), (r"\bIx-causc\b", "because"), (r"\bIx-twecn\b", "between"), (r"\bIx- (\w+)", "be $1"), (r"\bIx-(\w+)", "be$1"), (r"\bIx\b(?=\s+[A-Z])", "In"),
+    (r"\bdisjunctit['\"]?e\\?['\"]?\b", "disjunctive"), (r"\bma\^e\b", "make"), (r"\.ristotle\b", "Aristotle"), (r"\bw'ith\b", "with"),
+    (r"\bm\.an\b", "man"), (r"\bm\.atter\b", "matter"), (r"\bam\.ong\b", "among"), (r"\bam\.ount\b", "amount"),
+)
 
 #: Words after which "arc" is a curve and no misread "are".
 DETERMINERS = "an the this that each every any no its their his her our your one".split()
@@ -50,54 +59,50 @@ def wrong_words() -> dict[str, str]:
     return {wrong: right for wrong, right in pairs}
 
 
-def backslash_words() -> dict[str, str]:
-    """Each spelling with a backslash in place of the last such letter that is not the first, and the word."""
-    out = {}
-    for letter, words in BACKSLASH_WORDS.items():
-        for word in words.split():
-            at = word.rfind(letter, 1) if letter in word[1:] else 0
-            out[word[:at] + "\\" + word[at + 1 :]] = word
-    return out
-
-
 def tokens(text: Column) -> Column:
     """Words (letters, digits, _) and what stands between them, in order; joined they are the text."""
     return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"), F.lit(0))
 
 
+_BEFORE, _AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+
+
 def fix_words(text: Column, words: dict[str, str] | None = None) -> Column:
-    """Misread words put right in one pass over the tokens.
+    """Misread words put right, a pass for each kind of error.
 
     "oi", "ol" and "ot" before a lower-case word become "of"; "docs" not before
     a full stop becomes "does"; "arc" becomes "are" unless a determiner stands
     before it.
     """
-    table = F.create_map(*[F.lit(x) for pair in (words or wrong_words()).items() for x in pair])
-    t = tokens(text)
-    at = lambda i: F.coalesce(F.try_element_at(t, i), F.lit(""))
-
-    def fixed(x: Column, i: Column) -> Column:
-        gap, after = at(i + 2), at(i + 3)
-        of = x.isin("oi", "ol", "ot") & gap.rlike(r"^\s+$") & after.rlike("^[a-z]")
-        does = (x == "docs") & ~gap.rlike(r"^\s*\.")
-        # i counts from 0, elements from 1: the gap before is element i, the word before it i - 1
-        curve = (i >= 2) & at(F.greatest(i, F.lit(1))).rlike(r"^\s*$") & F.lower(at(F.greatest(i - 1, F.lit(1)))).isin(DETERMINERS)
-        return F.when(of, "of").when(does, "does").when((x == "arc") & ~curve, "are").otherwise(F.coalesce(F.try_element_at(table, x), x))
-
-    return F.array_join(F.transform(t, fixed), "")
+    # words that differ in their first letter alone share a pass
+    kinds: dict[tuple[str, str], list[str]] = {}
+    for wrong, right in (words or wrong_words()).items():
+        own = (wrong[0], right[0]) if wrong[1:] == right[1:] else (wrong, right)
+        kinds.setdefault(own, []).append(wrong[len(own[0]) :])
+    for (wrong, right), rests in kinds.items():
+        text = F.regexp_replace(text, f"{_BEFORE}{wrong}(?=(?:{'|'.join(rests)}){_AFTER})", right)
+    text = F.regexp_replace(text, rf"{_BEFORE}(?:oi|ol|ot){_AFTER}(?=\s+[a-z])", "of")
+    text = F.regexp_replace(text, rf"{_BEFORE}docs{_AFTER}(?!\s*\.)", "does")
+    # curves are marked, the others put right, the mark taken out
+    curve = F.regexp_replace(text, rf"{_BEFORE}((?i:{'|'.join(DETERMINERS)}))(\s+)arc{_AFTER}", "$1$2a\uE000rc")
+    curve = F.replace(F.regexp_replace(curve, f"{_BEFORE}arc{_AFTER}", "are"), F.lit("a\uE000rc"), F.lit("arc"))
+    return F.when(text.contains("arc"), curve).otherwise(text)
+
+
+def _repaired(text: Column, repairs: tuple[tuple[str, str], ...]) -> Column:
+    for pattern, right in repairs:
+        text = F.regexp_replace(text, f"(?U){pattern}", right)
+    return text
 
 
-def fix_phrases(text: Column) -> Column:
-    for wrong, right in WRONG_PHRASES.items():
-        text = F.replace(text, F.lit(wrong), F.lit(right))
-    return text
+def fix_marks(text: Column) -> Column:
+    """Ligatures, carets, stray points and known garbled names."""
+    return _repaired(text, MARK_REPAIRS)
 
 
 def fix_backslashes(text: Column) -> Column:
-    """Words with a backslash (or backslash and apostrophe) in place of a letter."""
-    for wrong, right in backslash_words().items():
-        text = F.replace(F.replace(text, F.lit(wrong.replace("\\", "\\'")), F.lit(right)), F.lit(wrong), F.lit(right))
-    return text
+    """Words with one or two backslashes (or more marks) in place of a letter."""
+    return F.when(text.contains("\\"), _repaired(text, BACKSLASH_REPAIRS)).otherwise(text)
 
 
 def unglue(text: Column) -> Column:
@@ -108,8 +113,8 @@ def unglue(text: Column) -> Column:
 
 def correct(text: Column) -> Column:
     """The whole chain of corrections, with stray page headers taken out."""
-    text = F.regexp_replace(fix_phrases(text), r"\s+[0-9]{3,4}\s+[A-Z]{3,}\s*\n", "\n")
-    return unglue(fix_words(fix_backslashes(text)))
+    text = F.regexp_replace(text, r"\s+[0-9]{3,4}\s+[A-Z]{3,}\s*\n", "\n")
+    return unglue(fix_words(fix_backslashes(fix_marks(text))))
 
 
 def fix_terminal_v(text: Column, known: set[str] | frozenset[str]) -> Column:

@@ -82,9 +82,11 @@ def order_key(label: Column) -> list[Column]:
     return [parsing.parent_label(label).isNotNull(), parsing.label_number(label), label]
 
 
-def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """``old`` with rows of ``new`` in place of those with their key."""
-    return old.join(new.select(*key).distinct(), key, "left_anti").unionByName(new)
+def upsert(old: DataFrame, new: DataFrame, key: list[str], order: list[Column] | None = None) -> DataFrame:
+    """``old`` with rows of ``new`` in place of those with their key; of several new ones the first in ``order`` (or of the greatest values)."""
+    rest = [c for c in old.columns if c not in key]
+    latest = best_per_group(new, key, order or [F.desc(c) for c in rest]).select(*old.columns)
+    return old.join(latest.select(*key), key, "left_anti").unionByName(latest)
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, key: list[str], order: list[Column]) -> DataFrame:

@@ -1,30 +1,60 @@
 """Folds whose state depends on every line before: one chapter or volume a group.
 
 Lines are classified by native expressions first; Python sees only the lines
-that matter, grouped by chapter (small by nature) and sorted inside the group.
+that matter, dealt by chapter (small by nature) and sorted, and folds one
+chapter after the other.
 """
 
 from __future__ import annotations
 
 import re
-from itertools import count
+from collections.abc import Callable, Iterable, Iterator
+from itertools import count, groupby
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from foliant.functions import parsing, text as T
 
+# The formats of section headers, stop lines and continuations.
 OUTLINE_HEADER = r"(?i)^OUTLINE\s+OF\s+TOPICS$"
 REFERENCES_HEADER = r"(?i)^REFERENCES$"
 CROSS_LINE = r"(?i)\bCROSS[- ]REFERENCES?\b|^\s*For\s*[:.]|^\s*For\s+another\b"
 CONTINUED = r"(?i)^\s*(?:q\s|qq\s|a\s|aa\s|ans|rep|ch|chapter|bk\s|book\s|part\s|section\s|sect\s|vol\s|volume\s|tome\s|tr\s|[0-9]+\s*\.)"
 
 
+def folded(rows: DataFrame, keys: list[str], order: str, fold: Callable[[list[tuple]], Iterable[tuple]], out: str) -> DataFrame:
+    """(keys, out) of ``fold`` over each group's rows, tuples of the columns but the keys, in ``order``; a task holds one group at a time."""
+    rest = [c for c in rows.columns if c not in keys]
+    schema = StructType([*[f for f in rows.schema.fields if f.name in keys], *_parse_datatype_string(out).fields])
+    arrow = to_arrow_schema(schema)
+    rows = rows.select(*keys, *rest)
+    schema = StructType([schema[k] for k in keys] + [f for f in schema.fields if f.name not in keys])
+    arrow = to_arrow_schema(schema)
+
+    def tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for key, group in groupby(tuples(batches), key=lambda r: r[: len(keys)]):
+            held += [(*key, *r) for r in fold([r[len(keys) :] for r in group])]
+            if len(held) >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), arrow, strict=True)], schema=arrow)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), arrow, strict=True)], schema=arrow)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, order).mapInArrow(each, schema)
+
+
 def _parts(lines: DataFrame, keys: list[str]) -> DataFrame:
     """Lines with kind and section (0 before the outline, 1 in it, 2 in the references, 3 after)."""
-    from pyspark.sql import Window
-
     line = T.strip(F.col("line"))
     w = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = lambda c: F.max(c.cast("int")).over(w)
@@ -38,7 +68,7 @@ def _parts(lines: DataFrame, keys: list[str]) -> DataFrame:
 def outline_labels(numbers: list[int]) -> list[str | None]:
     """Labels by position: a number may repeat or advance by one; a greater jump is misread; a lesser one is a stray.
 
-    The first line of a parent is "3", then "3a", "3b", ...
+    The first line of a parent is "3", then "3a", "3b", ... and after "3z" "3aa".
     """
     labels: list[str | None] = []
     parent, used = 1, 0
@@ -48,23 +78,33 @@ def outline_labels(numbers: list[int]) -> list[str | None]:
             continue
         if n == parent + 1:
             parent, used = n, 0
-        labels.append(f"{parent}{chr(96 + used) if used else ''}")
+        labels.append(f"{parent}{letters(used)}")
         used += 1
     return labels
 
 
+def letters(n: int) -> str:
+    """"", a, b, ..., z, aa, ab, ..."""
+    out = ""
+    while n:
+        n, last = divmod(n - 1, 26)
+        out = chr(97 + last) + out
+    return out
+
+
 def topics(lines: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, label, title, parent_label, line_no) of the outlines of chapter lines (keys, line_no, line)."""
     found = _parts(lines, keys).filter((F.col("section") == 1) & F.col("line").rlike(parsing.TOPIC))
     found = found.select(*keys, "line_no", F.regexp_extract("line", parsing.TOPIC, 1).cast("int").alias("n"), T.strip(F.regexp_extract("line", parsing.TOPIC, 3)).alias("title"))
 
-    def labelled(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("line_no")
-        group["label"] = outline_labels(group["n"].tolist())
-        return group[group["label"].notna()].drop_duplicates("label")[[*keys, "label", "title", "line_no"]]
+    def labelled(rows: list[tuple]) -> Iterator[tuple]:
+        seen = set()
+        for (line_no, _, title), label in zip(rows, outline_labels([r[1] for r in rows]), strict=True):
+            if label is not None and label not in seen:
+                seen.add(label)
+                yield label, title, line_no
 
-    kinds = ", ".join(f"{k} {t}" for k, t in lines.dtypes if k in keys)
-    out = found.groupBy(*keys).applyInPandas(labelled, f"{kinds}, label string, title string, line_no int")
+    out = folded(found, keys, "line_no", labelled, "label string, title string, line_no int")
     return out.select(*keys, "label", "title", parsing.parent_label(F.col("label")).alias("parent_label"), "line_no")
 
 
@@ -80,40 +120,34 @@ def citations(lines: DataFrame, keys: list[str], repeat_absorbed: bool = True, p
     repeat_absorbed: absorbed lines are looked at once more as continuations.
     pages: the pattern of page references.
     """
-    from pyspark.sql import Window
-
-    parts = _parts(lines, keys).withColumn("line", T.strip(F.col("line")))
-    labels = topics(lines, keys).select(*keys, F.row_number().over(Window.partitionBy(*keys).orderBy("line_no")).alias("nth"), "label")
-    is_topic = F.col("line").rlike(parsing.TOPIC) & parsing.is_topic_title(T.strip(F.regexp_extract("line", parsing.TOPIC, 3)))
-    parts = parts.filter((F.col("section") == 2) & (F.col("line") != "") & ~F.col("line").rlike(REFERENCES_HEADER)).withColumn("is_topic", is_topic)
-    w = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = parts.withColumn("nth", F.sum(F.col("is_topic").cast("int")).over(w)).join(labels, [*keys, "nth"], "left")
-
-    def folded(group: pd.DataFrame) -> pd.DataFrame:
-        rows = list(group.sort_values("line_no")[["line_no", "line", "is_topic", "label"]].itertuples(index=False))
-        heads = [None if r.is_topic else _CITATION.match(r.line) for r in rows]
-        out, author, skip = [], None, -1
-        for i, r in enumerate(rows):
-            if r.is_topic:
-                author = None
-            elif heads[i] and isinstance(r.label, str):
+    parts = _parts(lines, keys).withColumn("line", T.strip(F.col("line"))).filter(F.col("section").isin(1, 2) & (F.col("line") != ""))
+    title = T.strip(F.regexp_extract("line", parsing.TOPIC, 3))
+    # the number of an outline's topic, and whether a line of the references is one
+    number = F.when((F.col("section") == 1) & F.col("line").rlike(parsing.TOPIC), F.regexp_extract("line", parsing.TOPIC, 1).cast("int"))
+    is_topic = F.col("line").rlike(parsing.TOPIC) & parsing.is_topic_title(title)
+    parts = parts.withColumn("n", number).filter(F.when(F.col("section") == 1, F.col("n").isNotNull()).otherwise(~F.col("line").rlike(REFERENCES_HEADER)))
+    parts = parts.select(*keys, "line_no", "line", "n", ((F.col("section") == 2) & is_topic).alias("is_topic"))
+
+    def cited_by(lines_of: list[tuple]) -> Iterator[tuple]:
+        labels = list(dict.fromkeys(x for x in outline_labels([n for _, _, n, _ in lines_of if n is not None]) if x is not None))
+        rows = [(line_no, line, is_topic) for line_no, line, n, is_topic in lines_of if n is None]
+        heads = [None if is_topic else _CITATION.match(line) for _, line, is_topic in rows]
+        author, label, nth, skip = None, None, 0, -1
+        for i, (line_no, line, is_topic) in enumerate(rows):
+            if is_topic:
+                author, label, nth = None, labels[nth] if nth < len(labels) else None, nth + 1
+            elif heads[i] and label:
                 author = (int(heads[i][1]), heads[i][2].strip().rstrip(".'`\""))
                 rest = heads[i][3].strip()
                 for k in count(i + 1):
-                    if re.search(pages, rest) or k >= len(rows) or rows[k].is_topic or heads[k]:
+                    if re.search(pages, rest) or k >= len(rows) or rows[k][2] or heads[k]:
                         break
-                    rest, skip = f"{rest} {rows[k].line}".strip(), k
-                out.append((r.line_no, r.label, *author, rest, r.line, False))
-            elif author and isinstance(r.label, str) and re.search(pages, r.line) and (repeat_absorbed or i > skip):
-                out.append((r.line_no, r.label, *author, r.line, r.line, bool(_CONTINUED.match(r.line))))
-        found = pd.DataFrame(out, columns=["line_no", "topic_label", "author_number", "author", "rest", "cited", "inherits"])
-        for k in keys:
-            found[k] = group[k].iloc[0]
-        return found
+                    rest, skip = f"{rest} {rows[k][1]}".strip(), k
+                yield line_no, label, *author, rest, line, False
+            elif author and label and re.search(pages, line) and (repeat_absorbed or i > skip):
+                yield line_no, label, *author, line, line, bool(_CONTINUED.match(line))
 
-    kinds = ", ".join(f"{k} {t}" for k, t in lines.dtypes if k in keys)
-    schema = f"line_no int, topic_label string, author_number int, author string, rest string, cited string, inherits boolean, {kinds}"
-    cited = parts.groupBy(*keys).applyInPandas(folded, schema)
+    cited = folded(parts, keys, "line_no", cited_by, "line_no int, topic_label string, author_number int, author string, rest string, cited string, inherits boolean")
     # chunks without a work of their own, and continued parts, take the last work named for the same author in the topic
     chunks = cited.select("*", F.posexplode(parsing.reference_chunks(F.col("rest"), pages)).alias("chunk", "c"))
     own = F.when((F.col("c.work") != parsing.SAME_WORK) & ~(F.col("inherits") & (F.col("chunk") >= 0)), F.col("c.work"))

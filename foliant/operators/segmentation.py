@@ -67,23 +67,26 @@ def join_split_headers(rows: DataFrame, key: str) -> DataFrame:
     return rows.filter(~F.col("taken")).select(key, "line_no", F.col("whole").alias("line"))
 
 
-def chapter_starts(rows: DataFrame, key: str) -> DataFrame:
-    """(key, number, name, line_no, next_line): one start a chapter, names in capitals preferred, then the earliest line; next_line by line order."""
+def _with_starts(rows: DataFrame, key: str) -> DataFrame:
+    """(key, line_no, line, c): c is (number, name, start) on the line where a chapter starts, else null; all windows share one exchange."""
     rows = join_split_headers(rows, key)
+    header = F.col("line").rlike(parsing.CHAPTER)
     raw, name = F.regexp_extract("line", parsing.CHAPTER, 1), T.clean_idea_name(F.regexp_extract("line", parsing.CHAPTER, 2))
-    found = rows.filter(F.col("line").rlike(parsing.CHAPTER)).select(key, "line_no", name.alias("name"), parsing.chapter_number(raw, name).alias("number"), (name == F.upper(name)).alias("capitals")).filter("number is not null")
-    best = found.withColumn("rank", F.row_number().over(Window.partitionBy(key, "number").orderBy(F.desc("capitals"), "line_no"))).filter("rank = 1")
-    return best.select(key, "number", "name", "line_no", F.lead("line_no").over(Window.partitionBy(key).orderBy("line_no")).alias("next_line"))
+    rows = rows.withColumn("raw", F.when(header, raw)).withColumn("name", F.when(header, name)).withColumn("number", F.when(header, parsing.chapter_number(F.col("raw"), F.col("name"))))
+    order = F.struct((F.col("name") != F.upper("name")).alias("small"), "line_no")
+    best = F.min(F.when(F.col("number").isNotNull(), order)).over(Window.partitionBy(key, "number"))
+    return rows.select(key, "line_no", "line", F.when(best["line_no"] == F.col("line_no"), F.struct("number", "name", F.col("line_no").alias("start"))).alias("c"))
+
+
+def chapter_starts(rows: DataFrame, key: str) -> DataFrame:
+    """(key, number, name, line_no, next_line): one start a chapter, names in capitals preferred, then the earliest line; next_line by line order."""
+    best = _with_starts(rows, key).filter("c is not null")
+    return best.select(key, "c.number", "c.name", "line_no", F.lead("line_no").over(Window.partitionBy(key).orderBy("line_no")).alias("next_line"))
 
 
 def chapter_lines(rows: DataFrame, key: str) -> DataFrame:
     """(key, number, name, line_no, line) of the lines below each chapter's header."""
-    rows = join_split_headers(rows, key)
-    starts = chapter_starts(rows, key)
-    # each line takes the last start at or before it: a union and a running last, no range join
-    marks = starts.select(key, "line_no", F.struct("number", "name", F.col("line_no").alias("start")).alias("c"))
-    joined = rows.join(marks, [key, "line_no"], "left")
-    held = joined.withColumn("c", F.last("c", ignorenulls=True).over(up_to_here(key)))
+    held = _with_starts(rows, key).withColumn("c", F.last("c", ignorenulls=True).over(up_to_here(key)))
     return held.filter(F.col("c").isNotNull() & (F.col("line_no") > F.col("c.start"))).select(key, "c.number", "c.name", "line_no", "line")
 
 
@@ -115,24 +118,37 @@ def structured_references(rows: DataFrame, key: str) -> DataFrame:
     return out.select(key, "number", "name", F.row_number().over(Window.partitionBy(key, "number").orderBy("at")).alias("ord"), "code", "description", "refs")
 
 
-#: Headers of an index's front matter and their order.
-FRONT_MATTER = {"PREFACE": 1, "INTRODUCTION": 2, "EXPLANATION OF REFERENCE STYLE": 3, "LIST OF AUTHORS": 4}
+#: Headers of an index's front matter and their order. Headers that hold a work's own title come as a parameter.
+FRONT_MATTER = {"PREFACE": 1, "EXPLANATION OF REFERENCE STYLE": 2}
 
 
 def front_matter(rows: DataFrame, key: str, headers: dict[str, int] | None = None) -> DataFrame:
-    """(key, section, ord, body): first header of each kind that prose follows within five lines; to the next header or chapter."""
+    """(key, section, ord, body): first header of each kind that prose follows within five lines; to the next header or chapter.
+
+    A header may have a page number of at most 8 characters behind it. Such
+    lines stand at the head of pages too, and are left out of bodies, as are
+    page marks and scraps; a body's paragraphs are parted by blank lines.
+    """
     headers = headers or FRONT_MATTER
     table = F.create_map(*[F.lit(x) for pair in headers.items() for x in pair])
     w = Window.partitionBy(key).orderBy("line_no")
-    prose = F.col("line").rlike(r"\p{Ll}") & (F.length("line") >= 30)
-    soon = F.max(prose.cast("int")).over(w.rowsBetween(1, 5)) == 1
-    stop = F.col("line").rlike(parsing.CHAPTER)
-    title = T.strip(F.upper(F.col("line")))
-    rows = rows.withColumn("title", F.when(title.isin(list(headers)) & soon, title))
-    first = F.row_number().over(Window.partitionBy(key, "title").orderBy("line_no")) == 1
-    rows = rows.withColumn("opens", F.when(F.col("title").isNotNull() & first, F.col("title"))).withColumn("bound", F.col("opens").isNotNull() | stop)
-    held = rows.withColumn("section", F.last(F.when(F.col("bound"), F.coalesce("opens", F.lit(""))), ignorenulls=True).over(up_to_here(key)))
-    body = held.filter("section != '' and not bound").groupBy(key, "section").agg(T.strip(ordered_text("line_no", "line")).alias("body"))
+    prose = F.col("line").rlike(r"\p{Ll}") & (F.length(T.strip(F.col("line"))) >= 30)
+    soon = F.coalesce(F.max(prose.cast("int")).over(w.rowsBetween(1, 5)) == 1, F.lit(False))
+    stop = F.col("line").rlike(r"^\s*Chapteri?\s*[:0-9]")
+    line = T.strip(F.col("line"))
+    title = F.lit(None).cast("string")
+    for h in sorted(headers, key=len):
+        title = F.when(F.upper(line).startswith(h) & (F.length(line) <= len(h) + 8), h).otherwise(title)
+    rows = rows.withColumn("title", title).withColumn("opens", F.when(soon, F.col("title")))
+    first = F.row_number().over(Window.partitionBy(key, "opens").orderBy("line_no")) == 1
+    rows = rows.withColumn("bound", F.when(F.col("opens").isNotNull() & first, F.col("opens")).when(stop, ""))
+    rows = rows.withColumn("section", F.last("bound", ignorenulls=True).over(up_to_here(key)))
+    kept = rows.filter((F.col("section") != "") & F.col("title").isNull() & ~T.is_noise_line(F.col("line")))
+    blank = line == ""
+    in_section = Window.partitionBy(key, "section").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = kept.withColumn("island", F.sum(blank.cast("int")).over(in_section)).filter(~blank).withColumn("part", line)
+    paragraphs = kept.groupBy(key, "section", "island").agg(ordered_text("line_no", "part", " ").alias("text"))
+    body = paragraphs.groupBy(key, "section").agg(ordered_text("island", "text", "\n\n").alias("body"))
     return body.select(key, "section", F.coalesce(F.try_element_at(table, F.col("section")), F.lit(99)).alias("ord"), "body")
 
 

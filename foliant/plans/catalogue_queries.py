@@ -162,9 +162,9 @@ def page_range(spark, sf_dir):
 
 
 @_register(f"""SELECT volume_id, page_marker, regexp_extract(page_marker, '^([0-9]+)', 1)::INT AS page, regexp_extract(page_marker, '([a-d])$', 1) AS col, count(*) AS n
-FROM ({_PAGES_SQL}) WHERE volume_id <= 3 GROUP BY ALL ORDER BY volume_id, page, page_marker""")
+FROM ({_PAGES_SQL}) GROUP BY ALL ORDER BY volume_id, page, page_marker""")
 def marker_order(spark, sf_dir):
-    rows = _pages(spark, sf_dir).filter("volume_id <= 3").withColumn("m", P.marker(F.col("page_marker")))
+    rows = _pages(spark, sf_dir).withColumn("m", P.marker(F.col("page_marker")))
     return rows.groupBy("volume_id", "page_marker", F.col("m.page").alias("page"), F.col("m.col").alias("col")).agg(F.count("*").alias("n")).orderBy("volume_id", "page", "page_marker")
 
 
@@ -246,10 +246,10 @@ def distinct_pairs(spark, sf_dir):
     return _t(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment").distinct().agg(F.count("*").alias("n"))
 
 
-@_register("SELECT s_suppkey AS id FROM supplier WHERE s_suppkey % 2 = 0 EXCEPT SELECT l_suppkey FROM lineitem WHERE l_quantity > 49 AND l_linenumber = 7")
+@_register("SELECT s_suppkey AS id FROM supplier EXCEPT SELECT l_suppkey FROM lineitem WHERE l_quantity > 49 AND l_linenumber = 7")
 def missing_volumes(spark, sf_dir):
     have = _t(spark, sf_dir, "lineitem").filter("l_quantity > 49 and l_linenumber = 7").select(F.col("l_suppkey").alias("id"))
-    return files.missing(_t(spark, sf_dir, "supplier").filter("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("id")), have, "id")
+    return files.missing(_t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id")), have, "id")
 
 
 # Building tables.
@@ -297,12 +297,15 @@ def work_dimension(spark, sf_dir):
 
 
 @_register("""
-WITH o AS (SELECT c_custkey AS k, c_name AS v FROM customer WHERE c_custkey % 2 = 0), n AS (SELECT c_custkey AS k, upper(c_name) AS v FROM customer WHERE c_custkey % 3 = 0)
+WITH o AS (SELECT c_custkey AS k, c_name AS v FROM customer WHERE c_custkey % 3 <> 0), n AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 6 = 0 THEN lower(c_name) ELSE upper(c_name) END AS v FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0)
 SELECT * FROM n UNION ALL SELECT * FROM o WHERE k NOT IN (SELECT k FROM n)""")
 def upsert_rows(spark, sf_dir):
-    customer = _t(spark, sf_dir, "customer")
-    old = customer.filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("v"))
-    return C.upsert(old, customer.filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("k"), F.upper("c_name").alias("v")), ["k"])
+    # old and new together are all customers; some are new twice
+    customer, k = _t(spark, sf_dir, "customer"), F.col("c_custkey")
+    old = customer.filter(k % 3 != 0).select(k.alias("k"), F.col("c_name").alias("v"))
+    new = customer.filter((k % 2 == 0) | (k % 3 == 0)).select(k.alias("k"), F.upper("c_name").alias("v"), F.lit(1).alias("seq"))
+    again = customer.filter(k % 6 == 0).select(k.alias("k"), F.lower("c_name").alias("v"), F.lit(2).alias("seq"))
+    return C.upsert(old, new.unionByName(again), ["k"], [F.desc("seq")])
 
 
 @_register("""
@@ -452,22 +455,36 @@ def header_strip(spark, sf_dir):
 
 
 _TOKEN_SQL = r"regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+')"
-_WORDS_SQL = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in T.wrong_words().items()) + "}"
-_DET_SQL = ", ".join(f"'{d}'" for d in T.DETERMINERS)
 
 
 @_register(rf"""
-WITH t AS (SELECT doc_id, {_TOKEN_SQL} AS t, {_WORDS_SQL} AS m FROM (SELECT doc_id, replace(replace(text, 'the ', 'tlie '), ' in ', ' arc ') AS text FROM documents))
+WITH t AS (SELECT doc_id, list_transform({_TOKEN_SQL}, lambda x : CASE x WHEN 'tlie' THEN 'the' WHEN 'vith' THEN 'with' WHEN 'vhich' THEN 'which' WHEN 'hfe' THEN 'life' WHEN 'lias' THEN 'has' ELSE x END) AS t
+  FROM (SELECT doc_id, replace(replace(text, 'the ', 'tlie '), ' in ', ' arc ') AS text FROM documents))
 SELECT doc_id, array_to_string(list_transform(t, lambda x, i : CASE
   WHEN x IN ('oi', 'ol', 'ot') AND regexp_matches(coalesce(t[i+1], ''), '^\s+$') AND regexp_matches(coalesce(t[i+2], ''), '^[a-z]') THEN 'of'
   WHEN x = 'docs' AND NOT regexp_matches(coalesce(t[i+1], ''), '^\s*\.') THEN 'does'
-  WHEN x = 'arc' AND NOT (i >= 3 AND regexp_matches(t[greatest(i-1, 1)], '^\s*$') AND lower(t[greatest(i-2, 1)]) IN ({_DET_SQL})) THEN 'are'
-  WHEN map_contains(m, x) THEN m[x] ELSE x END), '') AS fixed FROM t""")
+  WHEN x = 'arc' AND NOT (i >= 3 AND regexp_matches(t[greatest(i-1, 1)], '^\s+$') AND lower(t[greatest(i-2, 1)]) IN ('an', 'the', 'this', 'that', 'each', 'every', 'any', 'no', 'its', 'their', 'his', 'her', 'our', 'your', 'one')) THEN 'are'
+  ELSE x END), '') AS fixed FROM t""")
 def ocr_word_fixes(spark, sf_dir):
     spoilt = F.replace(F.replace("text", F.lit("the "), F.lit("tlie ")), F.lit(" in "), F.lit(" arc "))
     return _t(spark, sf_dir, "documents").select("doc_id", T.fix_words(spoilt).alias("fixed"))
 
 
+#: One spoilt text a rule; what each becomes stands in the SQL.
+_SPOILT = (
+    r"a ha\e and gi\en", r"li\'ing e\'ade", r"ser\ices de\elopment", r"x \\hich po\\er", r"gro\\'th common\\^ ealth", r"\^'orld \^ rites", r"theor\' glor\ facult\'i", r"Boo\s wor\s loo\not", r"E\'OLUTION x\ristotle", r"whate\-er \vc ne\v",
+    "I'he i'hc 'I'his", "Ix* Ix-causc Ix-fore Ix^hold", "Ix Paris", "m.an am.ong w'ith", "C»xyz CiOti ma^e", "Scotus Engena Darw in", "vhole Vhole vill hfe", "oi men and ot Kant", "docs it docs.", "an arc they arc", "ofGod inParis  now",
+)
+
+
+@_register(r"""
+SELECT p_partkey, list_extract(['a have and given', 'living evade', 'services development', 'x which power', 'growth commonwealth', 'world writes', 'theory glory faculty', 'Books works look not', 'EVOLUTION Aristotle', 'whatever we new',
+  'The the This', 'be because before behold', 'In Paris', 'man among with', 'God God make', 'Scotus Erigena Darwin', 'whole Whole will life', 'of men and ot Kant', 'does it docs.', 'an arc they are', 'of God in Paris now'], (p_partkey % 21 + 1)::INT) AS fixed FROM part""")
+def ocr_repairs(spark, sf_dir):
+    spoilt = F.element_at(F.array(*[F.lit(x) for x in _SPOILT]), (F.col("p_partkey") % len(_SPOILT) + 1).cast("int"))
+    return _t(spark, sf_dir, "part").select("p_partkey", T.correct(spoilt).alias("fixed"))
+
+
 @_register("""
 WITH c AS (SELECT p_partkey, p_size, p_partkey % 6 AS k FROM part)
 SELECT p_partkey, CASE k WHEN 0 THEN 'S' || p_size || '. Title of it' WHEN 1 THEN p_size || '^. Title of it' WHEN 2 THEN p_size || 'fl Title of it' WHEN 3 THEN p_size || ' B Title of it' WHEN 4 THEN p_size || ' . Title of it' ELSE 'j' || p_size || '(7. Title of it' END AS raw,
@@ -573,16 +590,18 @@ def csv_references(spark, sf_dir):
 
 
 def _volumes(spark, sf_dir) -> DataFrame:
-    """(vol, text): an index volume for each supplier, built from its number and name."""
+    """(vol, text): an index volume for each supplier, built from its number and name; the chapters of odd ones have misread and stray topics, several works in a citation and a continued one."""
     k = F.col("s_suppkey").cast("string")
-    chapter = lambda n, name: F.concat(
-        F.lit(f"Chapter {n}: {name}\nINTRODUCTION\nSome prose about number "), k, F.lit(" follows in a line of its own.\nOUTLINE OF TOPICS\n1. The concept of a sample\n2. The division of samples into kinds\n2^. The order among kinds of sample\nREFERENCES\n1. The concept of a sample\n7 Plato: Republic, bk v "), k, F.lit("c-453b; 457a\n2. The division of samples into kinds\n8 Aristotle: Metaphysics, bk i\n500a-501b\n2^. The order among kinds of sample\n7 Plato: Timaeus "), k, F.lit("a\nCROSS-REFERENCES\nFor: Other matters, see elsewhere.\nADDITIONAL READINGS\nBook one.\n"))
-    text = F.concat(F.lit("Contents\nChapter 1: Angel 5\n"), chapter("1", "ANGEL"), F.concat(F.lit("Chapter 2\n: BEING\n"), F.substr(chapter("2", "BEING"), F.lit(18))), chapter("iii", "CAUSE"))
+    plain = F.concat(F.lit("1. The concept of a sample\n2. The division of samples into kinds\n2^. The order among kinds of sample\nREFERENCES\n1. The concept of a sample\n7 Plato: Republic, bk v "), k, F.lit("c-453b; 457a\n2. The division of samples into kinds\n8 Aristotle: Metaphysics, bk i\n500a-501b\n2^. The order among kinds of sample\n7 Plato: Timaeus "), k, F.lit("a\n"))
+    odd = F.concat(F.lit("1. The concept of a sample\n3. The jump over a number\n2. The division of samples into kinds\n1. The stray line that goes back\n2. The order among kinds of sample\nREFERENCES\n1. The concept of a sample\n7 Plato: Republic, bk v "), k, F.lit("c-453b / Laws, bk i 640a; 641b\nbk ii 650c\n3. The jump over a number\n8 Aristotle: Physics 259a\n2. The division of samples into kinds\n"))
+    chapter = lambda head: F.concat(F.lit(f"{head}\nINTRODUCTION\nSome prose about number "), k, F.lit(" follows in a line of its own.\nOUTLINE OF TOPICS\n"), F.when(F.col("s_suppkey") % 2 == 1, odd).otherwise(plain), F.lit("CROSS-REFERENCES\nFor: Other matters, see elsewhere.\nADDITIONAL READINGS\nBook one.\n"))
+    text = F.concat(F.lit("Contents\nChapter 1: Angel 5\n"), chapter("Chapter 1: ANGEL"), chapter("Chapter 2\n: BEING"), chapter("Chapter iii: CAUSE"))
     return _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("vol"), text.alias("text"))
 
 
 @_register("""
-SELECT s_suppkey AS vol, unnest([1, 2, 3]) AS number, unnest(['ANGEL', 'BEING', 'CAUSE']) AS name, unnest([3, 22, 42]) AS line_no, unnest([22, 42, NULL]) AS next_line FROM supplier""")
+SELECT s_suppkey AS vol, unnest([1, 2, 3]) AS number, unnest(['ANGEL', 'BEING', 'CAUSE']) AS name,
+  unnest(CASE WHEN s_suppkey % 2 = 1 THEN [3, 23, 44] ELSE [3, 22, 42] END) AS line_no, unnest(CASE WHEN s_suppkey % 2 = 1 THEN [23, 44, NULL] ELSE [22, 42, NULL] END) AS next_line FROM supplier""")
 def chapter_header_pick(spark, sf_dir):
     return G.chapter_starts(G.lines(_volumes(spark, sf_dir), "vol"), "vol")
 
@@ -596,9 +615,10 @@ def idea_bodies(spark, sf_dir):
 
 
 @_register("""
-SELECT s_suppkey AS vol, unnest([1, 1, 1, 2, 2, 2, 3, 3, 3]) AS number, unnest(['1', '2', '2a', '1', '2', '2a', '1', '2', '2a']) AS label,
-  unnest(['The concept of a sample', 'The division of samples into kinds', 'The order among kinds of sample', 'The concept of a sample', 'The division of samples into kinds', 'The order among kinds of sample', 'The concept of a sample', 'The division of samples into kinds', 'The order among kinds of sample']) AS title,
-  unnest([NULL, NULL, '2', NULL, NULL, '2', NULL, NULL, '2']) AS parent_label FROM supplier""")
+WITH c AS (SELECT s_suppkey AS vol, unnest([1, 2, 3]) AS number FROM supplier),
+t(odd, label, title, parent_label) AS (VALUES (0, '1', 'The concept of a sample', NULL), (0, '2', 'The division of samples into kinds', NULL), (0, '2a', 'The order among kinds of sample', '2'),
+  (1, '1', 'The concept of a sample', NULL), (1, '1a', 'The jump over a number', '1'), (1, '2', 'The division of samples into kinds', NULL), (1, '2a', 'The order among kinds of sample', '2'))
+SELECT vol, number, label, title, parent_label FROM c JOIN t ON odd = vol % 2""")
 def outline_labels(spark, sf_dir):
     rows = G.chapter_lines(G.lines(_volumes(spark, sf_dir), "vol"), "vol")
     return folds.topics(rows, ["vol", "number"]).drop("line_no")
@@ -606,14 +626,14 @@ def outline_labels(spark, sf_dir):
 
 @_register("""
 WITH c AS (SELECT s_suppkey AS vol, unnest([1, 2, 3]) AS number FROM supplier),
-r AS (SELECT vol, number, unnest(['1', '1', '2', '2a']) AS topic_label, unnest([7, 7, 8, 7]) AS author_number, unnest(['Plato', 'Plato', 'Aristotle', 'Plato']) AS author, unnest(['Republic', 'Republic', 'Metaphysics', 'Timaeus']) AS work,
-  unnest([vol || 'c', '457a', '500a', vol || 'a']) AS page_start, unnest(['453b', '457a', '501b', vol || 'a']) AS page_end FROM c)
-SELECT * FROM r""")
+r(odd, topic_label, author_number, author, work, a, b) AS (VALUES (0, '1', 7, 'Plato', 'Republic', '#c', '453b'), (0, '1', 7, 'Plato', 'Republic', '457a', '457a'), (0, '2', 8, 'Aristotle', 'Metaphysics', '500a', '501b'), (0, '2', 8, 'Aristotle', 'Metaphysics', '500a', '501b'), (0, '2a', 7, 'Plato', 'Timaeus', '#a', '#a'),
+  (1, '1', 7, 'Plato', 'Republic', '#c', '453b'), (1, '1', 7, 'Plato', 'Laws', '640a', '640a'), (1, '1', 7, 'Plato', 'Laws', '641b', '641b'), (1, '1', 7, 'Plato', 'Laws', '650c', '650c'), (1, '1a', 8, 'Aristotle', 'Physics', '259a', '259a'))
+SELECT vol, number, topic_label, author_number, author, work, replace(a, '#', vol::VARCHAR) AS page_start, replace(b, '#', vol::VARCHAR) AS page_end FROM c JOIN r ON odd = vol % 2""")
 def citation_fold(spark, sf_dir):
     # a supplier's number is a page number here, of up to the digits of a long
     pages = P.page_ref(19)
     rows = G.chapter_lines(G.lines(_volumes(spark, sf_dir), "vol"), "vol")
-    found = folds.citations(rows, ["vol", "number"], repeat_absorbed=False, pages=pages)
+    found = folds.citations(rows, ["vol", "number"], pages=pages)
     return found.select("vol", "number", "topic_label", "author_number", "author", P.work_title(F.col("work_raw"), pages).alias("work"), "page_start", "page_end")
 
 
@@ -645,11 +665,12 @@ def structured_references(spark, sf_dir):
 
 
 @_register("""
-SELECT s_suppkey AS vol, unnest(['PREFACE', 'INTRODUCTION']) AS section, unnest([1, 2]) AS ord, unnest(['This is a line of prose that is long enough ' || s_suppkey, 'Another line of prose that is also long enough']) AS body FROM supplier""")
+SELECT s_suppkey AS vol, unnest(['PREFACE', 'EXPLANATION OF REFERENCE STYLE', 'A NOTE ON THE INDEX']) AS section, unnest([1, 2, 4]) AS ord,
+  unnest(['This is a line of prose that is long enough ' || s_suppkey || chr(10) || chr(10) || 'a second paragraph goes on', 'Another line of prose that is also long enough', 'Its note has a line of prose that is long enough']) AS body FROM supplier""")
 def front_matter(spark, sf_dir):
-    text = F.concat(F.lit("PREFACE\nshort\nPREFACE\nThis is a line of prose that is long enough "), F.col("s_suppkey").cast("string"), F.lit("\nINTRODUCTION\n\nAnother line of prose that is also long enough\nChapter 1: ANGEL\nrest of it"))
-    rows = G.lines(_t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("vol"), F.replace(text, F.lit("PREFACE\nshort\n"), F.lit("Title\n")).alias("text")), "vol")
-    return G.front_matter(rows, "vol")
+    text = F.concat(F.lit("Title\nPREFACE ix\nThis is a line of prose that is long enough "), F.col("s_suppkey").cast("string"), F.lit("\nPREFACE xii\n\n12\na second paragraph goes on\nEXPLANATION OF REFERENCE STYLE\n\nAnother line of prose that is also long enough\nA NOTE ON THE INDEX\nIts note has a line of prose that is long enough\nPREFACE\nChapter 1: ANGEL\nrest of it, in a line of prose that is long enough"))
+    rows = G.lines(_t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("vol"), text.alias("text")), "vol")
+    return G.front_matter(rows, "vol", G.FRONT_MATTER | {"A NOTE ON THE INDEX": 4})
 
 
 @_register("""
@@ -668,18 +689,18 @@ def chapter_files(spark, sf_dir):
 # Layout.
 
 
-def _blocks(spark, sf_dir, where: str = "l_linenumber <= 4") -> DataFrame:
-    """Line items as blocks of pages by line number: four a page, as in _BLOCKS_SQL, if not told otherwise."""
+def _blocks(spark, sf_dir) -> DataFrame:
+    """Line items as blocks of pages, an order a page."""
     n = F.col("l_linenumber")
     left = F.when(n % 2 == 1, 40.0).otherwise(320.0)
-    return _t(spark, sf_dir, "lineitem").filter(where).select(
+    return _t(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") % 100).alias("doc"), F.col("l_orderkey").cast("int").alias("page"), F.lit(600.0).alias("width"), F.lit(800.0).alias("height"),
         left.alias("x0"), (n * 150.0).alias("y0"), F.when(F.col("l_quantity") > 45, 590.0).otherwise(left + 240).alias("x1"), (n * 150.0 + 90).alias("y1"),
         F.concat(F.lit("block "), F.col("l_partkey").cast("string")).alias("text"), F.lit(0).alias("btype"),
     )
 
 
-_BLOCKS_SQL = "SELECT l_orderkey % 100 AS doc, l_orderkey::INT AS page, CASE WHEN l_linenumber % 2 = 1 THEN 40.0 ELSE 320.0 END AS x0, l_linenumber * 150.0 AS y0, CASE WHEN l_quantity > 45 THEN 590.0 WHEN l_linenumber % 2 = 1 THEN 280.0 ELSE 560.0 END AS x1, l_linenumber * 150.0 + 90 AS y1, 'block ' || l_partkey AS text FROM lineitem WHERE l_linenumber <= 4"
+_BLOCKS_SQL = "SELECT l_orderkey % 100 AS doc, l_orderkey::INT AS page, CASE WHEN l_linenumber % 2 = 1 THEN 40.0 ELSE 320.0 END AS x0, l_linenumber * 150.0 AS y0, CASE WHEN l_quantity > 45 THEN 590.0 WHEN l_linenumber % 2 = 1 THEN 280.0 ELSE 560.0 END AS x1, l_linenumber * 150.0 + 90 AS y1, 'block ' || l_partkey AS text FROM lineitem"
 
 
 @_register(f"""
@@ -709,7 +730,7 @@ def formatted_pages(spark, sf_dir):
 
 @_register()
 def block_paragraphs(spark, sf_dir):
-    rows = layout.reading_order(_blocks(spark, sf_dir, "true"), ["doc"]).withColumn("margin", F.when(F.col("col") == 0, 40.0).otherwise(310.0))
+    rows = layout.reading_order(_blocks(spark, sf_dir), ["doc"]).withColumn("margin", F.when(F.col("col") == 0, 40.0).otherwise(310.0))
     return folds.block_paragraphs(rows, ["doc"])
 
 

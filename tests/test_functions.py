@@ -33,7 +33,7 @@ def one(spark, column):
         (T.split_fused_headers, "is one everOUTLINE OF TOPICS", "is one ever OUTLINE OF TOPICS"),
         (T.fix_words, "tlie end oi a vorld, docs. docs it? vith the arc and an arc arc", "the end of a world, docs. does it? with the arc and an arc are"),
         (T.unglue, "ofGod  and inThe asA", "of God and in The asA"),
-        (T.fix_backslashes, "ha\\e gi\\'en wor\\s po\\er", "have given works power"),
+        (T.fix_backslashes, "ha\\e li\\'ing wor\\s po\\\\er po\\er", "have living works power po\\er"),
         (T.title_case, "marx-engels o'neil", "Marx-Engels O'Neil"),
         (T.slug, "The Great, Books!", "the-great-books"),
         (T.singular_slug, "angels and beings", "angel-and-being"),
