@@ -264,3 +264,9 @@ def slug(text: Column) -> Column:
 
 def singular_slug(text: Column) -> Column:
     return F.regexp_replace(slug(text), r"s(?=-|$)", "")
+
+
+def word_set(text: Column) -> Column:
+    """A key that texts of the same words share, whatever their order, number of repeats and plural s."""
+    words = F.transform(F.filter(F.split(F.lower(text), "[-& ]+"), lambda w: w != ""), lambda w: F.regexp_replace(w, "s$", ""))
+    return F.array_join(F.array_sort(F.array_distinct(words)), "-")

@@ -77,6 +77,29 @@ def page_range(pages: DataFrame, volume: int, start: str, end: str) -> DataFrame
     return pages.filter((F.col("volume_id") == volume) & number(F.col("page_marker")).between(F.least(a, b), F.greatest(a, b))).orderBy("page_marker", "text_offset")
 
 
+def pages_of(pages: DataFrame, markers: DataFrame) -> DataFrame:
+    """``pages`` whose (volume_id, page_marker) is in a list of markers of any length."""
+    return pages.join(markers.select("volume_id", "page_marker").distinct(), ["volume_id", "page_marker"], "left_semi")
+
+
+def references_on_pages(references: DataFrame, pages: DataFrame) -> DataFrame:
+    """Each page marker with the references that begin on it; a reference without a column begins in column a.
+
+    references: (volume_id, page_start, ...); pages: (volume_id, page_marker).
+    """
+    m = parsing.marker(F.col("page_start"))
+    keyed = references.withColumn("page_marker", F.concat(m["page"].cast("string"), F.coalesce(m["col"], F.lit("a")))).filter("page_marker is not null")
+    return pages.select("volume_id", "page_marker").distinct().join(keyed, ["volume_id", "page_marker"])
+
+
+def merge_volumes(chapters: DataFrame, ranges: list[tuple[int, int, int]]) -> DataFrame:
+    """Chapters (volume_id, number, ...) of several volumes as one list: of each volume those in its range (volume, first, last)."""
+    own = F.lit(False)
+    for volume, first, last in ranges:
+        own = own | ((F.col("volume_id") == volume) & F.col("number").between(first, last))
+    return chapters.filter(own)
+
+
 def order_key(label: Column) -> list[Column]:
     """Topics without a parent first, then by number, then by label."""
     return [parsing.parent_label(label).isNotNull(), parsing.label_number(label), label]
@@ -100,6 +123,25 @@ def remap(references: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     return references.join(m, column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to").select(*references.columns)
 
 
+def merge_works(works: DataFrame, authorships: DataFrame, references: DataFrame, mapping: DataFrame) -> dict[str, DataFrame]:
+    """The tables after variants (mapping: variant, canonical) are merged into their works: references moved, authorships united, variants gone."""
+    variants = mapping.filter("variant != canonical")
+    return {
+        "works": works.join(variants.select(F.col("variant").alias("id")), "id", "left_anti"),
+        "authorships": remap(authorships, "work_id", variants).distinct(),
+        "references": remap(references, "work_id", variants),
+    }
+
+
+def build_statistics(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, n_rows): the size of each table of a build, counted where its rows lie."""
+    counts = None
+    for name, rows in tables.items():
+        one = rows.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("name"), "n_rows")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 # Invariants.
 
 

@@ -206,22 +206,18 @@ def block_paragraphs(blocks: DataFrame, keys: list[str], indent: float = 8.0) ->
     Not if it begins in lower case, nor after a broken word, which is joined.
     """
 
-    def grouped(group: pd.DataFrame) -> pd.DataFrame:
+    def grouped(rows: list[tuple]) -> Iterator[tuple]:
         out: list[str] = []
-        for r in group.sort_values("pos").itertuples(index=False):
-            text = (r.text or "").strip()
+        for _, x0, margin, text in rows:
+            text = (text or "").strip()
             if not text:
                 continue
             broken = bool(out) and out[-1].endswith("-")
             first = text.lstrip("\"'“”‘’(")[:1]
-            if not out or (r.x0 - r.margin >= indent and not first.islower() and not broken):
+            if not out or (x0 - margin >= indent and not first.islower() and not broken):
                 out.append(text)
             else:
                 out[-1] = out[-1][:-1] + text if broken else f"{out[-1]} {text}"
-        frame = pd.DataFrame({"para": range(1, len(out) + 1), "text": out})
-        for k in keys:
-            frame[k] = group[k].iloc[0]
-        return frame
+        return enumerate(out, 1)
 
-    kinds = ", ".join(f"{k} {t}" for k, t in blocks.dtypes if k in keys)
-    return blocks.groupBy(*keys).applyInPandas(grouped, f"para int, text string, {kinds}")
+    return folded(blocks.select(*keys, "pos", "x0", "margin", "text"), keys, "pos", grouped, "para int, text string")

@@ -30,8 +30,30 @@ def columns(blocks: DataFrame, keys: list[str], quarters: bool = False) -> DataF
     return rows.groupBy(*keys, "col").agg(body.alias("text"))
 
 
+def split_at_spine(lines: DataFrame, keys: list[str], gap: float = 25.0) -> DataFrame:
+    """Blocks (keys, page, block, width, x0, y0, x1, text) of text lines; a block over both columns becomes a piece of each.
+
+    lines: (keys, page, block, width, bx0, by0, bx1, lx0, ly0, line), the bounds
+    of a line's block and the line's own place. A block spans the spine if it
+    reaches further than ``gap`` beyond it on both sides and has lines in both
+    columns; its pieces are put in order of their lines' heights, other blocks
+    keep the order of ``line_no``. Lines above the page are dropped.
+    """
+    centre = F.col("width") / 2
+    rows = lines.filter((F.col("ly0") >= 0) & (T.strip(F.col("text")) != ""))
+    spans = (F.col("bx0") < centre - gap) & (F.col("bx1") > centre + gap)
+    own = [*keys, "page", "block"]
+    sides = rows.groupBy(*own).agg(F.max((spans & (F.col("lx0") < centre)).cast("int")).alias("l"), F.max((spans & (F.col("lx0") >= centre)).cast("int")).alias("r"), F.max(spans.cast("int")).alias("s"))
+    placed = rows.join(sides.select(*own, "s", ((F.col("l") == 1) & (F.col("r") == 1)).alias("both")), own).filter((F.col("s") == 0) | F.col("both"))
+    side = F.when(F.col("both"), (F.col("lx0") >= centre).cast("int")).otherwise(((F.col("bx0") + F.col("bx1")) / 2 >= centre).cast("int"))
+    order = F.struct(F.when(F.col("both"), F.round("ly0")).alias("y"), F.when(F.col("both"), F.col("lx0")).alias("x"), "line_no", F.struct("lx0", "ly0").alias("at"), T.strip(F.col("text")).alias("t"))
+    joined = placed.groupBy(*own, "width", side.alias("col")).agg(F.max("both").alias("both"), F.array_sort(F.collect_list(order)).alias("ls"), F.min("bx0").alias("bx0"), F.min("by0").alias("by0"))
+    first = F.col("ls")[0]["at"]
+    return joined.select(*own, "width", "col", F.when(F.col("both"), first["lx0"]).otherwise(F.col("bx0")).alias("x0"), F.when(F.col("both"), first["ly0"]).otherwise(F.col("by0")).alias("y0"), F.array_join(F.transform("ls", lambda x: x["t"]), " ").alias("text"))
+
+
 def reading_order(blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """Blocks with pos: by page, column, then top to bottom; a block across the spine counts to the left column."""
+    """Blocks with pos: by page, column, then top to bottom; whole blocks across the spine count to the left column (see ``split_at_spine``)."""
     from pyspark.sql import Window
 
     col = F.when(F.col("x0") < F.col("width") / 2, 0).otherwise(1)

@@ -455,10 +455,14 @@ def header_strip(spark, sf_dir):
 
 
 _TOKEN_SQL = r"regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+')"
+#: Written out once more, so that a wrong entry of the table shows.
+_WORDS_SQL = """MAP {'vhole': 'whole', 'Vhole': 'Whole', 'vhich': 'which', 'Vhich': 'Which', 'vith': 'with', 'vould': 'would', 'Vould': 'Would', 'vork': 'work', 'Vork': 'Work', 'vorld': 'world', 'Vorld': 'World', 'vhen': 'when', 'Vhen': 'When', 'vere': 'were', 'Vere': 'Were', 'vay': 'way', 'vill': 'will',
+ 'lias': 'has', 'Lias': 'Has', 'tlie': 'the', 'Tlie': 'The', 'llie': 'the', 'niatter': 'matter', 'Niatter': 'Matter', 'iiian': 'man', 'hfe': 'life', 'Hfe': 'Life', 'CHAFFER': 'CHAPTER', 'Chapteri': 'Chapter 1', 'JudaeoChristian': 'Judaeo-Christian', 'senseperception': 'sense-perception', 'Senseperception': 'Sense-perception',
+ 'liave': 'have', 'liat': 'that', 'nianv': 'many', 'jov': 'joy', 'gocxl': 'good', 'hojx': 'hope', 'happv': 'happy', 'happilv': 'happily', 'wdth': 'with', 'tliat': 'that', 'Citxl': 'God', 'Gixl': 'God', 'Gtxl': 'God', 'Sirints': 'Saints'}"""
 
 
 @_register(rf"""
-WITH t AS (SELECT doc_id, list_transform({_TOKEN_SQL}, lambda x : CASE x WHEN 'tlie' THEN 'the' WHEN 'vith' THEN 'with' WHEN 'vhich' THEN 'which' WHEN 'hfe' THEN 'life' WHEN 'lias' THEN 'has' ELSE x END) AS t
+WITH t AS (SELECT doc_id, list_transform({_TOKEN_SQL}, lambda x : coalesce({_WORDS_SQL}[x], x)) AS t
   FROM (SELECT doc_id, replace(replace(text, 'the ', 'tlie '), ' in ', ' arc ') AS text FROM documents))
 SELECT doc_id, array_to_string(list_transform(t, lambda x, i : CASE
   WHEN x IN ('oi', 'ol', 'ot') AND regexp_matches(coalesce(t[i+1], ''), '^\s+$') AND regexp_matches(coalesce(t[i+2], ''), '^[a-z]') THEN 'of'
@@ -694,13 +698,13 @@ def _blocks(spark, sf_dir) -> DataFrame:
     n = F.col("l_linenumber")
     left = F.when(n % 2 == 1, 40.0).otherwise(320.0)
     return _t(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") % 100).alias("doc"), F.col("l_orderkey").cast("int").alias("page"), F.lit(600.0).alias("width"), F.lit(800.0).alias("height"),
+        F.floor(F.col("l_orderkey") / 50).alias("doc"), F.col("l_orderkey").cast("int").alias("page"), F.lit(600.0).alias("width"), F.lit(800.0).alias("height"),
         left.alias("x0"), (n * 150.0).alias("y0"), F.when(F.col("l_quantity") > 45, 590.0).otherwise(left + 240).alias("x1"), (n * 150.0 + 90).alias("y1"),
         F.concat(F.lit("block "), F.col("l_partkey").cast("string")).alias("text"), F.lit(0).alias("btype"),
     )
 
 
-_BLOCKS_SQL = "SELECT l_orderkey % 100 AS doc, l_orderkey::INT AS page, CASE WHEN l_linenumber % 2 = 1 THEN 40.0 ELSE 320.0 END AS x0, l_linenumber * 150.0 AS y0, CASE WHEN l_quantity > 45 THEN 590.0 WHEN l_linenumber % 2 = 1 THEN 280.0 ELSE 560.0 END AS x1, l_linenumber * 150.0 + 90 AS y1, 'block ' || l_partkey AS text FROM lineitem"
+_BLOCKS_SQL = "SELECT l_orderkey // 50 AS doc, l_orderkey::INT AS page, CASE WHEN l_linenumber % 2 = 1 THEN 40.0 ELSE 320.0 END AS x0, l_linenumber * 150.0 AS y0, CASE WHEN l_quantity > 45 THEN 590.0 WHEN l_linenumber % 2 = 1 THEN 280.0 ELSE 560.0 END AS x1, l_linenumber * 150.0 + 90 AS y1, 'block ' || l_partkey AS text FROM lineitem"
 
 
 @_register(f"""
@@ -728,10 +732,18 @@ def formatted_pages(spark, sf_dir):
     return layout.formatted_pages(layout.columns(_blocks(spark, sf_dir), ["doc", "page"]), ["doc"], "page")
 
 
-@_register()
+@_register(f"""
+WITH o AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY page, (x0 >= 300)::INT, y0, x0, text) AS pos, x0 - CASE WHEN x0 < 300 THEN 40.0 ELSE 310.0 END AS indent, substring(text, 7)::INT AS k FROM ({_BLOCKS_SQL})),
+t AS (SELECT *, CASE k % 4 WHEN 0 THEN 'block ' || k WHEN 1 THEN 'A block ' || k || '-' WHEN 2 THEN 'block ' || k || '-' ELSE '"A block ' || k END AS text FROM o),
+f AS (SELECT *, lag(text) OVER (PARTITION BY doc ORDER BY pos) AS before FROM t),
+g AS (SELECT *, sum((before IS NULL OR (indent >= 8 AND NOT regexp_matches(text, '^[a-z]') AND NOT before LIKE '%-'))::INT) OVER (PARTITION BY doc ORDER BY pos) AS para FROM f)
+SELECT doc, para::INT AS para, replace(string_agg(text, ' ' ORDER BY pos), '- ', '') AS text FROM g GROUP BY doc, para""")
 def block_paragraphs(spark, sf_dir):
     rows = layout.reading_order(_blocks(spark, sf_dir), ["doc"]).withColumn("margin", F.when(F.col("col") == 0, 40.0).otherwise(310.0))
-    return folds.block_paragraphs(rows, ["doc"])
+    k = F.substr("text", F.lit(7)).cast("int")
+    before, after = F.when(k % 4 == 1, "A block ").when(k % 4 == 3, '"A block ').otherwise("block "), F.when((k % 4).isin(1, 2), "-").otherwise("")
+    text = F.concat(before, k.cast("string"), after)
+    return folds.block_paragraphs(rows.withColumn("text", text), ["doc"])
 
 
 # Entities.
@@ -782,6 +794,135 @@ def search_bm25(spark, sf_dir):
     return found.select("doc", F.round("score", 6).alias("score"))
 
 
+_HITS_SQL = """SELECT o_orderkey AS id, (o_custkey % 5)::BIGINT AS idea_number, (o_orderkey % 7 + 1)::VARCHAR AS topic_label, (o_custkey % 10)::BIGINT AS author_id, (o_orderkey % 200)::BIGINT AS work_id, o_custkey % 90 + 1 || 'a' AS page_start, o_custkey % 90 + 2 || 'b' AS page_end,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'bk ' || o_orderkey % 7 + 1 || ' of the Évidence ' || o_orderstatus ELSE 'of evidence, ch ' || o_orderkey % 7 + 1 END AS ref_text FROM orders"""
+
+
+def _references(spark, sf_dir) -> DataFrame:
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    n, page = (k % 7 + 1).cast("string"), c % 90
+    text = F.when(k % 2 == 0, F.concat(F.lit("bk "), n, F.lit(" of the Évidence "), "o_orderstatus")).otherwise(F.concat(F.lit("of evidence, ch "), n))
+    return _t(spark, sf_dir, "orders").select(
+        k.alias("id"), (c % 5).alias("idea_number"), n.alias("topic_label"), (c % 10).alias("author_id"), (k % 200).alias("work_id"),
+        F.concat((page + 1).cast("string"), F.lit("a")).alias("page_start"), F.concat((page + 2).cast("string"), F.lit("b")).alias("page_end"), text.alias("ref_text"),
+    )
+
+
+def _search(spark, sf_dir, query: str, limit: int) -> DataFrame:
+    """``query`` over references' texts, works' titles and authors' names, shown with all that they belong to; nations stand for volumes, regions for ideas."""
+    refs = _references(spark, sf_dir)
+    authors = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    works = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), (F.col("p_partkey") % 30).cast("int").alias("volume_id"))
+    volumes = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("number"), F.col("n_name").alias("display_name"))
+    ideas = _t(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("number"), F.col("r_name").alias("name"))
+    topics = _t(spark, sf_dir, "nation").filter("n_nationkey < 20").select((F.col("n_nationkey") % 5).cast("long").alias("idea_number"), (F.floor(F.col("n_nationkey") / 5) + 1).cast("string").alias("label"), F.col("n_name").alias("title"))
+    indexed = refs.select("id", "ref_text", "author_id", "work_id").join(authors.withColumnRenamed("id", "author_id"), "author_id").join(works.select(F.col("id").alias("work_id"), "title"), "work_id")
+    fields = ["ref_text", "title", "name"]
+    found = search.match(search.positions(indexed, "id", fields), search.lengths(indexed, "id", fields), query, limit)
+    return search.hits(found, refs, authors, works, volumes, ideas, topics).withColumn("score", F.round("score", 6))
+
+
+_FOUND_SQL = r"""
+r AS ({refs}), i AS (SELECT r.*, s_name AS author_name, p_name AS work_title, (p_partkey % 30)::INT AS volume_id FROM r JOIN supplier ON s_suppkey = author_id JOIN part ON p_partkey = work_id),
+t AS (SELECT id, ' ' || trim(regexp_replace(strip_accents(lower(ref_text)), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' ' AS f1, ' ' || trim(regexp_replace(lower(work_title), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' ' AS f2, ' ' || trim(regexp_replace(lower(author_name), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' ' AS f3 FROM i),
+n AS (SELECT *, len(regexp_extract_all(f1 || f2 || f3, '[\p{{L}}\p{{N}}]+')) AS length FROM t),
+a AS (SELECT id, length, {counts} FROM n),
+s AS (SELECT count(*) AS rows, avg(length) AS mean, {dfs} FROM a),
+f AS (SELECT id, round({score}, 9) AS score FROM a CROSS JOIN s WHERE {where} ORDER BY 2 DESC, 1 LIMIT {limit})
+SELECT id, idea_number, r_name AS idea_name, topic_label, o.n_name AS topic_title, author_name, work_title, volume_id, v.n_name AS volume_display, page_start, page_end, ref_text, round(score, 6) AS score
+FROM f JOIN i USING (id) LEFT JOIN nation v ON v.n_nationkey = volume_id JOIN region ON r_regionkey = idea_number LEFT JOIN nation o ON o.n_nationkey < 20 AND o.n_nationkey % 5 = idea_number AND (o.n_nationkey // 5 + 1)::VARCHAR = topic_label"""
+
+
+def _found_sql(patterns: list[str], where: str, limit: int) -> str:
+    """SQL of a search for patterns, each counted in three fields."""
+    counts = ", ".join(" + ".join(f"len(regexp_extract_all({f}, '{p}'))" for f in ("f1", "f2", "f3")) + f" AS tf{k}" for k, p in enumerate(patterns))
+    dfs = ", ".join(f"count(*) FILTER (tf{k} > 0) AS df{k}" for k in range(len(patterns)))
+    score = " + ".join(f"greatest(ln((rows - df{k} + 0.5) / (df{k} + 0.5)), 1e-6) * tf{k} * 2.2 / (tf{k} + 1.2 * (0.25 + 0.75 * length / mean))" for k in range(len(patterns)))
+    return "WITH " + _FOUND_SQL.format(refs=_HITS_SQL, counts=counts, dfs=dfs, score=score, where=where, limit=limit)
+
+
+@_register(_found_sql([" of the evidence ", " supplier ", " 00000000[^ ]*"], "tf0 > 0 AND tf1 > 0 AND tf2 > 0", 50))
+def search_hits(spark, sf_dir):
+    return _search(spark, sf_dir, 'SUPPLIER "of the évidence" AND 00000000*', 50)
+
+
+@_register(_found_sql([" ch ", " 3", " 000000002 ", " evidence "], "((tf0 > 0 AND tf1 > 0) OR tf2 > 0) AND NOT (tf3 > 0 AND tf0 = 0)", 40).replace("' 3'", "' 3 '"))
+def search_boolean(spark, sf_dir):
+    # the last atom is in every text: it shuts out what has no chapter
+    return _search(spark, sf_dir, "((ch AND 3) OR 000000002) NOT (evidence NOT ch)", 40)
+
+
+@_register(f"WITH p AS ({_PAGES_SQL}) SELECT DISTINCT volume_id, page_marker FROM p WHERE EXISTS (SELECT 1 FROM p q WHERE q.volume_id = p.volume_id AND q.page_marker = p.page_marker AND q.text_offset % 7 = 0)")
+def pages_by_markers(spark, sf_dir):
+    pages = _pages(spark, sf_dir)
+    return C.pages_of(pages, pages.filter("text_offset % 7 = 0")).select("volume_id", "page_marker").distinct()
+
+
+@_register(f"""
+WITH p AS (SELECT DISTINCT volume_id, page_marker FROM ({_PAGES_SQL})),
+r AS (SELECT (l_suppkey % 54 + 1)::INT AS volume_id, l_orderkey AS ref, CASE WHEN l_linenumber % 2 = 0 THEN l_quantity::INT || 'c' ELSE (l_quantity::INT)::VARCHAR END AS page_start FROM lineitem WHERE l_linenumber <> 3)
+SELECT volume_id, page_marker, count(*) AS n, min(ref) AS first_ref FROM p JOIN r USING (volume_id) WHERE page_marker = CASE WHEN regexp_matches(page_start, '[a-d]$') THEN page_start ELSE page_start || 'a' END GROUP BY ALL""")
+def references_on_pages(spark, sf_dir):
+    q, n = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber")
+    # line 3 has no page that could be read
+    start = F.when(n == 3, "?").when(n % 2 == 0, F.concat(q, F.lit("c"))).otherwise(q)
+    refs = _t(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 54 + 1).cast("int").alias("volume_id"), F.col("l_orderkey").alias("ref"), start.alias("page_start"))
+    return C.references_on_pages(refs, _pages(spark, sf_dir)).groupBy("volume_id", "page_marker").agg(F.count("*").alias("n"), F.min("ref").alias("first_ref"))
+
+
+@_register("SELECT s_suppkey % 2 + 2 AS volume_id, s_suppkey % 102 + 1 AS number, s_name AS name FROM supplier WHERE (s_suppkey % 2 = 0 AND s_suppkey % 102 + 1 <= 50) OR (s_suppkey % 2 = 1 AND s_suppkey % 102 + 1 >= 51)")
+def merged_chapters(spark, sf_dir):
+    k = F.col("s_suppkey")
+    chapters = _t(spark, sf_dir, "supplier").select((k % 2 + 2).alias("volume_id"), (k % 102 + 1).alias("number"), F.col("s_name").alias("name"))
+    return C.merge_volumes(chapters, [(2, 1, 50), (3, 51, 102)])
+
+
+@_register("""
+WITH a AS (SELECT p_partkey AS k, p_name AS n FROM part)
+SELECT k, array_to_string(list_sort(list_distinct([regexp_replace(w, 's$', '') FOR w IN string_split(lower(n), ' ') IF w <> ''])), '-') AS key FROM a""")
+def word_set_keys(spark, sf_dir):
+    # the words of a name in reverse, with an "&" and a plural, have the key of the name
+    words = F.split("p_name", " ")
+    other = F.concat(F.array_join(F.reverse(words), " & "), F.lit("s-"), F.upper(words[0]))
+    return _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), T.word_set(other).alias("key"))
+
+
+@_register("""
+WITH m AS (SELECT min(p_partkey) OVER (PARTITION BY p_brand, p_name) AS canonical, p_partkey AS variant FROM part),
+w AS (SELECT canonical AS id FROM m GROUP BY 1), a AS (SELECT DISTINCT l_suppkey AS author_id, canonical AS work_id FROM lineitem JOIN m ON variant = l_partkey), r AS (SELECT canonical AS work_id FROM lineitem JOIN m ON variant = l_partkey)
+SELECT id, (SELECT count(*) FROM a WHERE work_id = id) AS n_authors, (SELECT count(*) FROM r WHERE work_id = id) AS n_refs FROM w""")
+def works_merged(spark, sf_dir):
+    from pyspark.sql import Window
+
+    part, line = _t(spark, sf_dir, "part"), _t(spark, sf_dir, "lineitem")
+    mapping = part.select(F.col("p_partkey").alias("variant"), F.min("p_partkey").over(Window.partitionBy("p_brand", "p_name")).alias("canonical"))
+    pairs = line.select(F.col("l_suppkey").alias("author_id"), F.col("l_partkey").alias("work_id"))
+    merged = C.merge_works(part.select(F.col("p_partkey").alias("id")), pairs.distinct(), pairs, mapping)
+    out = C.counted(merged["works"], "id", merged["authorships"], "work_id", "n_authors")
+    return C.counted(out, "id", merged["references"], "work_id", "n_refs")
+
+
+@_register("SELECT 'authors' AS name, count(*) AS n_rows FROM supplier UNION ALL SELECT 'references', count(*) FROM lineitem UNION ALL SELECT 'works', count(*) FROM part")
+def build_statistics(spark, sf_dir):
+    return C.build_statistics({"authors": _t(spark, sf_dir, "supplier"), "references": _t(spark, sf_dir, "lineitem"), "works": _t(spark, sf_dir, "part")})
+
+
+@_register("""
+WITH l AS (SELECT l_orderkey AS doc, l_linenumber AS n, CASE WHEN l_linenumber % 2 = 1 THEN 40.0 ELSE 320.0 END AS x, l_partkey::VARCHAR AS t, max(l_quantity) OVER (PARTITION BY l_orderkey) > 45 AS wide, count(DISTINCT l_linenumber % 2) OVER (PARTITION BY l_orderkey) > 1 AS both_sides FROM lineitem),
+k AS (SELECT *, CASE WHEN wide THEN (x >= 300)::INT ELSE 0 END AS col FROM l WHERE NOT wide OR both_sides)
+SELECT doc, col, min(CASE WHEN wide THEN x ELSE 40.0 END) AS x0, string_agg(t, ' ' ORDER BY n, t) AS text FROM k GROUP BY 1, 2""")
+def spine_split(spark, sf_dir):
+    from pyspark.sql import Window
+
+    n, order = F.col("l_linenumber"), Window.partitionBy("l_orderkey")
+    right = F.when(F.max("l_quantity").over(order) > 45, 560.0).otherwise(280.0)
+    rows = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("doc"), F.lit(1).alias("page"), F.lit(1).alias("block"), F.lit(600.0).alias("width"), F.lit(40.0).alias("bx0"), F.lit(10.0).alias("by0"), right.alias("bx1"),
+        F.when(n % 2 == 1, 40.0).otherwise(320.0).alias("lx0"), (n * 12.0).alias("ly0"), n.alias("line_no"), F.col("l_partkey").cast("string").alias("text"),
+    )
+    return layout.split_at_spine(rows, ["doc"]).select("doc", "col", "x0", "text")
+
+
 # Streams.
 
 

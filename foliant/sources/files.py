@@ -91,6 +91,23 @@ def init_tables(spark: SparkSession, tables: dict[str, str], path: str) -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet LOCATION '{path}/{name}'")
 
 
+def reset_tables(spark: SparkSession, tables: dict[str, str], path: str) -> None:
+    """Tables of these schemas, empty: those there are go with their files."""
+    jvm = spark.sparkContext._jvm
+    for name in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        where = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    init_tables(spark, tables, path)
+
+
+def file_name(name: Column, known: Column) -> Column:
+    """A chapter's file: the known one, or one derived from its name ("GOOD AND EVIL" to "Good & Evil.txt")."""
+    from foliant.functions.text import title_case
+
+    return F.coalesce(known, F.concat(F.replace(title_case(name), F.lit(" And "), F.lit(" & ")), F.lit(".txt")))
+
+
 def chapter_file(name: Column, intro: Column, outline: Column, refs: Column, crossrefs: Column) -> Column:
     """A chapter's file: its sections under their headers, empty ones left out."""
     part = lambda header, body: F.when(F.length(body) > 0, F.concat(F.lit(f"{header}\n\n"), body))
