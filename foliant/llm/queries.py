@@ -55,8 +55,9 @@ def op4_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = toxicity.classifier(docs, labels.filter(_rest(F.col("doc_id"), 5) != 0))
     scored = toxicity.score(docs, model)
-    held = F.lit(model.held).cast("long").alias("counterfactuals")
-    return scored.select("doc_id", (_rest(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", held)
+    # how many counterfactual texts training formed, and how many of them had other features
+    formed = [F.lit(n).cast("long").alias(k) for k, n in (("counterfactuals", model.swapped), ("counterfactuals_moved", model.held))]
+    return scored.select("doc_id", (_rest(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", *formed)
 
 
 def op5_bagminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

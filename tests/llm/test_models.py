@@ -1,8 +1,8 @@
-import hashlib
 import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from foliant.llm import decontam_fm, html_blocks, kneser_ney, toxicity
@@ -168,5 +168,46 @@ def test_html_never_stalls():
         html_blocks.main_text([page])
 
 
-def test_sha_of_items_is_of_sorted_strings():
-    assert hashlib.sha256(b"10,9").hexdigest() == hashlib.sha256(",".join(sorted(["9", "10"])).encode()).hexdigest()
+def test_time_of_pages_grows_with_them():
+    for unit in ("<a ", '<div x="', "<a '\">", "<div>", "</a>", "<!--", "</script", "<p class='"):
+        html_blocks.main_text([unit * (1_000_000 // len(unit))])
+    html_blocks.main_text(["<a><body>" + "<div>" * 50_000 + "</a>" * 50_000])
+
+
+def test_quotes_hide_the_end_of_a_tag_and_broken_ones_do_not():
+    assert html_blocks.main_text(['<article><p title="a > b">One.</p><p title="a>Two.</p></article>']) == ["One. Two."]
+
+
+def test_fit_is_the_least_of_its_loss():
+    rng = np.random.default_rng(5)
+    x = (rng.random((60, 7)) < 0.4).astype(np.float32)
+    y = (x[:, 0] + 0.5 * x[:, 1] + rng.random(60) > 0.9).astype(float)
+    differences = (rng.random((12, 7)) < 0.3).astype(np.float32) - (rng.random((12, 7)) < 0.3).astype(np.float32)
+
+    def loss(w, b):
+        z = x @ w + b
+        return np.sum(np.log1p(np.exp(z)) - y * z) + 0.5 * w @ w + 5 * np.sum((differences @ w) ** 2) + 5e-7 * b * b
+
+    w, b = toxicity.fit(x, y, differences, 1.0, 10.0, 50)
+    for k in range(8):
+        step = np.eye(8)[k] * 1e-3
+        assert loss(w, b) <= min(loss(w + step[:7], b + step[7]), loss(w - step[:7], b - step[7]))
+
+
+def test_neutral_terms_follow_the_same_words_and_say_nothing(spark):
+    rng = random.Random(17)
+    rows = []
+    for i in range(200):
+        bad = i % 4 == 0
+        words = [w for _ in range(12) for w in ("some", rng.choice(["nurses", "drivers"]), rng.choice(["sing", "walk"]), "here")][: rng.choice([8, 20])]
+        rows.append((" ".join([*words, "scumbag"] if bad else words) if i % 5 < 2 else f"no such word {i}", int(bad)))
+    pairs = toxicity.neutral_terms(spark.createDataFrame(rows, "text string, toxic int"), 50, 150)
+    assert {frozenset(p) for p in pairs} >= {frozenset(("nurses", "drivers"))} and not any("scumbag" in p for p in pairs)
+
+
+def test_great_counts_of_bigrams(tmp_path):
+    counts = np.array([1, 5, kneser_ney.GREAT - 1, kneser_ney.GREAT, 1 << 40], np.int64)
+    kneser_ney._store_counts(str(tmp_path), 0, counts)
+    kneser_ney._write(f"{tmp_path}/pair/0", np.arange(5, dtype=np.uint64))
+    arrays = kneser_ney.Arrays(kneser_ney.Model(str(tmp_path), 1, [4], 1, 10, []))
+    assert arrays.pair_counts(np.zeros(6, np.int64), np.array([4, 3, 2, 1, 0, 4])).tolist() == [1 << 40, kneser_ney.GREAT, kneser_ney.GREAT - 1, 5, 1, 1 << 40]
