@@ -37,6 +37,8 @@ from . import _bytes
 from ._spark import cut, release, tidy
 
 LEADERS = 8
+#: Pairs that are verified at a time; a row's number takes 12 bits of a sort key.
+PAIRS = 256
 #: A bucket of more members is split before its members are compared with each other.
 SMALL = 2048
 SPLITS = 2
@@ -115,11 +117,20 @@ def verifier(texts: DataFrame, bags: Callable[[np.ndarray, np.ndarray], tuple[np
         def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 sims = [np.zeros(0)]
-                for start, end, data, offsets in _bytes.chunks(batch.column(2)):
-                    for more, stop, other, bounds in _bytes.chunks(batch.column(3).slice(start, end - start)):
-                        # the left texts of just these pairs
-                        lo, hi = offsets[more], offsets[stop]
-                        sims.append(overlaps(bags(data[lo:hi], offsets[more : stop + 1] - lo), bags(other, bounds), stop - more))
+                for at in range(0, batch.num_rows, PAIRS):
+                    part = batch.slice(at, PAIRS)
+                    # the text of an id that stands in several pairs is taken apart once
+                    ids = np.concatenate([part.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)])
+                    _, first, back = np.unique(ids, return_index=True, return_inverse=True)
+                    texts_of = pa.concat_arrays([part.column(2), part.column(3)]).take(pa.array(first))
+                    row, element, count = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+                    for start, _, data, offsets in _bytes.chunks(texts_of):
+                        own = bags(data, offsets)
+                        row.append(own[0] + start)
+                        element.append(own[1])
+                        count.append(own[2])
+                    bag = [np.concatenate(x) for x in (row, element, count)]
+                    sims.append(overlaps(_gathered(bag, back[: part.num_rows], len(first)), _gathered(bag, back[part.num_rows :], len(first)), part.num_rows))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(sims))], ["a", "b", "sim"])
 
         return both.select("a", "b", "ta", "tb").mapInArrow(compared, "a long, b long, sim double")
@@ -127,6 +138,14 @@ def verifier(texts: DataFrame, bags: Callable[[np.ndarray, np.ndarray], tuple[np
     return verify
 
 
+def _gathered(bag: list[np.ndarray], rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bags of ``rows``, numbered from 0, of n bags."""
+    begin = np.searchsorted(bag[0], np.arange(n + 1))
+    size = np.diff(begin)[rows]
+    at = np.arange(int(size.sum())) + np.repeat(begin[rows] - (np.cumsum(size) - size), size)
+    return np.repeat(np.arange(len(rows)), size), bag[1][at], bag[2][at]
+
+
 def overlaps(a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray, np.ndarray], rows: int) -> np.ndarray:
     """The overlap of the multisets of each row, 1 for two empty ones; elements of 52 bits."""
     total = np.bincount(a[0], a[2], rows) + np.bincount(b[0], b[2], rows)

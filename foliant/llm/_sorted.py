@@ -185,7 +185,7 @@ class SharedKeys:
 
 
 def shared_keys(rows: DataFrame, parts: int | None = None) -> SharedKeys:
-    """The keys that two different ids have; rows: (id long, keys binary of 64-bit words)."""
+    """The keys that two different ids have; rows: (id long, keys binary of 64-bit words, or one long)."""
     parts = _parts(rows, parts)
     path = folder(rows.sparkSession, "shared")
 
@@ -241,9 +241,11 @@ def shared_keys(rows: DataFrame, parts: int | None = None) -> SharedKeys:
 
 
 def flat(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(int64 words, row of each) of a column of binary values of whole words; nulls are empty."""
+    """(int64 words, row of each) of a column of binary values of whole words, nulls empty, or of longs."""
     if isinstance(packed, pa.ChunkedArray):
         packed = packed.combine_chunks()
+    if pa.types.is_int64(packed.type):
+        return packed.to_numpy(zero_copy_only=False).astype(np.int64), np.arange(len(packed))
     if not len(packed):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     if packed.null_count:
@@ -267,13 +269,14 @@ def members(rows: DataFrame, keys: SharedKeys) -> DataFrame:
     return rows.mapInArrow(kept, "bucket long, id long")
 
 
-def where_held(rows: DataFrame, column: str, keys: KeyFiles) -> DataFrame:
-    """``rows`` whose ``column`` (long) is in ``keys``, filtered where they lie."""
+def where_held(rows: DataFrame, column: str, *keys: KeyFiles | SharedKeys) -> DataFrame:
+    """``rows`` whose ``column`` (long) is in one of the ``keys``, filtered where they lie."""
     at = rows.columns.index(column)
 
     @tidy
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(keys.holds(batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64))))
+            own = batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield batch.filter(pa.array(np.any([k.holds(own) for k in keys], axis=0)))
 
     return rows.mapInArrow(kept, rows.schema)

@@ -90,6 +90,11 @@ def op9_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def spotsigs_near_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9's join over all documents; beside op9's query, whose columns leave no room for it."""
+    return spotsigs.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_separator_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, manifest = separator_scan.write_flat(table(spark, sf_dir, "documents"), tokenizer_path(), SEPARATOR)
     counted = separator_scan.scan_files(spark, f"file://{path}", SEPARATOR)
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_extraction,
         op9_spotsigs_fingerprints,
         op10_separator_token_counts,
+        spotsigs_near_classes,
     )
 }
 

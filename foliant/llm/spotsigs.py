@@ -11,13 +11,16 @@ successor. Documents are dealt once, by ranges of the order, over buckets with
 splits from a bounded sample of keys; the one document that follows each bucket
 is sent to it beside. Nothing else moves, and tasks stream through their bucket.
 
-``near_pairs`` joins fingerprints: partitioned by set length, so only lengths
-that the threshold allows meet, indexed inside a partition by the signatures a
-pair must share (prefix filter), and verified with bounds that prune early.
+``near_classes`` joins fingerprints: partitioned by set length, so only lengths
+that the threshold allows meet, indexed inside a partition by the signatures
+that a pair must share (prefix filter). Pairs are pruned by their sets' lengths
+and bitmaps and then compared in full; groups of any size take bounded work a
+document (see ``_links``).
 
 Defined results: a null text is empty; texts without words have an empty
 fingerprint and are alike (1); equal keys and texts follow each other; a null
-doc_id is the last; a single document follows itself.
+doc_id is the last; a single document follows itself; an empty table gives no
+rows; texts of any length are read whole; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import _bytes
-from ._links import components
-from ._spark import cut
+from . import _bytes, _sorted
+from ._links import bitmaps, folded, link, lists, packed, verifier
+from ._spark import cut, release, tidy
 
 CHAIN = 2
 THRESHOLD = 0.8
@@ -213,45 +216,52 @@ def _compared(batches: Iterator[pa.RecordBatch], chain: int) -> Iterator[pa.Reco
             })
 
 
-def near_pairs(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, sim) of distinct fingerprints (id, fingerprint) whose likeness reaches ``threshold``, a < b.
+def read(fingerprint: str) -> np.ndarray:
+    return np.frombuffer(bytes.fromhex(fingerprint), ">u4").astype(np.uint32)
 
-    Lengths are cut into partitions [l, l / threshold); a fingerprint is indexed
-    in its own and, for the shorter side of a pair, the next one. Two alike
-    fingerprints share one of the first signatures in hash order (prefix
-    filter), which are the join keys; pairs that differ too much in length are
-    pruned before the sets are compared.
-    """
-    log = float(np.log(1 / threshold))
-    n = (F.length("fingerprint") / 8).cast("int")
-    rows = prints.select("id", "fingerprint", n.alias("n")).filter("n > 0").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / log + 1e-9).cast("int"))
-    signs = F.transform(F.sequence(F.lit(0), F.col("n") - F.ceil(F.col("n") * threshold).cast("int")), lambda i: F.substring("fingerprint", i * 8 + 1, F.lit(8)))
-    keyed = rows.select("id", "n", "band", F.explode(F.array_distinct(signs)).alias("sign"))
-    left = keyed.select(F.col("id").alias("x"), F.col("n").alias("nx"), "sign", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    right = keyed.select(F.col("id").alias("y"), F.col("n").alias("ny"), "sign", "band")
-    pairs = left.join(right, ["band", "sign"]).filter((F.col("x") != F.col("y")) & (F.col("nx") <= F.col("ny")) & (F.col("nx") >= F.col("ny") * threshold))
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    texts = rows.select("id", "fingerprint")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("fingerprint").alias("fa")), "a").join(texts.select(F.col("id").alias("b"), F.col("fingerprint").alias("fb")), "b")
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sims = [likeness(read(x), read(y)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims, pa.float64())], ["a", "b", "sim"])
 
-    return both.select("a", "b", "fa", "fb").mapInArrow(compared, "a long, b long, sim double").filter(F.col("sim") >= threshold)
+def print_bags(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, 52-bit element, count) of written fingerprints."""
+    value = np.frombuffer(bytes.fromhex(data.tobytes().decode()), ">u4").astype(np.uint64)
+    return _bytes.bags(np.repeat(np.arange(len(offsets) - 1), np.diff(offsets) // 8), _bytes.mix(value))
 
 
-def read(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), ">u4").astype(np.uint32)
+def partition_keys(fingerprint: np.ndarray, threshold: float) -> np.ndarray:
+    """A key for each signature of the prefix in each partition of lengths where the fingerprint may meet another.
+
+    Lengths are cut into partitions [l, l / threshold). A pair meets in that of
+    its longer side: a fingerprint stands in its own and the next one. Two that
+    reach the threshold share one of the first n - ceil(threshold n) + 1
+    signatures in ascending order.
+    """
+    n = len(fingerprint)
+    if not n:
+        return np.zeros(0, np.uint64)
+    signs = np.unique(fingerprint[: n - int(np.ceil(n * threshold - 1e-9)) + 1]).astype(np.uint64)
+    band = int(np.floor(np.log(n) / np.log(1 / threshold) + 1e-9))
+    return np.concatenate([_bytes.mix(signs << np.uint64(16) | np.uint64(b)) for b in (band, band + 1)])
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id: documents whose fingerprints are linked; equal fingerprints are one before the join."""
     prints = cut(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
     named = prints.select("doc_id", F.xxhash64("fingerprint").alias("id"), "fingerprint")
-    distinct = named.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("fingerprint").alias("fingerprint"))
-    roots = components(near_pairs(cut(distinct.select("id", "fingerprint")), threshold))
+    distinct = cut(named.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("fingerprint").alias("fingerprint")))
+
+    @tidy
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, end, data, offsets in _bytes.chunks(batch.column(1)):
+                row, element, count = print_bags(data, offsets)
+                fine = bitmaps(row, element, count, end - start)
+                keys = [partition_keys(read(x), threshold).tobytes() for x in batch.column(1).slice(start, end - start).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), pa.array(np.bincount(row, count, end - start).astype(np.int32)), lists(folded(fine)), packed(fine), pa.array(keys, pa.binary())], ["id", "n", "map", "fine", "keys"])
+
+    known = cut(distinct.select("id", "fingerprint").mapInArrow(keyed, "id long, n int, map array<long>, fine binary, keys binary"))
+    listed = known.select("id", "keys")
+    members = cut(_sorted.members(listed, _sorted.shared_keys(listed)).distinct())
+    roots = link(members, known.drop("keys"), listed, verifier(distinct.select("id", F.col("fingerprint").alias("text")), print_bags), threshold)
+    release(members, known)
     classed = distinct.select("id", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = classed.groupBy("root").agg(F.min("least").alias("class_id"))
     return named.select("doc_id", "id").join(classed.join(least, "root").select("id", "class_id"), "id").select("doc_id", "class_id")

@@ -180,6 +180,14 @@ def test_op9(spark, tables):
         assert prints.setdefault(t, r.fingerprint) == r.fingerprint
 
 
+def test_spotsigs_near_classes(spark, tables):
+    path, texts, _ = tables
+    prints = {r.doc_id: r.fingerprint for r in queries.op9_spotsigs_fingerprints(spark, path).collect()}
+    want = plain.classes([Counter(spotsigs.read(prints[i]).tolist()) for i in range(len(texts))])
+    assert {r.doc_id: r.class_id for r in queries.spotsigs_near_classes(spark, path).collect()} == dict(enumerate(want))
+    assert want[50] == want[10] and want[51] == want[11]
+
+
 def test_op10(spark, tables, tokenizer):
     path, texts, _ = tables
     found = queries.op10_separator_token_counts(spark, path).collect()
