@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import parsing
+from foliant.sources.shared import cut
 
 
 def counted(parents: DataFrame, key: str, children: DataFrame, child_key: str | None = None, name: str = "n", distinct: str | None = None) -> DataFrame:
@@ -38,7 +39,8 @@ def first_seen(rows: DataFrame, key: list[str], position: str, name: str = "id")
     dims = rows.groupBy(*key).agg(F.min(position).alias("_first"))
     dims = dims.repartitionByRange("_first", *key).sortWithinPartitions("_first", *key)
     dims = dims.withColumn("_part", F.spark_partition_id())
-    own = dims.withColumn("_nth", F.row_number().over(Window.partitionBy("_part").orderBy("_first", *key)))
+    # written once: what follows reads it twice and must see the same partitions
+    own = cut(dims.withColumn("_nth", F.row_number().over(Window.partitionBy("_part").orderBy("_first", *key))))
     # (partitions) rows: their sizes, added up
     lifts = own.groupBy("_part").agg(F.count("*").alias("_size")).withColumn("_lift", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return own.join(F.broadcast(lifts.select("_part", "_lift")), "_part").select((F.col("_lift") + F.col("_nth")).cast("long").alias(name), *key)

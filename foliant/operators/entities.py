@@ -7,9 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import parsing, similarity as S
-
-#: A dimension of at most so many rows may be sent to every executor.
-SMALL_SIDE = 200_000
+from foliant.sources.shared import cut
 
 
 def fuzzy_lookup(names: DataFrame, name: str, known: DataFrame, known_name: str, known_id: str, threshold: float = 0.78) -> DataFrame:
@@ -55,13 +53,15 @@ def _by(*columns):
 
 def connected(edges: DataFrame) -> DataFrame:
     """(id, root): least id of each component, by hooking to the least neighbour and jumping until nothing moves."""
-    both = edges.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("id"), F.col("a").alias("other"))).distinct().checkpoint()
+    both = edges.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("id"), F.col("a").alias("other"))).distinct()
+    both = cut(both)
     labels = both.groupBy("id").agg(F.least(F.min("other"), F.first("id")).alias("root"))
     while True:
         near = both.join(labels.select(F.col("id").alias("other"), F.col("root").alias("r")), "other").groupBy("id").agg(F.min("r").alias("r"))
         lower = labels.join(near, "id").select("id", F.col("root").alias("old"), F.least("root", "r").alias("root"))
         jump = lower.select(F.col("id").alias("root"), F.col("root").alias("top"))
-        lower = lower.join(jump, "root", "left").select("id", "old", F.coalesce("top", "root").alias("root")).checkpoint()
+        lower = lower.join(jump, "root", "left").select("id", "old", F.coalesce("top", "root").alias("root"))
+        lower = cut(lower)
         labels = lower.select("id", "root")
         if lower.filter("old != root").isEmpty():
             return labels
@@ -98,6 +98,22 @@ def title_clusters(works: DataFrame, volume: str, key: str, title: str, weight:
     return rows.join(of_title, ["v", "t"]).select(F.col("v").alias(volume), F.col("k").alias(key), "head")
 
 
+def near_titles(works: DataFrame, volume: str, key: str, title: str, threshold: float = 0.85) -> DataFrame:
+    """(volume, a, b, score): pairs of lower-cased titles of a volume that are near duplicates, a < b; a check of a finished catalogue.
+
+    Titles so alike share a pair of letters in a row, which is the join key;
+    pairs whose lengths leave no room are not scored.
+    """
+    own = works.select(F.col(volume).alias("v"), F.col(key).alias("k"), F.lower(F.col(title)).alias("t"))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - 1, F.lit(1))), lambda i: F.substring("t", i, F.lit(2))))
+    keyed = own.withColumn("g", F.explode(grams))
+    a, b = (keyed.select("v", "g", F.col("k").alias(x), F.col("t").alias(f"t_{x}")) for x in "ab")
+    pairs = a.join(b, ["v", "g"]).filter((F.col("a") < F.col("b")) & S.can_reach(F.col("t_a"), F.col("t_b"), threshold))
+    pairs = pairs.groupBy("v", "a", "b", "t_a", "t_b").agg(F.count("*").alias("shared"))
+    scored = pairs.withColumn("score", S.ratio("t_a", "t_b")).filter(F.col("score") >= threshold)
+    return scored.select(F.col("v").alias(volume), "a", "b", "score")
+
+
 def works_catalogue(works: DataFrame, volume: str = "volume_id", key: str = "id", title: str = "title", weight: str = "n_refs", threshold: float = 0.85) -> DataFrame:
     """The works to list: past the noise gate, the most cited of each normalised title, heads of clusters only, by lower-cased title."""
     from .catalogue import best_per_group

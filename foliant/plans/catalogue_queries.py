@@ -7,7 +7,6 @@ marked text that an operator reads, both sides build it from the same columns.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,7 @@ from foliant.operators import catalogue as C
 from foliant.operators import entities as E
 from foliant.operators import folds, layout, search
 from foliant.operators import segmentation as G
-from foliant.sources import files
+from foliant.sources import files, shared
 from foliant.streaming import watch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -930,7 +929,7 @@ def spine_split(spark, sf_dir):
 def stream_drain(spark, sf_dir):
     """The events as a watched folder, taken by a stream in one available-now run."""
     schema = _t(spark, sf_dir, "events").schema
-    base = f"{_scratch(spark)}/drain-{spark.sparkContext.applicationId}-{abs(hash(sf_dir)) % 10**8}-{next(_numbers)}"
+    base = f"{shared.folder(spark)}/drain-{spark.sparkContext.applicationId}-{abs(hash(sf_dir)) % 10**8}-{next(_numbers)}"
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     watch.drain(stream, f"{base}/out", f"{base}/state", lambda rows: rows.select("event_id", "event_type"))
     watch.drain(stream, f"{base}/out", f"{base}/state", lambda rows: rows.select("event_id", "event_type"))
@@ -938,8 +937,3 @@ def stream_drain(spark, sf_dir):
 
 
 _numbers = iter(range(10**9))
-
-
-def _scratch(spark: SparkSession) -> str:
-    """The folder that a cluster shares, an own one only where none is set."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='foliant-')}"

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from foliant.operators import catalogue as C
@@ -124,3 +125,62 @@ def test_watched_folder_takes_each_file_once(spark, tmp_path):
     assert sorted(n.replace("%20", " ") for n in names) == ["Volume 1.pdf", "Volume 2.pdf"]
     stream = spark.readStream.schema("ts timestamp, kind string").parquet(str(tmp_path / "in"))
     assert watch.counts_by_window(stream, "ts", ["kind"], "1 hour", "10 minutes").isStreaming
+
+
+def test_query_language(spark):
+    rows = [(1, "The état of nature", "Locke"), (2, "nature of the state", "Hobbes"), (3, "state", None), (4, "Etat, etat!", "Rousseau"), (5, None, None), (6, "free states", "Locke")]
+    docs = spark.createDataFrame(rows, "id int, text string, name string")
+    index, sizes = search.positions(docs, "id", ["text", "name"]), search.lengths(docs, "id", ["text", "name"])
+    found = lambda q: sorted(r.doc for r in search.match(index, sizes, q, None).collect())
+    assert found("ETAT") == [1, 4] and found('"of nature"') == [1] and found('"nature of"') == [2]
+    assert found("stat*") == [2, 3, 6] and found("locke AND nature") == [1] and found("nature locke") == [1]
+    assert found("état OR state") == [1, 2, 3, 4] and found("state NOT nature") == [3] and found("(etat OR states) NOT rousseau") == [1, 6]
+    # a phrase does not go from one field into the next
+    assert found('"nature locke"') == [] and found('"free stat*"') == [] and found('"free stat"*') == [6]
+    assert found("  ") == [] and found("nothing") == []
+    for broken in ("(a", "a OR", "NOT b", ")"):
+        with pytest.raises(ValueError):
+            search.parse(broken)
+
+
+def test_hits_keep_what_has_no_topic_or_volume(spark):
+    refs = spark.createDataFrame([(1, 1, "a", 1, 1, "1a", "2b", "x"), (2, 1, "b", 1, 2, None, None, "y"), (3, 9, "a", 1, 1, None, None, "z")], "id int, idea_number int, topic_label string, author_id int, work_id int, page_start string, page_end string, ref_text string")
+    out = search.hits(
+        spark.createDataFrame([(1, 2.0), (2, 1.0), (3, 9.0)], "doc int, score double"), refs, spark.createDataFrame([(1, "A")], "id int, name string"), spark.createDataFrame([(1, "W", 4), (2, "V", 5)], "id int, title string, volume_id int"),
+        spark.createDataFrame([(4, "Four")], "number int, display_name string"), spark.createDataFrame([(1, "I")], "number int, name string"), spark.createDataFrame([(1, "a", "T")], "idea_number int, label string, title string"),
+    )
+    assert [(r.id, r.topic_title, r.volume_display) for r in out.collect()] == [(1, "T", "Four"), (2, None, None)]
+
+
+def test_tables_are_reset(spark, tmp_path):
+    schema = {"reset_me": "a int, b string"}
+    files.init_tables(spark, schema, str(tmp_path))
+    spark.sql("INSERT INTO reset_me VALUES (1, 'x')")
+    files.init_tables(spark, schema, str(tmp_path))
+    assert spark.table("reset_me").count() == 1
+    files.reset_tables(spark, {"reset_me": "a int, c double"}, str(tmp_path))
+    assert spark.table("reset_me").columns == ["a", "c"] and spark.table("reset_me").count() == 0
+    spark.sql("DROP TABLE reset_me")
+
+
+def test_file_names_and_required_numbers(spark):
+    rows = spark.createDataFrame([("GOOD AND EVIL", None), ("MAN", "man-1.txt")], "name string, known string")
+    assert [r[0] for r in rows.select(files.file_name(F.col("name"), F.col("known"))).collect()] == ["Good & Evil.txt", "man-1.txt"]
+    with pytest.raises(Exception, match="no volume"):
+        rows.select(files.require(F.col("known").try_cast("int"), "no volume")).collect()
+
+
+def test_upsert_keeps_one_row_a_key(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "c", 1), (2, "d", 2), (3, "e", 1)], "k int, v string, at int")
+    assert {(r.k, r.v) for r in C.upsert(old, new, ["k"], [F.desc("at")]).collect()} == {(1, "a"), (2, "d"), (3, "e")}
+
+
+def test_letters_go_past_z():
+    assert [folds.letters(n) for n in (0, 1, 26, 27, 52, 53, 703)] == ["", "a", "z", "aa", "az", "ba", "aaa"]
+    assert folds.outline_labels([1] * 28)[-2:] == ["1z", "1aa"]
+
+
+def test_near_titles(spark):
+    works = spark.createDataFrame([(1, 4, "Heaven of God"), (2, 4, "heaven of gods"), (3, 5, "Heaven of God"), (4, 4, "Confessions")], "id int, volume_id int, title string")
+    assert [(r.volume_id, r.a, r.b) for r in E.near_titles(works, "volume_id", "id", "title").collect()] == [(4, 1, 2)]
