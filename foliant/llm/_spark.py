@@ -20,13 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own one where that is unset, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on one machine, as in tests, an own one where that is unset."""
     set_by_cluster = spark.conf.get("spark.checkpoint.dir", None)
     if set_by_cluster:
         return set_by_cluster
     ours = spark.sparkContext._jsc.sc().getCheckpointDir()
     if ours.isDefined():
         return ours.get().rsplit("/", 1)[0]
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that driver and executors share")
     base = f"file://{tempfile.mkdtemp(prefix='foliant-')}"
     spark.sparkContext.setCheckpointDir(base)
     return base
