@@ -184,3 +184,26 @@ def test_letters_go_past_z():
 def test_near_titles(spark):
     works = spark.createDataFrame([(1, 4, "Heaven of God"), (2, 4, "heaven of gods"), (3, 5, "Heaven of God"), (4, 4, "Confessions")], "id int, volume_id int, title string")
     assert [(r.volume_id, r.a, r.b) for r in E.near_titles(works, "volume_id", "id", "title").collect()] == [(4, 1, 2)]
+
+
+def test_fuzzy_lookup_finds_what_all_pairs_find(spark):
+    import random
+
+    from foliant.functions.similarity import lookup_score
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice(["ar", "is", "to", "pla", "kant", "he", "gel", "lo", "cke", "hu", "me", "des", "car", "tes"]) for _ in range(rng.randint(2, 4)))
+    known = [f"{word().title()} {word().title()}" if rng.random() < 0.5 else word().title() for _ in range(120)]
+
+    def misread(name):
+        x = list(name)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            x[rng.randrange(len(x))] = rng.choice("aeiclrn")
+        return "".join(x)
+
+    seen = [misread(rng.choice(known)) for _ in range(150)]
+    best = {s: max(lookup_score(s, k) for k in known) for s in seen}
+    found = {r.name: r.score for r in E.fuzzy_lookup(spark.createDataFrame([(s,) for s in seen], "seen string"), "seen", spark.createDataFrame(list(enumerate(known)), "id int, name string"), "name", "id").collect()}
+    reachable = {s for s, score in best.items() if score >= 0.78}
+    assert len(reachable) > 50 and set(found) <= reachable
+    assert sum(abs(found.get(s, 0) - best[s]) < 1e-9 for s in reachable) >= 0.98 * len(reachable)
