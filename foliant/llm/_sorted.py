@@ -13,6 +13,7 @@ import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ def write_array(path: str, array: np.ndarray) -> None:
     os.replace(part, path)
 
 
-def map_array(path: str, kind: str) -> np.ndarray:
+def map_array(path: str, kind) -> np.ndarray:
     if not os.path.exists(path) or not os.path.getsize(path):
         return np.zeros(0, kind)
     with open(path, "rb") as f:
@@ -280,3 +281,139 @@ def where_held(rows: DataFrame, column: str, *keys: KeyFiles | SharedKeys) -> Da
             yield batch.filter(pa.array(np.any([k.holds(own) for k in keys], axis=0)))
 
     return rows.mapInArrow(kept, rows.schema)
+
+
+#: Of each key the least place (unnamed rows last, then doc_id, doc, line) and how often it occurs.
+PLACES = (("key", "u8"), ("unnamed", "u1"), ("doc_id", "i8"), ("doc", "i8"), ("line", "i4"), ("n", "i8"))
+
+
+def least_places(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """PLACES of the distinct keys among rows of PLACES, sorted by key."""
+    key, unnamed, doc_id, doc, line, n = columns
+    order = np.lexsort((line, doc, doc_id, unnamed, key))
+    at = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0])) if len(key) else np.zeros(0, np.int64)
+    out = [c[order[at]] for c in columns[:-1]]
+    return [*out, np.add.reduceat(n[order], at) if len(at) else n]
+
+
+def first_places(rows: DataFrame, candidates: KeyFiles, parts: int | None = None) -> DataFrame:
+    """(id, unnamed, doc_id, doc, line, n) of the ids that occur more than once or are in ``candidates``.
+
+    rows: (id, doc_id, doc, line, n), n times each at this or a later place. A
+    task sends one entry an id, so an id that is everywhere costs little.
+    """
+    parts = _parts(rows, parts)
+
+    def taken(batches: Iterator[pa.RecordBatch], read) -> Iterator[list[np.ndarray]]:
+        """Rows merged whenever they have doubled."""
+        held = least_places([np.zeros(0, kind) for _, kind in PLACES])
+        more, size = [], 0
+        for batch in batches:
+            for columns in read(batch):
+                more.append(columns)
+                size += len(columns[0])
+                if size > max(len(held[0]), 1 << 18):
+                    held, more, size = least_places([np.concatenate(c) for c in zip(held, *more, strict=True)]), [], 0
+        return least_places([np.concatenate(c) for c in zip(held, *more, strict=True)])
+
+    def plain(batch):
+        ids, doc_id = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+        unnamed = doc_id.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
+        rest = [batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4)]
+        yield [_bytes.mix(ids.astype(np.int64).view(np.uint64)), unnamed, doc_id.fill_null(0).to_numpy(zero_copy_only=False), *[c.astype(k) for c, k in zip(rest, ("i8", "i4", "i8"), strict=True)]]
+
+    @tidy
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merged = taken(batches, plain)
+        bounds = np.searchsorted(key_range(merged[0], parts), np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(bounds)).tolist():
+            own = b"".join(c[bounds[p] : bounds[p + 1]].tobytes() for c in merged)
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([own], pa.binary())], ["part", "k"])
+
+    def packed(blob) -> list[np.ndarray]:
+        data, out, at = blob.as_buffer(), [], 0
+        n = data.size // sum(np.dtype(kind).itemsize for _, kind in PLACES)
+        for _, kind in PLACES:
+            out.append(np.frombuffer(data, kind, n, at))
+            at += n * np.dtype(kind).itemsize
+        return out
+
+    @tidy
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(rows_of):
+            key, unnamed, doc_id, doc, line, n = taken(rows_of, lambda blob: [packed(blob)])
+            ids = _unmix(key).view(np.int64)
+            use = (n > 1) | candidates.holds(ids)
+            names = ("id", "unnamed", "doc_id", "doc", "line", "n")
+            columns = [ids, unnamed.astype(bool), doc_id, doc, line, n]
+            return pa.RecordBatch.from_arrays([pa.array(c[use], mask=unnamed[use].astype(bool) if k == 2 else None) for k, c in enumerate(columns)], names)
+
+        for _, group in groupby(((p, k) for batch in batches for p, k in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)), key=lambda x: x[0]):
+            yield out(k for _, k in group)
+
+    blobs_of = rows.mapInArrow(sent, "part int, k binary").repartition(parts, "part").sortWithinPartitions("part")
+    return blobs_of.mapInArrow(merged, "id long, unnamed boolean, doc_id long, doc long, line int, n long")
+
+
+def _unmix(x: np.ndarray) -> np.ndarray:
+    """The inverse of ``_bytes.mix``."""
+    x = x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+    x = x * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    x = x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))
+    x = x * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+
+
+@dataclass
+class StayFiles:
+    """Of each id where its kept line stands, in files sorted by id."""
+
+    path: str
+    parts: int
+
+    def stays(self, ids: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+        """Whether lines (id, doc, line) stay: those of ids that are not here, and those at the kept place."""
+        hashed = _bytes.mix(ids.view(np.uint64))
+        part = key_range(hashed, self.parts)
+        order = np.argsort(part.astype(np.uint32), kind="stable")
+        bounds = np.searchsorted(part[order], np.arange(self.parts + 1))
+        out = np.ones(len(ids), bool)
+        for p in np.flatnonzero(np.diff(bounds)).tolist():
+            known = map_array(f"{self.path}/key/{p}", "u8")
+            if len(known):
+                own = order[bounds[p] : bounds[p + 1]]
+                at = np.minimum(np.searchsorted(known, hashed[own]), len(known) - 1)
+                here = np.flatnonzero(known[at] == hashed[own])
+                own, place = own[here], map_array(f"{self.path}/place/{p}", "i8").reshape(-1, 2)[at[here]]
+                out[own] = (place[:, 0] == doc[own]) & (place[:, 1] == line[own])
+        return out
+
+
+def stay_files(rows: DataFrame, parts: int | None = None) -> StayFiles:
+    """rows: (id, doc, line), one an id."""
+    parts = _parts(rows, parts)
+    path = folder(rows.sparkSession, "stay")
+    kind = np.dtype([("key", "u8"), ("doc", "i8"), ("line", "i8")])
+
+    @tidy
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.zeros(batch.num_rows, kind)
+            own["key"] = _bytes.mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            own["doc"], own["line"] = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
+            own = own[np.argsort(own["key"])]
+            bounds = np.searchsorted(key_range(own["key"], parts), np.arange(parts + 1))
+            for p in np.flatnonzero(np.diff(bounds)).tolist():
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([own[bounds[p] : bounds[p + 1]].tobytes()], pa.binary())], ["part", "k"])
+
+    @tidy
+    def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p, group in groupby(((p, k) for batch in batches for p, k in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)), key=lambda x: x[0]):
+            own = np.concatenate([np.frombuffer(k.as_buffer(), kind) for _, k in group])
+            own = own[np.argsort(own["key"])]
+            write_array(f"{path}/place/{p}", np.stack([own["doc"], own["line"]], axis=1))
+            write_array(f"{path}/key/{p}", own["key"])
+            yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32())})
+
+    rows.mapInArrow(sent, "part int, k binary").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(stored, "part int").agg({"part": "count"}).collect()
+    return StayFiles(path, parts)
