@@ -366,27 +366,39 @@ def _unmix(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class StayFiles:
-    """Of each id where its kept line stands, in files sorted by id."""
+    """Of each id a place (doc, line), in files sorted by id."""
 
     path: str
     parts: int
 
     def stays(self, ids: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
         """Whether lines (id, doc, line) stay: those of ids that are not here, and those at the kept place."""
+        known, here = self._found(ids, doc, line)
+        return ~known | here
+
+    def hold(self, ids: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+        """Whether lines are here with their place."""
+        return self._found(ids, doc, line)[1]
+
+    def _found(self, ids: np.ndarray, doc: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the id is here, and whether with this place."""
         hashed = _bytes.mix(ids.view(np.uint64))
         part = key_range(hashed, self.parts)
         order = np.argsort(part.astype(np.uint32), kind="stable")
         bounds = np.searchsorted(part[order], np.arange(self.parts + 1))
-        out = np.ones(len(ids), bool)
+        known, here = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
         for p in np.flatnonzero(np.diff(bounds)).tolist():
-            known = map_array(f"{self.path}/key/{p}", "u8")
-            if len(known):
+            keys = self._file("key", p, "u8")
+            if len(keys):
                 own = order[bounds[p] : bounds[p + 1]]
-                at = np.minimum(np.searchsorted(known, hashed[own]), len(known) - 1)
-                here = np.flatnonzero(known[at] == hashed[own])
-                own, place = own[here], map_array(f"{self.path}/place/{p}", "i8").reshape(-1, 2)[at[here]]
-                out[own] = (place[:, 0] == doc[own]) & (place[:, 1] == line[own])
-        return out
+                at = np.minimum(np.searchsorted(keys, hashed[own]), len(keys) - 1)
+                found = np.flatnonzero(keys[at] == hashed[own])
+                own, place = own[found], self._file("place", p, "i8").reshape(-1, 2)[at[found]]
+                known[own] = True
+                here[own] = (place[:, 0] == doc[own]) & (place[:, 1] == line[own])
+        return known, here
+
+    _file = KeyFiles._file
 
 
 def stay_files(rows: DataFrame, parts: int | None = None) -> StayFiles:
