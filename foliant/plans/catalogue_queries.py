@@ -582,10 +582,15 @@ def work_title_norm(spark, sf_dir):
 
 
 @_register("""
-SELECT l_orderkey, l_linenumber, l_suppkey::VARCHAR AS number, 'PLATO' AS author, 'Republic' AS title, (l_quantity::INT) || 'c' AS page_start, (l_quantity::INT + 2) || 'b' AS page_end FROM lineitem""")
+WITH l AS (SELECT l_orderkey, l_linenumber, l_linenumber % 3 AS k, l_suppkey::VARCHAR AS s, l_quantity::INT AS q FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN k < 2 THEN s END AS number, CASE k WHEN 0 THEN 'PLATO' WHEN 1 THEN 'ST. AUGUSTINE' END AS author, CASE k WHEN 0 THEN 'Republic' WHEN 1 THEN trim(repeat('long ', 16)) END AS title,
+  CASE k WHEN 0 THEN q || 'c' WHEN 1 THEN q || 'a' END AS page_start, CASE k WHEN 0 THEN q + 2 || 'b' END AS page_end FROM l""")
 def csv_references(spark, sf_dir):
-    q = F.col("l_quantity").cast("int")
-    line = F.concat(F.col("l_suppkey").cast("string"), F.lit(" PLATO: Republic, "), q.cast("string"), F.lit("c-"), (q + 2).cast("string"), F.lit("b"))
+    q, k, s = F.col("l_quantity").cast("int"), F.col("l_linenumber") % 3, F.col("l_suppkey").cast("string")
+    usual = F.concat(s, F.lit(" PLATO: Republic, "), q.cast("string"), F.lit("c-"), (q + 2).cast("string"), F.lit("b"))
+    # no comma: a title of 80 characters at most
+    long = F.concat(s, F.lit(" ST. AUGUSTINE: "), F.repeat(F.lit("long "), F.lit(20)), q.cast("string"), F.lit("a"))
+    line = F.when(k == 0, usual).when(k == 1, long).otherwise("no reference at all")
     return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", P.csv_reference(line).alias("r")).select("l_orderkey", "l_linenumber", "r.*")
 
 
@@ -689,6 +694,59 @@ def chapter_files(spark, sf_dir):
     )
 
 
+@_register(r"""
+SELECT p_partkey, 'is one ever OUTLINE OF TOPICS ' || p_size AS unfused, 'Head ' || p_size || chr(10) || chr(10) || 'Tail' AS plain, CASE WHEN p_partkey % 3 = 0 THEN 'GOD' WHEN p_partkey % 3 = 1 THEN 'HONOR' ELSE 'LIFE AND DEATH' END AS idea,
+  'A Man''S War-Peace ' || p_size || 'X' AS title, 'good-evil-' || p_size AS slug, 'car-of-god-' || p_size AS singular, '5' || p_size || '. Title' || chr(10) || 'plain line' || chr(10) || p_size || 'b. Other' AS codes,
+  'x REFERENCES in a line' || chr(10) AS intro, 'OUTLINE OF TOPICS' || chr(10) || p_size || '. One' || chr(10) AS outline, 'REFERENCES' || chr(10) || 'r' AS refs, 'ph' || p_size AS name_key FROM part""")
+def text_rules(spark, sf_dir):
+    n = F.col("p_size").cast("string")
+    text = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    idea = F.when(F.col("p_partkey") % 3 == 0, " CiOD ").when(F.col("p_partkey") % 3 == 1, "IIONOR").otherwise("LIFE  AND\nDEATH")
+    strict = P.sections(text("x REFERENCES in a line\nOUTLINE OF TOPICS\n", n, ". One\nREFERENCES\nr"), strict=True)
+    return _t(spark, sf_dir, "part").select(
+        "p_partkey",
+        T.split_fused_headers(text("is one everOUTLINE OF TOPICS ", n)).alias("unfused"),
+        T.strip_boilerplate(text("Head ", n, "\nTo find the passages cited, see x\ny consult the Preface.\nTail")).alias("plain"),
+        T.clean_idea_name(idea).alias("idea"),
+        T.title_case(text("a man's WAR-peace ", n, "x")).alias("title"),
+        T.slug(text(" Good & Evil ", n)).alias("slug"),
+        T.singular_slug(text("Cars of gods ", n)).alias("singular"),
+        T.fix_outline_codes(text("S", n, ". Title\nplain line\n", n, "^. Other")).alias("codes"),
+        strict["intro"].alias("intro"), strict["outline"].alias("outline"), strict["refs"].alias("refs"),
+        S.name_key(text("P. H. ", n)).alias("name_key"),
+    )
+
+
+@_register("""
+WITH f AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'Notes ' || s_suppkey || '.pdf' WHEN s_suppkey % 3 = 1 THEN 'Great, Volume ' || s_suppkey || '.PDF' ELSE 'Volume ' || s_suppkey || '.txt' END AS name, s_suppkey * 1000 AS size, s_suppkey FROM supplier)
+SELECT CASE WHEN s_suppkey % 3 = 1 THEN s_suppkey::INT END AS vol, name, size, (SELECT count(*) FROM f WHERE s_suppkey % 3 <> 2) AS files FROM f WHERE s_suppkey % 3 <> 2""")
+def remote_listing(spark, sf_dir):
+    k = F.col("s_suppkey")
+    name = F.when(k % 3 == 0, F.concat(F.lit("Notes "), k, F.lit(".pdf"))).when(k % 3 == 1, F.concat(F.lit("Great, Volume "), k, F.lit(".PDF"))).otherwise(F.concat(F.lit("Volume "), k, F.lit(".txt")))
+    listed = files.listing(spark, _t(spark, sf_dir, "supplier").select(name.alias("name"), (k * 1000).alias("size")))
+    # the report has one row
+    return listed.crossJoin(F.broadcast(files.listing_report(listed).select("files")))
+
+
+@_register("SELECT n_nationkey::VARCHAR AS k, n_name AS v, CASE WHEN n_regionkey % 2 = 0 THEN n_regionkey::VARCHAR END AS r FROM nation")
+def csv_round_trip(spark, sf_dir):
+    """A table written as CSV, all fields as text, and read back."""
+    path = f"{shared.folder(spark)}/csv-{spark.sparkContext.applicationId}-{next(_numbers)}"
+    rows = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("v"), F.when(F.col("n_regionkey") % 2 == 0, F.col("n_regionkey")).alias("r"))
+    files.write_csv(rows, path)
+    return spark.read.option("header", True).csv(path)
+
+
+@_register("SELECT n_regionkey AS k, count(*) AS n, max(CASE WHEN n_regionkey = 1 THEN lower(n_name) ELSE n_name END) AS v FROM nation WHERE n_regionkey <> 2 GROUP BY 1")
+def partitions_reloaded(spark, sf_dir):
+    """Partitions of a table: one loaded anew, one deleted, the others as they were."""
+    path = f"{shared.folder(spark)}/parts-{spark.sparkContext.applicationId}-{next(_numbers)}"
+    rows = _t(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("k"), F.col("n_name").alias("v"))
+    files.replace_partitions(rows, path, "k")
+    files.replace_partitions(rows.filter("k = 1").withColumn("v", F.lower("v")), path, "k", [1, 2])
+    return spark.read.schema("v string, k int").parquet(path).groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("v"))
+
+
 # Layout.
 
 

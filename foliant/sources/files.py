@@ -46,9 +46,10 @@ def pdf_pages(files: DataFrame, offset: int = 0) -> DataFrame:
     return files.select("path", "content").mapInPandas(pages, "path string, page int, width double, height double, x0 double, y0 double, x1 double, y1 double, text string, btype int")
 
 
-def listing(spark: SparkSession, files: list[tuple[str, int]]) -> DataFrame:
-    """(vol, name, size) of a remote listing's PDF files, by volume, those without a number last."""
-    rows = spark.createDataFrame(files, "name string, size long").filter(F.lower("name").endswith(".pdf"))
+def listing(spark: SparkSession, files: list[tuple[str, int]] | DataFrame) -> DataFrame:
+    """(vol, name, size) of a remote listing's PDF files (name, size), by volume, those without a number last."""
+    rows = files if isinstance(files, DataFrame) else spark.createDataFrame(files, "name string, size long")
+    rows = rows.filter(F.lower("name").endswith(".pdf"))
     return rows.select(parsing.volume_of(F.col("name")).alias("vol"), "name", "size").orderBy(F.col("vol").asc_nulls_last(), "name")
 
 
@@ -80,9 +81,14 @@ def write_csv(rows: DataFrame, path: str) -> None:
     rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
-def replace_partitions(rows: DataFrame, path: str, key: str) -> None:
-    """Only the partitions that ``rows`` has are replaced; those it lacks stay."""
+def replace_partitions(rows: DataFrame, path: str, key: str, keys: list | None = None) -> None:
+    """Delete, then load: the partitions that ``rows`` has are replaced, those of ``keys`` that it lacks go, all others stay."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    loaded = {r[0] for r in rows.select(key).distinct().collect()} if keys else set()
+    jvm, conf = rows.sparkSession.sparkContext._jvm, rows.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for k in set(keys or ()) - loaded:
+        where = jvm.org.apache.hadoop.fs.Path(f"{path}/{key}={k}")
+        where.getFileSystem(conf).delete(where, True)
 
 
 def init_tables(spark: SparkSession, tables: dict[str, str], path: str) -> None:

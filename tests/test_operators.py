@@ -104,6 +104,8 @@ def test_files(spark, tmp_path):
     files.replace_partitions(rows, out, "k")
     files.replace_partitions(spark.createDataFrame([(2, "c")], rows.schema), out, "k")
     assert {(r.k, r.v) for r in spark.read.parquet(out).collect()} == {(1, "a"), (2, "c")}
+    files.replace_partitions(spark.createDataFrame([(3, "d")], rows.schema), out, "k", [1, 3])
+    assert {(r.k, r.v) for r in spark.read.parquet(out).collect()} == {(2, "c"), (3, "d")}
     files.write_csv(spark.createDataFrame([(1, None)], "a int, b string"), str(tmp_path / "csv"))
     assert any("a,b\n1,\n" == open(tmp_path / "csv" / f).read() for f in os.listdir(tmp_path / "csv") if f.endswith(".csv"))
     files.write_texts(rows, str(tmp_path / "texts"), "k", "v")
