@@ -68,19 +68,17 @@ _BEFORE, _AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 
 
 def fix_words(text: Column, words: dict[str, str] | None = None) -> Column:
-    """Misread words put right, a pass for each kind of error.
+    """Misread words put right: marked in one pass, then replaced where they are marked.
 
     "oi", "ol" and "ot" before a lower-case word become "of"; "docs" not before
     a full stop becomes "does"; "arc" becomes "are" unless a determiner stands
     before it.
     """
-    # words that differ in their first letter alone share a pass
-    kinds: dict[tuple[str, str], list[str]] = {}
-    for wrong, right in (words or wrong_words()).items():
-        own = (wrong[0], right[0]) if wrong[1:] == right[1:] else (wrong, right)
-        kinds.setdefault(own, []).append(wrong[len(own[0]) :])
-    for (wrong, right), rests in kinds.items():
-        text = F.regexp_replace(text, f"{_BEFORE}{wrong}(?=(?:{'|'.join(rests)}){_AFTER})", right)
+    words = words or wrong_words()
+    marked = F.regexp_replace(text, f"{_BEFORE}({'|'.join(words)}){_AFTER}", "\uE000$1\uE001")
+    for wrong, right in words.items():
+        marked = F.replace(marked, F.lit(f"\uE000{wrong}\uE001"), F.lit(right))
+    text = marked
     text = F.regexp_replace(text, rf"{_BEFORE}(?:oi|ol|ot){_AFTER}(?=\s+[a-z])", "of")
     text = F.regexp_replace(text, rf"{_BEFORE}docs{_AFTER}(?!\s*\.)", "does")
     # curves are marked, the others put right, the mark taken out
