@@ -175,16 +175,17 @@ def link(members: DataFrame, known: DataFrame, keys: DataFrame, verify: Callable
     buckets among them; read only to split a large bucket. verify: takes distinct (a, b), a < b, and returns (a, b, sim) for each
     of them.
     """
-    lead = members.groupBy("bucket").agg(F.min("id").alias("o_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
-    pairs = _pairs(members.join(lead, "bucket").filter("id != o_id"))
+    lead = members.groupBy("bucket").agg(F.min("id").alias("o_id"), F.count("*").alias("rows")).filter("rows > 1")
+    led = cut(members.join(lead, "bucket"))
+    pairs = _pairs(led.filter("id != o_id"))
     for side in ("a", "b"):
         pairs = pairs.join(known.select(F.col("id").alias(side), F.col("n").alias(f"{side}_n"), F.col("map").alias(f"{side}_map")), side)
     roots = _joined(None, verify(pairs.filter(_may_link(threshold, COARSE, "a_", "b_")).select("a", "b")), threshold)
 
-    # what is left: buckets with several components
-    left = cut(_mixed(members, roots).join(known.select("id", "n", F.col("fine").alias("map")), "id").select("bucket", "id", "n", "root", "map", "rows"))
+    # what is left: buckets with several components; one of two members has no other pair
+    left = cut(_mixed(led.filter("rows > 2").select("bucket", "id"), roots).join(known.select("id", "n", F.col("fine").alias("map")), "id").select("bucket", "id", "n", "root", "map", "rows"))
     small, large, depth = left.filter(F.col("rows") <= SMALL), left.filter(F.col("rows") > SMALL), 0
-    tables = [left]
+    tables = [led, left]
     while depth < MOST_SPLITS and not large.isEmpty():
         depth += 1
         split = large.drop("rows").join(key_lists(keys), "id")

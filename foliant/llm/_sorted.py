@@ -3,7 +3,8 @@
 A task sends one sorted array of keys for each hash range, already without
 repeats, so a key that is everywhere costs a task one entry. A range is merged
 by one task and stored as flat files. Lookups then filter rows where they lie:
-wide rows (texts, lists of band keys) never move to meet a set.
+wide rows (texts, band keys) never move to meet a set. ``first_places`` and
+``stay_files`` do the same for where lines stand.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import mmap
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -45,6 +46,12 @@ def key_range(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def by_part(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, bounds): rows by part, and where each part begins; small numbers are sorted by radix."""
+    order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.uint32), kind="stable")
+    return order, np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+
+
 def blobs(keys: np.ndarray, values: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     """One row a range of sorted keys: the keys and their 32-bit values."""
     bounds = np.searchsorted(key_range(keys, parts), np.arange(parts + 1))
@@ -173,8 +180,7 @@ class SharedKeys:
         hashed = _bytes.mix(keys.view(np.uint64))
         part = key_range(hashed, self.parts)
         low = hashed & np.uint64((1 << 40) - 1)
-        order = np.argsort(part.astype(np.uint32), kind="stable")
-        bounds = np.searchsorted(part[order], np.arange(self.parts + 1))
+        order, bounds = by_part(part, self.parts)
         out = np.zeros(len(keys), bool)
         for p in np.flatnonzero(np.diff(bounds)).tolist():
             known = map_array(f"{self.path}/{p}", "u8")
@@ -206,8 +212,7 @@ def shared_keys(rows: DataFrame, parts: int | None = None) -> SharedKeys:
             ids = _bytes.mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) >> np.uint64(40)
             entry = (hashed << _ID_BITS) | ids[row]
             part = key_range(hashed, parts)
-            order = np.argsort(part.astype(np.uint32), kind="stable")
-            bounds = np.searchsorted(part[order], np.arange(parts + 1))
+            order, bounds = by_part(part, parts)
             entry = entry[order]
             for p in np.flatnonzero(np.diff(bounds)).tolist():
                 held[p].append(entry[bounds[p] : bounds[p + 1]])
@@ -304,8 +309,8 @@ def first_places(rows: DataFrame, candidates: KeyFiles, parts: int | None = None
     """
     parts = _parts(rows, parts)
 
-    def taken(batches: Iterator[pa.RecordBatch], read) -> Iterator[list[np.ndarray]]:
-        """Rows merged whenever they have doubled."""
+    def taken(batches: Iterator, read: Callable) -> list[np.ndarray]:
+        """What ``read`` gives of each, merged whenever it has doubled."""
         held = least_places([np.zeros(0, kind) for _, kind in PLACES])
         more, size = [], 0
         for batch in batches:
@@ -324,13 +329,13 @@ def first_places(rows: DataFrame, candidates: KeyFiles, parts: int | None = None
 
     @tidy
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merged = taken(batches, plain)
-        bounds = np.searchsorted(key_range(merged[0], parts), np.arange(parts + 1))
+        least = taken(batches, plain)
+        bounds = np.searchsorted(key_range(least[0], parts), np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(bounds)).tolist():
-            own = b"".join(c[bounds[p] : bounds[p + 1]].tobytes() for c in merged)
+            own = b"".join(c[bounds[p] : bounds[p + 1]].tobytes() for c in least)
             yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([own], pa.binary())], ["part", "k"])
 
-    def packed(blob) -> list[np.ndarray]:
+    def opened(blob) -> list[np.ndarray]:
         data, out, at = blob.as_buffer(), [], 0
         n = data.size // sum(np.dtype(kind).itemsize for _, kind in PLACES)
         for _, kind in PLACES:
@@ -341,7 +346,7 @@ def first_places(rows: DataFrame, candidates: KeyFiles, parts: int | None = None
     @tidy
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows_of):
-            key, unnamed, doc_id, doc, line, n = taken(rows_of, lambda blob: [packed(blob)])
+            key, unnamed, doc_id, doc, line, n = taken(rows_of, lambda blob: [opened(blob)])
             ids = _unmix(key).view(np.int64)
             use = (n > 1) | candidates.holds(ids)
             names = ("id", "unnamed", "doc_id", "doc", "line", "n")
@@ -384,8 +389,7 @@ class StayFiles:
         """Whether the id is here, and whether with this place."""
         hashed = _bytes.mix(ids.view(np.uint64))
         part = key_range(hashed, self.parts)
-        order = np.argsort(part.astype(np.uint32), kind="stable")
-        bounds = np.searchsorted(part[order], np.arange(self.parts + 1))
+        order, bounds = by_part(part, self.parts)
         known, here = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
         for p in np.flatnonzero(np.diff(bounds)).tolist():
             keys = self._file("key", p, "u8")
