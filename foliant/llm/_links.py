@@ -57,9 +57,9 @@ def bitmaps(row: np.ndarray, element: np.ndarray, count: np.ndarray, rows: int,
     extra = np.repeat(np.arange(len(count)), count - 1)
     copy = np.arange(len(extra)) - np.repeat(np.cumsum(count - 1) - (count - 1), count - 1) + 1
     bit = np.concatenate([element, _bytes.mix(element[extra] + copy.astype(np.uint64))]) % np.uint64(64 * words)
-    place = np.concatenate([row, row[extra]]) * (64 * words) + bit.astype(np.int64)
-    odd = (np.bincount(place, minlength=rows * 64 * words) & 1).astype(np.uint8)
-    return np.packbits(odd, bitorder="little").view(np.int64).reshape(rows, words)
+    out = np.zeros(rows * words, np.uint64)
+    np.bitwise_xor.at(out, np.concatenate([row, row[extra]]) * words + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out.view(np.int64).reshape(rows, words)
 
 
 def folded(maps: np.ndarray) -> np.ndarray:

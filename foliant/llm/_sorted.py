@@ -292,10 +292,21 @@ def where_held(rows: DataFrame, column: str, *keys: KeyFiles | SharedKeys) -> Da
 PLACES = (("key", "u8"), ("unnamed", "u1"), ("doc_id", "i8"), ("doc", "i8"), ("line", "i4"), ("n", "i8"))
 
 
+def place_order(key: np.ndarray, unnamed: np.ndarray, doc_id: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The order by key and place; places are looked at only where a key repeats."""
+    order = np.argsort(key, kind="stable")
+    same = np.diff(key[order]) == 0
+    several = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same])) if len(key) else np.zeros(0, np.int64)
+    if len(several):
+        own = order[several]
+        order[several] = own[np.lexsort((line[own], doc[own], doc_id[own], unnamed[own], key[own]))]
+    return order
+
+
 def least_places(columns: list[np.ndarray]) -> list[np.ndarray]:
     """PLACES of the distinct keys among rows of PLACES, sorted by key."""
     key, unnamed, doc_id, doc, line, n = columns
-    order = np.lexsort((line, doc, doc_id, unnamed, key))
+    order = place_order(*columns[:-1])
     at = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0])) if len(key) else np.zeros(0, np.int64)
     out = [c[order[at]] for c in columns[:-1]]
     return [*out, np.add.reduceat(n[order], at) if len(at) else n]
