@@ -262,12 +262,19 @@ def flat(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return words, np.repeat(np.arange(len(packed)), np.diff(ends) // 8)
 
 
+def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The first row of each id: its keys are the same in all."""
+    _, first = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)
+    return batch.take(pa.array(np.sort(first))) if len(first) < batch.num_rows else batch
+
+
 def members(rows: DataFrame, keys: SharedKeys) -> DataFrame:
     """(bucket, id) of the keys in ``keys``; rows: (id long, keys binary)."""
 
     @tidy
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = _once(batch)
             key, row = flat(batch.column(1))
             use = keys.holds(key)
             yield pa.RecordBatch.from_arrays([pa.array(key[use]), batch.column(0).take(pa.array(row[use]))], ["bucket", "id"])
