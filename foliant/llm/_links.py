@@ -1,17 +1,25 @@
 """From buckets of candidates to verified links and connected components.
 
-``link`` finds the components inside buckets without forming all pairs of one.
-It goes through three passes, each over what the last left open:
+``link`` finds the components inside buckets, of any size, as if all members of
+each had been compared. It goes through passes, each over what the last left open:
 
 1. every member of a bucket is compared with the bucket's leader;
 2. in buckets that still hold several components, members of different ones are
    compared with each other, but in buckets of more than TINY members with
    LEADERS of them only;
-3. those larger buckets are finished, all members of different components
-   compared, in groups of at most SMALL. Larger buckets are split before the
-   second pass by SPLITS further band keys of their members, again and again
-   until they are small, so a member meets a bounded number of others in each.
-   What agrees in more than half of the bands is left to the first two passes.
+3. buckets of more than TINY members are finished, all members of different
+   components compared;
+4. buckets of more than SMALL members are not in the second and third pass
+   themselves. Before these, all members are compared with LEADERS others in up
+   to ROUNDS rounds, and split by SPLITS further band keys, again and again,
+   into small buckets, which those passes take. This finds most of their links
+   cheaply, but not those of members that agree in few bands. So they are
+   finished at last like the others, all members of different components
+   compared, dealt into blocks of which each two meet in a task.
+
+The last pass looks at the bitmaps of a bucket's pairs, a square of its members,
+in as many tasks as there are pairs of blocks; copies of a member are at most
+MOST_BLOCKS.
 
 A pair is verified only if its bitmaps allow the threshold. A bitmap has, for
 each of its bits, the parity of the elements that fall on it; two bitmaps differ
@@ -43,6 +51,11 @@ PAIRS = 256
 SMALL = 2048
 SPLITS = 2
 MOST_SPLITS = 8
+#: Rounds of LEADERS that a larger bucket goes through, and how many blocks its members are dealt into at most.
+ROUNDS = 4
+MOST_BLOCKS = 64
+#: Bitmaps that are held against a block's at a time.
+ABREAST = 128
 #: In buckets of so few members all are compared at once.
 TINY = 32
 #: 64-bit words of the bitmaps of the first pass and of the others; the first divides the second.
@@ -186,7 +199,31 @@ def link(members: DataFrame, known: DataFrame, keys: DataFrame, verify: Callable
     left = cut(_mixed(led.filter("rows > 2").select("bucket", "id"), roots).join(known.select("id", "n", F.col("fine").alias("map")), "id").select("bucket", "id", "n", "root", "map", "rows"))
     small, large, depth = left.filter(F.col("rows") <= SMALL), left.filter(F.col("rows") > SMALL), 0
     tables = [led, left]
-    while depth < MOST_SPLITS and not large.isEmpty():
+
+    def added(tries: DataFrame, roots: DataFrame) -> tuple[DataFrame, bool]:
+        """The components with the links among ``tries``, and whether there are any."""
+        links = cut(verify(_pairs(tries)).filter(F.col("sim") >= threshold))
+        found = not links.isEmpty()
+        out = _joined(roots, links, threshold) if found else roots
+        release(links, *([roots] if found else []))
+        return out, found
+
+    def open_rows(rows: DataFrame, roots: DataFrame) -> DataFrame:
+        """Of ``rows``: the buckets in which several components still meet."""
+        out = cut(_mixed(rows.select("bucket", "id", "n", "map"), roots).select("bucket", "id", "n", "root", "map", "rows"))
+        tables.append(out)
+        return out
+
+    some_large = not large.isEmpty()
+    for turn in range(ROUNDS if some_large else 0):
+        roots, found = added(_crossed(_led_blocks(large, turn), threshold), roots)
+        if not found:
+            break
+        large = open_rows(large, roots)
+        if large.isEmpty():
+            break
+    whole, some_large = large, some_large and not large.isEmpty()
+    while depth < MOST_SPLITS and some_large and not large.isEmpty():
         depth += 1
         split = large.drop("rows").join(key_lists(keys), "id")
         if depth == 1:
@@ -209,29 +246,120 @@ def link(members: DataFrame, known: DataFrame, keys: DataFrame, verify: Callable
     rest = small.filter(F.col("rows") > TINY).select("bucket", "id", "n", "map")
     if not rest.isEmpty():
         roots = tried(_mixed(rest, roots), None, roots)
+    if some_large:
+        whole = open_rows(whole, roots)
+        if not whole.isEmpty():
+            roots, _ = added(_crossed(_block_pairs(whole), threshold), roots)
     release(*tables)
     return roots
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` of large buckets with blocks, the number of the bucket's blocks, and own, the one of a member."""
+    dealt = rows.withColumn("blocks", F.least(F.ceil(F.col("rows") / SMALL), F.lit(MOST_BLOCKS)).cast("int"))
+    return dealt.withColumn("own", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
+
+
+def _cell(a: str, b: str) -> Column:
+    """A number for two blocks of a bucket; if cells should share one by chance, more is compared."""
+    return F.xxhash64("bucket", a, b)
+
+
+#: The sides of a cell: rows of the first meet those of the second; rows of both meet each other.
+FIRST, SECOND, BOTH = 0, 1, 2
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """(cell, id, n, root, side, map): each two members of a bucket meet in one cell."""
+    met = _blocks(rows).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), BOTH).when(F.col("own") < F.col("other"), FIRST).otherwise(SECOND)
+    met = met.withColumns({"side": side, "lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+    return met.select(_cell("lo", "hi").alias("cell"), "id", "n", "root", "side", "map")
+
+
+def _led_blocks(rows: DataFrame, turn: int) -> DataFrame:
+    """(cell, id, n, root, side, map): each member of a bucket meets LEADERS of them, drawn anew each turn."""
+    drawn = [F.min_by("id", F.xxhash64("id", F.lit(turn * LEADERS + k))) for k in range(LEADERS)]
+    leaders = rows.groupBy("bucket").agg(F.array_distinct(F.array(*drawn)).alias("ids")).select("bucket", F.explode("ids").alias("id"))
+    dealt = _blocks(rows)
+    led = dealt.join(leaders, ["bucket", "id"], "left_semi").withColumn("own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(FIRST))
+    both = led.unionByName(dealt.withColumn("side", F.lit(SECOND)))
+    return both.select(_cell("own", "own").alias("cell"), "id", "n", "root", "side", "map")
+
+
+def _crossed(cells: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (id, o_id) that meet in a cell, differ in root and may reach the threshold."""
+    share = (1 - threshold) / (1 + threshold) + 1e-9
+
+    def pairs(ids, n, root, side, maps) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        short = folded(maps)
+        first, second = (own[np.argsort(n[own], kind="stable")] for own in (np.flatnonzero(side != SECOND), np.flatnonzero(side != FIRST)))
+        of, sizes, roots = np.ascontiguousarray(short[second].T), n[second], root[second]
+        for at in range(0, len(first), ABREAST):
+            x = first[at : at + ABREAST]
+            # only sets of like size can be alike
+            lo = int(np.searchsorted(sizes, n[x[0]] * (threshold - 1e-9), "left"))
+            hi = int(np.searchsorted(sizes, n[x[-1]] / (threshold - 1e-9), "right"))
+            apart = np.zeros((len(x), hi - lo), np.uint16)
+            for k in range(COARSE):
+                apart += np.bitwise_count(short[x, k][:, None] ^ of[k, lo:hi])
+            near = (apart <= (n[x][:, None] + sizes[lo:hi]) * share) & (root[x][:, None] != roots[lo:hi])
+            # of rows on both sides each pair is met twice
+            near &= (side[x][:, None] != BOTH) | (side[second[lo:hi]] != BOTH) | (ids[x][:, None] < ids[second[lo:hi]])
+            i, j = np.nonzero(near)
+            yield _near(threshold, n, root, maps, x[i], second[lo:hi][j])
+
+    @tidy
+    def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, *own in _whole(batches, 5):
+            at = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            for a, b in zip(at.tolist(), [*at[1:].tolist(), len(cell)], strict=True):
+                one = [x[a:b] for x in own]
+                for i, j in pairs(*one):
+                    if len(i):
+                        yield pa.RecordBatch.from_arrays([pa.array(one[0][i]), pa.array(one[0][j])], ["id", "o_id"])
+
+    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(crossed, "id long, o_id long")
+
+
+def _near(threshold: float, n: np.ndarray, root: np.ndarray, maps: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the index pairs (i, j): those that differ in root and may reach the threshold by sizes and bitmaps."""
+    share = (1 - threshold) / (1 + threshold) + 1e-9
+    a, b = n[i], n[j]
+    open_ = np.flatnonzero((root[i] != root[j]) & (np.minimum(a, b) >= np.maximum(a, b) * (threshold - 1e-9)))
+    i, j = i[open_], j[open_]
+    found = []
+    for at in range(0, len(i), 1 << 14):
+        x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+        apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int64)
+        near = apart <= (n[x] + n[y]) * share
+        found.append((x[near], y[near]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+
+
+def _whole(batches: Iterator[pa.RecordBatch], longs: int) -> Iterator[list[np.ndarray]]:
+    """Runs of whole groups, by the first of ``longs`` columns of whole numbers, beside the unpacked bitmaps after these."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(longs)] + [unpacked(batch.column(longs), FINE)]
+        # the last group may go on in the next batch
+        end = int(np.searchsorted(own[0], own[0][-1]))
+        if end or (held and held[-1][0][-1] != own[0][0]):
+            done = [*held, [x[:end] for x in own]]
+            yield [np.concatenate(x) for x in zip(*done, strict=True)]
+            held = []
+        held.append([x[end:] for x in own])
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
 def _across(threshold: float, leaders: int | None):
     """For sorted runs of (bucket, id, n, root, map): the pairs (id, o_id) of a bucket that differ in root and may reach the threshold.
 
     leaders: how many members of a run of more than TINY the others are compared with; None for all.
     """
-    share = (1 - threshold) / (1 + threshold) + 1e-9
-
-    def may(n, root, maps, i, j):
-        """Of the index pairs (i, j)."""
-        a, b = n[i], n[j]
-        open_ = np.flatnonzero((root[i] != root[j]) & (np.minimum(a, b) >= np.maximum(a, b) * (threshold - 1e-9)))
-        i, j = i[open_], j[open_]
-        found = []
-        for at in range(0, len(i), 1 << 14):
-            x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
-            apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int64)
-            near = apart <= (n[x] + n[y]) * share
-            found.append((x[near], y[near]))
-        return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 2
 
     def pairs(bucket, ids, n, root, maps) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
@@ -240,27 +368,16 @@ def _across(threshold: float, leaders: int | None):
         few = np.repeat(size <= TINY, size)
         for d in range(1, min(int(size.max(initial=0)), TINY)):
             i = np.flatnonzero(few & (left > d))
-            yield may(n, root, maps, i, i + d)
+            yield _near(threshold, n, root, maps, i, i + d)
         order = _bytes.mix(ids.view(np.uint64) ^ bucket.view(np.uint64))
         for k in np.flatnonzero(size > TINY).tolist():
             run = at[k] + np.argsort(order[at[k] : at[k] + size[k]], kind="stable")
             for i in range(len(run) - 1 if leaders is None else min(leaders, len(run) - 1)):
-                yield may(n, root, maps, np.full(len(run) - 1 - i, run[i]), run[i + 1 :])
+                yield _near(threshold, n, root, maps, np.full(len(run) - 1 - i, run[i]), run[i + 1 :])
 
     @tidy
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in _then_none(batches):
-            if batch is not None:
-                own = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)] + [unpacked(batch.column(4), FINE)]
-                held = own if held is None else [np.concatenate(x) for x in zip(held, own, strict=True)]
-                # the last bucket may go on in the next batch
-                end = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
-            else:
-                end = len(held[0]) if held else 0
-            if not end:
-                continue
-            done, held = [x[:end] for x in held], [x[end:] for x in held]
+        for done in _whole(batches, 4):
             for i, j in pairs(*done):
                 if len(i):
                     yield pa.RecordBatch.from_arrays([pa.array(done[1][i]), pa.array(done[1][j])], ["id", "o_id"])
@@ -268,11 +385,6 @@ def _across(threshold: float, leaders: int | None):
     return across
 
 
-def _then_none(items: Iterator) -> Iterator:
-    yield from items
-    yield None
-
-
 def _pairs(tries: DataFrame) -> DataFrame:
     return tries.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
 

@@ -96,6 +96,38 @@ def test_a_large_bucket_is_split_by_further_bands(spark, monkeypatch):
     assert {i: roots.get(i, i) for i in range(120)} == chained(starts)
 
 
+@pytest.mark.parametrize("rounds", [0, 4])
+def test_a_large_bucket_whose_members_share_no_other_band_is_finished(spark, monkeypatch, rounds):
+    monkeypatch.setattr(_links, "SMALL", 20)
+    monkeypatch.setattr(_links, "ROUNDS", rounds, raising=False)
+    rng = random.Random(12)
+    starts = [rng.randrange(2000) for _ in range(250)]
+    bands = lambda i: [0, *[1000 * k + i for k in (1, 2, 3)]]
+    roots = {r.id: r.root for r in _links.link(*runs(spark, starts, {0: range(250), 1: range(5)}, bands)).collect()}
+    want = chained(starts)
+    assert len(set(want.values())) > 20
+    assert {i: roots.get(i, i) for i in range(250)} == want
+
+
+def stars(seed, words, change):
+    """Texts of which many are just below or above the threshold: 40 changes each of three."""
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(3):
+        base = [f"{rng.randrange(10**6):06d}" for _ in range(words)]
+        texts += [" ".join([f"{rng.randrange(10**6):06d}" if rng.random() < change else w for w in base]) for _ in range(40)]
+    return texts
+
+
+def test_op2_finishes_large_buckets_of_lines(spark, monkeypatch):
+    monkeypatch.setattr(_links, "SMALL", 4)
+    lines = stars(13, 12, 0.09)
+    root = plain.classes([plain.char_shingles(line) for line in lines])
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.text}
+    assert found == set(root)
+
+
 def test_bitmaps_never_differ_more_than_their_sets():
     rng = np.random.default_rng(3)
     for n, own in ((5, 3), (60, 9), (700, 90), (9000, 400)):
