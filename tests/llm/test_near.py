@@ -238,3 +238,11 @@ def test_spotsigs_join_equals_brute_force(spark):
     bags = [Counter(spotsigs.read(r.fingerprint).tolist()) for r in spotsigs.fingerprints(docs).orderBy("doc_id").collect()]
     want = plain.classes(bags)
     assert {r.doc_id: r.class_id for r in spotsigs.near_classes(docs).collect()} == dict(enumerate(want))
+
+
+def test_op5_finishes_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(_links, "SMALL", 4)
+    texts = stars(14, 60, 0.01)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in bagminhash.near_classes(docs).collect()}
+    assert found == dict(enumerate(plain.classes([plain.shingles(t) for t in texts])))
