@@ -6,9 +6,11 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from foliant.llm import _links
 from foliant.llm.queries import tokenizer_path
 
 from . import plain
+from .test_near import stars
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -95,3 +97,13 @@ def test_stages_on_empty_tables(spark, tables, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{path}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_its_stages_finish_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(_links, "SMALL", 4)
+    lines, texts = stars(13, 12, 0.09), stars(14, 60, 0.01)
+    table = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(rows)], DOCUMENTS)
+    left = {r.doc_id for r in corpus_pipeline.drop_repeated_lines(spark, table(lines), "").collect() if r.text}
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, table(texts), "").collect()}
+    assert left == set(plain.classes([plain.char_shingles(x) for x in lines]))
+    assert kept == set(plain.classes([plain.shingles(x) for x in texts]))
