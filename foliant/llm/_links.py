@@ -237,7 +237,7 @@ def link(members: DataFrame, known: DataFrame, keys: DataFrame, verify: Callable
         large = split.filter(F.col("rows") > SMALL)
 
     def tried(rows: DataFrame, leaders: int | None, roots: DataFrame) -> DataFrame:
-        tries = rows.select("bucket", "id", "n", "root", "map").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_across(threshold, leaders), "id long, o_id long")
+        tries = _together(rows.select("bucket", "id", "n", "root", "map"), "bucket").mapInArrow(_across(threshold, leaders), "id long, o_id long")
         out = _joined(roots, verify(_pairs(tries)), threshold)
         release(roots)
         return out
@@ -319,7 +319,17 @@ def _crossed(cells: DataFrame, threshold: float) -> DataFrame:
                     if len(i):
                         yield pa.RecordBatch.from_arrays([pa.array(one[0][i]), pa.array(one[0][j])], ["id", "o_id"])
 
-    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(crossed, "id long, o_id long")
+    return _together(cells, "cell").mapInArrow(crossed, "id long, o_id long")
+
+
+def _together(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` sorted by ``key`` (long), all rows of a key in one partition.
+
+    Dealt by another expression than joins on the key are: Spark leaves out a
+    repartition that repeats a join's, and may then read that join's input by the
+    tasks that wrote it, or split its large partitions.
+    """
+    return rows.repartition(F.xxhash64(key)).sortWithinPartitions(key)
 
 
 def _near(threshold: float, n: np.ndarray, root: np.ndarray, maps: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -86,6 +86,23 @@ def test_links_lose_no_component_in_a_bucket(spark, monkeypatch, tiny):
     assert {i: roots.get(i, i) for i in range(150)} == want
 
 
+def test_a_bucket_stays_whole_in_the_pass_that_finishes_it(spark, monkeypatch):
+    # joins that turn into broadcasts while they run must not leave a bucket's members in several tasks
+    monkeypatch.setattr(_links, "TINY", 2)
+    monkeypatch.setattr(_links, "LEADERS", 1)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "1k"}
+    rng = random.Random(15)
+    starts = [rng.randrange(2500) for _ in range(300)]
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        roots = {r.id: r.root for r in _links.link(*runs(spark, starts, {0: range(300), 1: range(40)})).collect()}
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert {i: roots.get(i, i) for i in range(300)} == chained(starts)
+
+
 def test_a_large_bucket_is_split_by_further_bands(spark, monkeypatch):
     # 120 sets share band 0; bands 1 to 3 tell far sets apart and keep chains together
     monkeypatch.setattr(_links, "SMALL", 20)
