@@ -40,8 +40,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
 from . import _bytes
+from ._sorted import RecordFiles
 from ._spark import cut, release, tidy
 
 LEADERS = 8
@@ -136,14 +138,7 @@ def verifier(texts: DataFrame, bags: Callable[[np.ndarray, np.ndarray], tuple[np
                     ids = np.concatenate([part.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)])
                     _, first, back = np.unique(ids, return_index=True, return_inverse=True)
                     texts_of = pa.concat_arrays([part.column(2), part.column(3)]).take(pa.array(first))
-                    row, element, count = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-                    for start, _, data, offsets in _bytes.chunks(texts_of):
-                        own = bags(data, offsets)
-                        row.append(own[0] + start)
-                        element.append(own[1])
-                        count.append(own[2])
-                    bag = [np.concatenate(x) for x in (row, element, count)]
-                    sims.append(overlaps(_gathered(bag, back[: part.num_rows], len(first)), _gathered(bag, back[part.num_rows :], len(first)), part.num_rows))
+                    sims.append(_text_overlaps(texts_of, back[: part.num_rows], back[part.num_rows :], bags))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(sims))], ["a", "b", "sim"])
 
         return both.select("a", "b", "ta", "tb").mapInArrow(compared, "a long, b long, sim double")
@@ -151,6 +146,68 @@ def verifier(texts: DataFrame, bags: Callable[[np.ndarray, np.ndarray], tuple[np
     return verify
 
 
+def _text_overlaps(texts: pa.Array, i: np.ndarray, j: np.ndarray, bags: Callable) -> np.ndarray:
+    """The overlap of the texts at each i and j, PAIRS at most."""
+    row, element, count = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for start, _, data, offsets in _bytes.chunks(texts):
+        own = bags(data, offsets)
+        row.append(own[0] + start)
+        element.append(own[1])
+        count.append(own[2])
+    bag = [np.concatenate(x) for x in (row, element, count)]
+    return overlaps(_gathered(bag, i, len(texts)), _gathered(bag, j, len(texts)), len(i))
+
+
+def record(maps: np.ndarray, texts: list[bytes]) -> list[bytes]:
+    """Records of long bitmaps and texts, as ``described`` and ``record_verifier`` read them."""
+    size, raw = maps.shape[1] * 8, maps.tobytes()
+    return [raw[k * size : (k + 1) * size] + text for k, text in enumerate(texts)]
+
+
+def _maps_at(records: RecordFiles, places: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(records.read(places, 0, FINE * 8)), np.uint64).reshape(len(places), FINE)
+
+
+def described(records: RecordFiles) -> Callable[[DataFrame], DataFrame]:
+    """For ``link``: rows with an id, and n and map, the long bitmap, beside."""
+
+    def known(rows: DataFrame) -> DataFrame:
+        at, names = rows.columns.index("id"), [*rows.columns, "n", "map"]
+
+        @tidy
+        def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                places = records.find(batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places["n"].copy()), packed(_maps_at(records, places))], names)
+
+        return rows.mapInArrow(made, StructType([*rows.schema.fields, StructField("n", IntegerType()), StructField("map", BinaryType())]))
+
+    return known
+
+
+def record_verifier(records: RecordFiles, bags: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]], threshold: float) -> Callable[[DataFrame], DataFrame]:
+    """As ``verifier``, of the texts in records, read where they lie; pairs that cannot reach the threshold by sizes and bitmaps are left out."""
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        @tidy
+        def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids, back = np.unique(np.concatenate([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1)]), return_inverse=True)
+                places = records.find(ids)
+                i, j = _near(threshold, places["n"].astype(np.int64), np.arange(len(ids)), _maps_at(records, places), back[: batch.num_rows], back[batch.num_rows :])
+                order = np.lexsort((j, i))
+                i, j, sims = i[order], j[order], [np.zeros(0)]
+                for at in range(0, len(i), PAIRS):
+                    x, own = np.unique(np.concatenate([i[at : at + PAIRS], j[at : at + PAIRS]]), return_inverse=True)
+                    half = len(own) // 2
+                    sims.append(_text_overlaps(pa.array(records.read(places[x], FINE * 8), pa.large_binary()), own[:half], own[half:], bags))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j]), pa.array(np.concatenate(sims))], ["a", "b", "sim"])
+
+        return pairs.mapInArrow(compared, "a long, b long, sim double")
+
+    return verify
+
+
 def _gathered(bag: list[np.ndarray], rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bags of ``rows``, numbered from 0, of n bags."""
     begin = np.searchsorted(bag[0], np.arange(n + 1))
@@ -179,24 +236,29 @@ def _may_link(threshold: float, words: int, a: str, b: str) -> Column:
     return (F.least(na, nb) >= F.greatest(na, nb) * (threshold - 1e-9)) & (apart <= (na + nb) * ((1 - threshold) / (1 + threshold) + 1e-9))
 
 
-def link(members: DataFrame, known: DataFrame, keys: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+def link(members: DataFrame, known: DataFrame | Callable[[DataFrame], DataFrame], keys: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
     """(id, root) of all ids that have a link: components over verified links.
 
     members: (bucket long, id long), distinct. known: (id, n int, map
     array<long>, fine binary), the number of elements of each id, its short and
-    its long bitmap. keys: (id, keys binary), the band keys of each id, its
+    its long bitmap; or a function that puts n and map, the long bitmap, beside
+    rows with an id (``described``). keys: (id, keys binary), the band keys of each id, its
     buckets among them; read only to split a large bucket. verify: takes distinct (a, b), a < b, and returns (a, b, sim) for each
-    of them.
+    of them; where known is a function, it tests bitmaps itself and may leave out pairs below the threshold.
     """
     lead = members.groupBy("bucket").agg(F.min("id").alias("o_id"), F.count("*").alias("rows")).filter("rows > 1")
     led = cut(members.join(lead, "bucket"))
     pairs = _pairs(led.filter("id != o_id"))
-    for side in ("a", "b"):
-        pairs = pairs.join(known.select(F.col("id").alias(side), F.col("n").alias(f"{side}_n"), F.col("map").alias(f"{side}_map")), side)
-    roots = _joined(None, verify(pairs.filter(_may_link(threshold, COARSE, "a_", "b_")).select("a", "b")), threshold)
+    if isinstance(known, DataFrame):
+        table = known
+        for side in ("a", "b"):
+            pairs = pairs.join(table.select(F.col("id").alias(side), F.col("n").alias(f"{side}_n"), F.col("map").alias(f"{side}_map")), side)
+        pairs = pairs.filter(_may_link(threshold, COARSE, "a_", "b_")).select("a", "b")
+        known = lambda rows: rows.join(table.select("id", "n", F.col("fine").alias("map")), "id")
+    roots = _joined(None, verify(pairs), threshold)
 
     # what is left: buckets with several components; one of two members has no other pair
-    left = cut(_mixed(led.filter("rows > 2").select("bucket", "id"), roots).join(known.select("id", "n", F.col("fine").alias("map")), "id").select("bucket", "id", "n", "root", "map", "rows"))
+    left = cut(known(_mixed(led.filter("rows > 2").select("bucket", "id"), roots)).select("bucket", "id", "n", "root", "map", "rows"))
     small, large, depth = left.filter(F.col("rows") <= SMALL), left.filter(F.col("rows") > SMALL), 0
     tables = [led, left]
 

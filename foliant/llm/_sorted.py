@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import mmap
 import os
+import shutil
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -320,7 +321,7 @@ def least_places(columns: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def first_places(rows: DataFrame, candidates: KeyFiles, parts: int | None = None) -> DataFrame:
-    """(id, unnamed, doc_id, doc, line, n) of the ids that occur more than once or are in ``candidates``.
+    """(id, unnamed, doc_id, doc, line, n, candidate) of the ids that occur more than once or are in ``candidates``.
 
     rows: (id, doc_id, doc, line, n), n times each at this or a later place. A
     task sends one entry an id, so an id that is everywhere costs little.
@@ -366,16 +367,17 @@ def first_places(rows: DataFrame, candidates: KeyFiles, parts: int | None = None
         def out(rows_of):
             key, unnamed, doc_id, doc, line, n = taken(rows_of, lambda blob: [opened(blob)])
             ids = _unmix(key).view(np.int64)
-            use = (n > 1) | candidates.holds(ids)
-            names = ("id", "unnamed", "doc_id", "doc", "line", "n")
-            columns = [ids, unnamed.astype(bool), doc_id, doc, line, n]
+            candidate = candidates.holds(ids)
+            use = (n > 1) | candidate
+            names = ("id", "unnamed", "doc_id", "doc", "line", "n", "candidate")
+            columns = [ids, unnamed.astype(bool), doc_id, doc, line, n, candidate]
             return pa.RecordBatch.from_arrays([pa.array(c[use], mask=unnamed[use].astype(bool) if k == 2 else None) for k, c in enumerate(columns)], names)
 
         for _, group in groupby(((p, k) for batch in batches for p, k in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)), key=lambda x: x[0]):
             yield out(k for _, k in group)
 
     blobs_of = rows.mapInArrow(sent, "part int, k binary").repartition(parts, "part").sortWithinPartitions("part")
-    return blobs_of.mapInArrow(merged, "id long, unnamed boolean, doc_id long, doc long, line int, n long")
+    return blobs_of.mapInArrow(merged, "id long, unnamed boolean, doc_id long, doc long, line int, n long, candidate boolean")
 
 
 def _unmix(x: np.ndarray) -> np.ndarray:
@@ -451,3 +453,79 @@ def stay_files(rows: DataFrame, parts: int | None = None) -> StayFiles:
 
     rows.mapInArrow(sent, "part int, k binary").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(stored, "part int").agg({"part": "count"}).collect()
     return StayFiles(path, parts)
+
+
+#: Of an id's record: the file it lies in, its first byte and size there, and a number that belongs to it.
+RECORD = np.dtype([("key", "u8"), ("file", "i8"), ("start", "i8"), ("size", "i4"), ("n", "i4")])
+
+
+@dataclass
+class RecordFiles:
+    """Of each id a record of bytes, in the file of the task that made it, and its RECORD in files sorted by id: records are read where they lie."""
+
+    path: str
+    parts: int
+
+    def find(self, ids: np.ndarray) -> np.ndarray:
+        """The RECORD of each of these int64 ids, all of which have one."""
+        hashed = _bytes.mix(ids.view(np.uint64))
+        order, bounds = by_part(key_range(hashed, self.parts), self.parts)
+        out = np.zeros(len(ids), RECORD)
+        out["key"] = ~hashed
+        for p in np.flatnonzero(np.diff(bounds)).tolist():
+            own, known = order[bounds[p] : bounds[p + 1]], self._file("key", p, "u8")
+            if len(known):
+                out[own] = self._file("place", p, RECORD)[np.minimum(np.searchsorted(known, hashed[own]), len(known) - 1)]
+        if (out["key"] != hashed).any():
+            raise KeyError("an id has no record")
+        return out
+
+    def read(self, places: np.ndarray, start: int, end: int | None = None) -> list[bytes]:
+        """Bytes ``start`` to ``end`` (the last, if None) of the records at these places."""
+        first = places["start"] + start
+        last = places["start"] + (places["size"] if end is None else end)
+        return [self._file("record", f, "u1")[a:b].tobytes() for f, a, b in zip(places["file"].tolist(), first.tolist(), last.tolist(), strict=True)]
+
+    _file = KeyFiles._file
+
+
+def record_files(rows: DataFrame, made: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]], parts: int | None = None) -> RecordFiles:
+    """made: for a task's batches of ``rows`` runs of (ids, their numbers n, their records); of several records of an id, which must be equal, one is kept."""
+    parts = _parts(rows, parts)
+    path = folder(rows.sparkSession, "records")
+
+    @tidy
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a file of this run of the task alone: places of another run, in which rows may come in another order, do not lead here
+        name, end, places = uuid.uuid4().int >> 65, 0, [np.zeros(0, RECORD)]
+        os.makedirs(f"{path}/record", exist_ok=True)
+        with open(f"{path}/record/{name}", "wb") as f:
+            for ids, n, records in made(batches):
+                own = np.zeros(len(ids), RECORD)
+                own["key"], own["file"], own["n"] = _bytes.mix(ids.view(np.uint64)), name, n
+                own["size"] = [len(r) for r in records]
+                own["start"] = end + np.cumsum(own["size"], dtype=np.int64) - own["size"]
+                end += f.write(b"".join(records))
+                places.append(own)
+        own = np.concatenate(places)
+        own = own[np.argsort(own["key"])]
+        bounds = np.searchsorted(key_range(own["key"], parts), np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(bounds)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([own[bounds[p] : bounds[p + 1]].tobytes()], pa.binary())], ["part", "k"])
+
+    @tidy
+    def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p, group in groupby(((p, k) for batch in batches for p, k in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)), key=lambda x: x[0]):
+            own = np.concatenate([np.frombuffer(k.as_buffer(), RECORD) for _, k in group])
+            key, first = np.unique(own["key"], return_index=True)
+            write_array(f"{path}/place/{p}", own[first])
+            write_array(f"{path}/key/{p}", key)
+            yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32())})
+
+    rows.mapInArrow(written, "part int, k binary").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(stored, "part int").agg({"part": "count"}).collect()
+    return RecordFiles(path, parts)
+
+
+def discard(files: RecordFiles) -> None:
+    """Deletes files that nothing will read again."""
+    shutil.rmtree(files.path, ignore_errors=True)

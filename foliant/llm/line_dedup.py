@@ -34,7 +34,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from xxhash import xxh3_64_intdigest
 
 from . import _bytes, _sorted
-from ._links import band_keys, bitmaps, folded, link, lists, packed, verifier
+from ._links import band_keys, bitmaps, described, link, packed, record, record_verifier
 from ._spark import cut, release, tidy
 
 SHINGLE = 5  # char_shingles is written for five
@@ -113,14 +113,15 @@ def line_bags(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
 
 
 def _compared(batch_column: pa.Array, min_chars: int):
-    """(first row, row, line number, line key, chars, low, starts, ends) of the compared lines of each chunk."""
+    """(first row, row, line number, line key, low, starts, ends) of the compared lines of each chunk."""
     for first, _, data, offsets in _bytes.chunks(batch_column):
         row, number, starts, ends = split_lines(data, offsets)
         low = _bytes.LOWER[data]
-        chars = char_places(data, ends) - char_places(data, starts)
+        # a line of a byte is one of a character
+        chars = ends - starts if min_chars <= 1 else char_places(data, ends) - char_places(data, starts)
         use = np.flatnonzero(chars >= min_chars)
         row, number, starts, ends = row[use], number[use], starts[use], ends[use]
-        yield first, row, number, line_keys(low, starts, ends), chars[use], low, starts, ends
+        yield first, row, number, line_keys(low, starts, ends), low, starts, ends
 
 
 def line_keys(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -141,15 +142,15 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         for batch in batches:
             unnamed = batch.column(0).is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
             doc_id, doc = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-            for first, row, number, key, chars, low, starts, ends in _compared(batch.column(2), min_chars):
+            for first, row, number, key, low, starts, ends in _compared(batch.column(2), min_chars):
                 if not len(row):
                     continue
                 row = first + row
                 order = _sorted.place_order(key, unnamed[row], doc_id[row], doc[row], number)
                 at = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
                 pick, n = order[at], np.diff(np.append(at, len(order)))
-                long = np.flatnonzero(chars[pick] >= SHINGLE)
-                line, hashes = char_shingles(low, starts[pick[long]], ends[pick[long]])
+                line, hashes = char_shingles(low, starts[pick], ends[pick])
+                long = line[np.diff(line, prepend=-1) != 0]
                 keys = packed(band_keys(sign(line, hashes, len(long)), BANDS))
                 signed = np.full(len(pick), -1)
                 signed[long] = np.arange(len(long))
@@ -160,36 +161,25 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return rows.mapInArrow(made, "id long, doc_id long, doc long, line int, n long, keys binary")
 
 
-def line_texts(docs: DataFrame, places: _sorted.StayFiles, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(id, text) of the lines at ``places``, lower-cased as compared; once each."""
+def line_records(docs: DataFrame, places: _sorted.StayFiles, min_chars: int = MIN_CHARS) -> _sorted.RecordFiles:
+    """The lines at ``places``, lower-cased as compared, and their long bitmaps; their numbers are those of distinct shingles."""
 
-    @tidy
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for first, row, number, key, _, low, starts, ends in _compared(batch.column(1), min_chars):
-                ids = key.view(np.int64)
-                at = np.flatnonzero(places.hold(ids, doc[first + row], number))
+            ids, texts = [np.zeros(0, np.int64)], []
+            for first, row, number, key, low, starts, ends in _compared(batch.column(1), min_chars):
+                own = key.view(np.int64)
+                at = np.flatnonzero(places.hold(own, doc[first + row], number))
                 raw = low.tobytes() if len(at) else b""
-                texts = [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-                yield pa.RecordBatch.from_pydict({"id": pa.array(ids[at]), "text": pa.array(texts, pa.binary()).cast(pa.string())})
-
-    # repeated rows have the same places; dealt first, so that texts are sorted once
-    return docs.select(_row_key().alias("doc"), "text").mapInArrow(made, "id long, text string").repartition("id").dropDuplicates(["id"])
-
-
-def with_bitmaps(texts: DataFrame) -> DataFrame:
-    """(id, text) with n, the number of distinct shingles, and their bitmaps, short (map) and long (fine)."""
-
-    @tidy
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, end, data, offsets in _bytes.chunks(batch.column(1)):
+                ids.append(own[at])
+                texts += [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            ids = np.concatenate(ids)
+            for start, end, data, offsets in _bytes.chunks(pa.array(texts, pa.large_binary())):
                 line, element, count = _bags(data, offsets)
-                n, fine = np.bincount(line, minlength=end - start).astype(np.int32), bitmaps(line, element, count, end - start)
-                yield pa.RecordBatch.from_arrays([*batch.slice(start, end - start).columns, pa.array(n), lists(folded(fine)), packed(fine)], ["id", "text", "n", "map", "fine"])
+                yield ids[start:end], np.bincount(line, minlength=end - start), record(bitmaps(line, element, count, end - start), texts[start:end])
 
-    return texts.mapInArrow(made, "id long, text string, n int, map array<long>, fine binary")
+    return _sorted.record_files(docs.select(_row_key().alias("doc"), "text"), made)
 
 
 def _bags(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,10 +195,10 @@ def kept_places(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int =
     candidates = _sorted.key_files(members.select(F.col("id").alias("key"), F.lit(0).alias("value")))
     first = cut(_sorted.first_places(seen.drop("keys"), candidates))
     # the text of each candidate is read at its first place
-    wanted = _sorted.stay_files(members.select("id").distinct().join(first.select("id", "doc", "line"), "id"))
-    texts = cut(with_bitmaps(line_texts(docs, wanted, min_chars)))
-    roots = link(members, texts, listed.dropDuplicates(["id"]), verifier(texts, _bags), threshold)
-    release(members, texts)
+    records = line_records(docs, _sorted.stay_files(first.filter("candidate").select("id", "doc", "line")), min_chars)
+    roots = link(members, described(records), listed.dropDuplicates(["id"]), record_verifier(records, _bags, threshold), threshold)
+    _sorted.discard(records)
+    release(members)
     placed = first.join(roots, "id", "left").filter("n > 1 or root is not null").withColumn("root", F.coalesce("root", "id"))
     placed = cut(placed.select("id", "root", F.struct("unnamed", "doc_id", "doc", "line").alias("p")))
     stays = placed.groupBy("root").agg(F.min("p").alias("stay"))

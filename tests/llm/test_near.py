@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from foliant.llm import _bytes, _links, bagminhash, line_dedup, spotsigs
+from foliant.llm import _bytes, _links, _sorted, bagminhash, line_dedup, spotsigs
 
 from . import plain
 
@@ -219,6 +219,26 @@ def test_line_dedup_equals_brute_force(spark):
         assert found[i].n_chars == len(want or "")
 
 
+def test_lines_are_verified_where_their_records_lie(spark):
+    lines = [*stars(16, 12, 0.02)[:12], "Ünïcode line of more than twenty characters", "other"]
+    ids = line_dedup.line_keys(*(lambda raw: (np.frombuffer(b"".join(raw), np.uint8), *(lambda e: (e - [len(r) for r in raw], e))(np.cumsum([len(r) for r in raw]))))([plain.lower(x).encode() for x in lines])).view(np.int64).tolist()
+    # each row twice: repeated rows make equal records
+    docs = spark.createDataFrame([(1, "\n".join(lines))] * 2, "doc_id long, text string").repartition(2)
+    doc = docs.select(line_dedup._row_key().alias("doc")).first().doc
+    places = spark.createDataFrame([(x, doc, k) for k, x in enumerate(ids)], "id long, doc long, line int")
+    records = line_dedup.line_records(docs, _sorted.stay_files(places))
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "a long, b long")
+    found = _links.record_verifier(records, line_dedup._bags, 0.6)(pairs)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    sims = {(r.a, r.b): r.sim for r in found.collect()}
+    bags = dict(zip(ids, map(plain.char_shingles, lines), strict=True))
+    want = {(a, b): plain.jaccard(bags[a], bags[b]) for a in ids for b in ids if a < b}
+    assert {p: s for p, s in sims.items() if s >= 0.6} == pytest.approx({p: s for p, s in want.items() if s >= 0.6})
+    assert all(s == pytest.approx(want[p]) for p, s in sims.items()) and max(want.values()) >= 0.6 > min(want.values())
+    with pytest.raises(KeyError):
+        records.find(np.array([ids[0], 12345]))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     assert bagminhash.near_classes(none).count() == 0 and bagminhash.drop_near(none).count() == 0
