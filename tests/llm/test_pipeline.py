@@ -1,6 +1,7 @@
 """The pipeline, stage by stage, against brute force on small tables."""
 
 import random
+from collections import Counter
 
 import pytest
 from tokenizers import Tokenizer
@@ -107,3 +108,35 @@ def test_its_stages_finish_large_buckets(spark, monkeypatch):
     kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, table(texts), "").collect()}
     assert left == set(plain.classes([plain.char_shingles(x) for x in lines]))
     assert kept == set(plain.classes([plain.shingles(x) for x in texts]))
+
+
+def test_its_stages_keep_buckets_whole_in_every_pass(spark, monkeypatch, tmp_path):
+    real, seen = _links._across, str(tmp_path)
+
+    def watched(threshold, leaders):
+        work = real(threshold, leaders)
+
+        def across(batches):
+            import uuid
+
+            held = list(batches)
+            with open(f"{seen}/{leaders}-{uuid.uuid4().hex}", "w") as f:
+                f.write(" ".join({str(x) for b in held for x in b.column(0).to_pylist()}))
+            yield from work(iter(held))
+
+        return across
+
+    monkeypatch.setattr(_links, "_across", watched)
+    monkeypatch.setattr(_links, "TINY", 2)
+    monkeypatch.setattr(_links, "LEADERS", 1)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "4k"}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(stars(13, 12, 0.09))], DOCUMENTS)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    pieces = Counter((f.name.split("-")[0], x) for f in tmp_path.iterdir() for x in f.read_text().split())
+    assert any(leaders == "None" for leaders, _ in pieces) and set(pieces.values()) == {1}
