@@ -247,9 +247,10 @@ def link(members: DataFrame, known: DataFrame | Callable[[DataFrame], DataFrame]
     of them; where known is a function, it tests bitmaps itself and may leave out pairs below the threshold.
     """
     lead = members.groupBy("bucket").agg(F.min("id").alias("o_id"), F.count("*").alias("rows")).filter("rows > 1")
-    led = cut(members.join(lead, "bucket"))
+    led = cut(members.join(lead, "bucket"), by_workers=True)
     pairs = _pairs(led.filter("id != o_id"))
-    if isinstance(known, DataFrame):
+    joined = isinstance(known, DataFrame)
+    if joined:
         table = known
         for side in ("a", "b"):
             pairs = pairs.join(table.select(F.col("id").alias(side), F.col("n").alias(f"{side}_n"), F.col("map").alias(f"{side}_map")), side)
@@ -258,7 +259,7 @@ def link(members: DataFrame, known: DataFrame | Callable[[DataFrame], DataFrame]
     roots = _joined(None, verify(pairs), threshold)
 
     # what is left: buckets with several components; one of two members has no other pair
-    left = cut(known(_mixed(led.filter("rows > 2").select("bucket", "id"), roots)).select("bucket", "id", "n", "root", "map", "rows"))
+    left = cut(known(_mixed(led.filter("rows > 2").select("bucket", "id"), roots)).select("bucket", "id", "n", "root", "map", "rows"), by_workers=joined)
     small, large, depth = left.filter(F.col("rows") <= SMALL), left.filter(F.col("rows") > SMALL), 0
     tables = [led, left]
 
@@ -272,7 +273,7 @@ def link(members: DataFrame, known: DataFrame | Callable[[DataFrame], DataFrame]
 
     def open_rows(rows: DataFrame, roots: DataFrame) -> DataFrame:
         """Of ``rows``: the buckets in which several components still meet."""
-        out = cut(_mixed(rows.select("bucket", "id", "n", "map"), roots).select("bucket", "id", "n", "root", "map", "rows"))
+        out = cut(_mixed(rows.select("bucket", "id", "n", "map"), roots).select("bucket", "id", "n", "root", "map", "rows"), by_workers=True)
         tables.append(out)
         return out
 
@@ -293,7 +294,7 @@ def link(members: DataFrame, known: DataFrame | Callable[[DataFrame], DataFrame]
         split = split.withColumn("step", F.explode(F.array(*[F.lit(k + 1) for k in range(SPLITS)]))).withColumn("band", F.pmod(F.col("band") + F.col("step"), F.size("keys")))
         split = split.withColumn("bucket", F.xxhash64("bucket", F.col("keys")[F.col("band")])).drop("keys", "step")
         of = split.groupBy("bucket").agg(F.count("*").alias("rows"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("bucket", "rows")
-        split = cut(split.join(of, "bucket"))
+        split = cut(split.join(of, "bucket"), by_workers=True)
         tables.append(split)
         small = small.unionByName(split.filter(F.col("rows") <= SMALL).select(*small.columns))
         large = split.filter(F.col("rows") > SMALL)
@@ -481,14 +482,14 @@ def _joined(roots: DataFrame | None, verified: DataFrame, threshold: float) -> D
     moved = roots.join(merged.select(F.col("id").alias("root"), F.col("root").alias("new")), "root", "left").select("id", F.coalesce("new", "root").alias("root"))
     # roots that were single ids before
     single = merged.join(roots.select("id"), "id", "left_anti")
-    out = cut(moved.unionByName(single))
+    out = cut(moved.unionByName(single), by_workers=True)
     release(merged)
     return out
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, root) of every node of the links (a, b): root is the least id of its component."""
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
+    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), by_workers=True)
     while True:
         # done when every node points at one other that points at none
         ends = edges.groupBy("u").agg(F.count("*").alias("out")).select(F.col("u").alias("id"), "out").unionByName(edges.select(F.col("v").alias("id")).distinct().withColumn("out", F.lit(1).cast("long")))
@@ -501,9 +502,9 @@ def components(links: DataFrame) -> DataFrame:
         # small star: u's lesser neighbours and u move to the least of them
         lesser = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(lesser, "u")
-        edges, old = cut(hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lesser.select("u", F.col("m").alias("v"))).filter("u != v").distinct()), edges
+        edges, old = cut(hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lesser.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), by_workers=True), edges
         release(old)
     roots = edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-    out = cut(roots.unionByName(roots.select("root").distinct().select(F.col("root").alias("id"), "root")))
+    out = cut(roots.unionByName(roots.select("root").distinct().select(F.col("root").alias("id"), "root")), by_workers=True)
     release(edges)
     return out

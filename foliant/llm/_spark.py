@@ -6,11 +6,14 @@ import atexit
 import contextlib
 import ctypes
 import functools
+import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,20 +37,59 @@ def shared(spark: SparkSession) -> str:
     return base
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, written once as a table in the shared folder and read again; lost executors cost nothing of it."""
+def cut(df: DataFrame, by_workers: bool = False) -> DataFrame:
+    """The rows of ``df``, written once as a table in the shared folder and read again; lost executors cost nothing of it.
+
+    by_workers: Python workers write it, if the folder is one of files; for rows
+    that come out of an exchange, and so may lie in very many small partitions.
+    For each file and folder that Spark writes there, Hadoop starts a process
+    (chmod), which for a moment has the whole memory of the executor's JVM.
+    """
     spark = df.sparkSession
-    path = f"{shared(spark)}/foliant-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    base = shared(spark)
+    path = f"{base}/foliant-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     if not _written:
         atexit.register(_sweep)
     _written.append((spark, path))
     schema = df.schema
-    df.write.parquet(path)
+    if by_workers and base.startswith("file:"):
+        _by_workers(df, "/" + path.removeprefix("file:").lstrip("/"))
+    else:
+        df.write.parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out._foliant_path = path
     return out
 
 
+#: Bytes that a worker holds before it writes them as a row group.
+ROW_GROUP = 1 << 24
+
+
+def _by_workers(df: DataFrame, path: str) -> None:
+    """``df`` as Parquet files in the folder ``path``, one a partition that has rows: whole or not at all; a task that runs again replaces its file."""
+    os.makedirs(path)
+
+    @tidy
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, writer, held, size = f"{path}/.{uuid.uuid4().hex}", None, [], 0
+        for batch in batches:
+            if batch.num_rows:
+                writer = writer or pq.ParquetWriter(part, batch.schema, store_schema=False)
+                held.append(batch)
+                size += batch.nbytes
+                if size >= ROW_GROUP:
+                    writer.write_table(pa.Table.from_batches(held))
+                    held, size = [], 0
+        if writer:
+            if held:
+                writer.write_table(pa.Table.from_batches(held))
+            writer.close()
+            os.replace(part, f"{path}/part-{TaskContext.get().partitionId():05d}.parquet")
+        yield from ()
+
+    df.mapInArrow(written, "none int").collect()
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 

@@ -114,16 +114,16 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, n_bands: int = B
     rows = cut(signed(docs, n_bands, n_rows, width))
     text_of = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.any_value(F.struct("keys", "n", "map", "fine")).alias("s"))
     # a 64-bit name for the distinct text, unique because k1 alone is only shared by chance: then both stay apart
-    text_of = cut(text_of.select("k1", "k2", "least", "copies", "s.*", F.xxhash64("k1", "k2").alias("id")))
+    text_of = cut(text_of.select("k1", "k2", "least", "copies", "s.*", F.xxhash64("k1", "k2").alias("id")), by_workers=True)
     listed = text_of.select("id", "keys")
     members = _sorted.members(listed, _sorted.shared_keys(listed)).distinct()
-    members = cut(members)
+    members = cut(members, by_workers=True)
     wanted = text_of.join(members.select("id").distinct(), "id", "left_semi").select(_place("least", "k1", "k2").alias("key"), F.lit(0).alias("value"))
     text = F.coalesce("text", F.lit(""))
     named = docs.select(_place(F.col("doc_id").cast("long"), *text_key(text)).alias("place"), F.xxhash64(*text_key(text)).alias("id"), text.alias("text"))
     # the text of each name is taken from its least doc_id, where it lies
-    texts = cut(_sorted.where_held(named, "place", _sorted.key_files(wanted)).select("id", "text").dropDuplicates(["id"]))
-    known = cut(text_of.select("id", "n", "map", "fine").join(members.select("id").distinct(), "id", "left_semi"))
+    texts = cut(_sorted.where_held(named, "place", _sorted.key_files(wanted)).select("id", "text").dropDuplicates(["id"]), by_workers=True)
+    known = cut(text_of.select("id", "n", "map", "fine").join(members.select("id").distinct(), "id", "left_semi"), by_workers=True)
     roots = link(members, known, listed, verifier(texts, lambda data, offsets: text_bags(data, offsets, width)), threshold)
     release(members, known, texts)
     classed = text_of.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -134,13 +134,13 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, n_bands: int = B
 
 def drop_near(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class: of its least doc_id, and of rows that share it the one of the least text name."""
-    classes = cut(near_classes(docs, **options))
+    classes = cut(near_classes(docs, **options), by_workers=True)
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k1", "k2")
     best = classes.groupBy("root").agg(F.min(place).alias("p"))
     keep = _sorted.key_files(best.select(_place("p.doc_id", "p.k1", "p.k2").alias("key"), F.lit(0).alias("value")))
     own = _place(F.col("doc_id").cast("long"), *text_key(F.coalesce("text", F.lit(""))))
     kept = _sorted.where_held(docs.withColumn("_place", own), "_place", keep)
-    again = cut(classes.groupBy(_place("doc_id", "k1", "k2").alias("_place")).agg(F.count("*").alias("n")).filter("n > 1").select("_place"))
+    again = cut(classes.groupBy(_place("doc_id", "k1", "k2").alias("_place")).agg(F.count("*").alias("n")).filter("n > 1").select("_place"), by_workers=True)
     if again.isEmpty():
         return kept.drop("_place").select(*docs.columns)
     once = kept.join(again, "_place", "left_semi").dropDuplicates(["_place"])

@@ -191,7 +191,7 @@ def kept_places(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int =
     seen = cut(occurrences(docs, min_chars))
     listed = seen.select("id", "keys").filter("keys is not null")
     # a bucket of one line's text, however often it occurs, has no candidates
-    members = cut(_sorted.members(listed, _sorted.shared_keys(listed)).distinct())
+    members = cut(_sorted.members(listed, _sorted.shared_keys(listed)).distinct(), by_workers=True)
     candidates = _sorted.key_files(members.select(F.col("id").alias("key"), F.lit(0).alias("value")))
     first = cut(_sorted.first_places(seen.drop("keys"), candidates))
     # the text of each candidate is read at its first place
@@ -200,9 +200,9 @@ def kept_places(docs: DataFrame, threshold: float = THRESHOLD, min_chars: int =
     _sorted.discard(records)
     release(members)
     placed = first.join(roots, "id", "left").filter("n > 1 or root is not null").withColumn("root", F.coalesce("root", "id"))
-    placed = cut(placed.select("id", "root", F.struct("unnamed", "doc_id", "doc", "line").alias("p")))
+    placed = cut(placed.select("id", "root", F.struct("unnamed", "doc_id", "doc", "line").alias("p")), by_workers=True)
     stays = placed.groupBy("root").agg(F.min("p").alias("stay"))
-    out = cut(placed.join(stays, "root").select("id", "stay.doc", "stay.line"))
+    out = cut(placed.join(stays, "root").select("id", "stay.doc", "stay.line"), by_workers=True)
     release(seen, first, roots, placed)
     return out
 

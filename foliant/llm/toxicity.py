@@ -192,7 +192,7 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Data
 
     # among texts that share their least shingle, the first stays
     first = texts.select("doc_id", "toxic", "text").mapInArrow(keyed, "doc_id long, toxic int, key long").groupBy("key", "toxic").agg(F.min("doc_id").alias("doc_id"))
-    return cut(texts.join(F.broadcast(first.select("doc_id").distinct()), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return cut(texts.join(F.broadcast(first.select("doc_id").distinct()), "doc_id", "left_semi").dropDuplicates(["doc_id"]), by_workers=True)
 
 
 def train(chosen: DataFrame, n_features: int = FEATURES, ridge: float = 1.0, counterfactual: float = 10.0, groups=IDENTITY_TERMS, prior: float | None = None) -> Model:

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from foliant.llm import _links
+from foliant.llm import _links, _spark
 from foliant.llm.queries import tokenizer_path
 
 from . import plain
@@ -140,3 +140,28 @@ def test_its_stages_keep_buckets_whole_in_every_pass(spark, monkeypatch, tmp_pat
             spark.conf.unset(key)
     pieces = Counter((f.name.split("-")[0], x) for f in tmp_path.iterdir() for x in f.read_text().split())
     assert any(leaders == "None" for leaders, _ in pieces) and set(pieces.values()) == {1}
+
+
+def test_dealt_tables_of_its_stages_are_written_without_a_process_a_file(spark, monkeypatch):
+    # Spark's writer has Hadoop start a process for each file, which counts as another whole JVM while it begins
+    by_spark, all_of = [], []
+    writer, cut = type(spark.range(1).write), _spark.cut
+    monkeypatch.setattr(writer, "parquet", lambda self, path, *a, f=writer.parquet, **b: by_spark.append(path) or f(self, path, *a, **b))
+    for module in (_links, corpus_pipeline.line_dedup, corpus_pipeline.bagminhash):
+        monkeypatch.setattr(module, "cut", lambda df, **b: all_of.append(df) or cut(df, **b))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(stars(13, 12, 0.09))], DOCUMENTS)
+    for stage, most in ((corpus_pipeline.drop_repeated_lines, 3), (corpus_pipeline.drop_near_copies, 1)):
+        by_spark.clear()
+        all_of.clear()
+        stage(spark, docs, "").collect()
+        assert len(by_spark) <= most < len(all_of) / 4
+
+
+def test_a_table_by_workers_is_the_table(spark, monkeypatch):
+    monkeypatch.setattr(_spark, "ROW_GROUP", 1 << 12)
+    df = spark.range(0, 3000, 1, 7).selectExpr("if(id % 5 = 0, null, id) id", "cast(id as int) n", "struct(id % 2 = 0 as odd, cast(id as string) as s) p", "array(id, null) a", "cast(cast(id as string) as binary) b", "id / 3 d", "'é' || id s")
+    out = _spark.cut(df, by_workers=True)
+    assert out.dtypes == df.dtypes and sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+    none = _spark.cut(df.filter("n < 0").repartition(3), by_workers=True)
+    assert none.dtypes == df.dtypes and none.count() == 0
+    _spark.release(out, none)
