@@ -14,8 +14,8 @@ is sent to it beside. Nothing else moves, and tasks stream through their bucket.
 ``near_classes`` joins fingerprints: partitioned by set length, so only lengths
 that the threshold allows meet, indexed inside a partition by the signatures
 that a pair must share (prefix filter). Pairs are pruned by their sets' lengths
-and bitmaps and then compared in full; groups of any size take bounded work a
-document (see ``_links``).
+and bitmaps and then compared in full, where the fingerprints lie; groups of any
+size take bounded work a document (see ``_links``).
 
 Defined results: a null text is empty; texts without words have an empty
 fingerprint and are alike (1); equal keys and texts follow each other; a null
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _bytes, _sorted
-from ._links import bitmaps, folded, link, lists, packed, verifier
+from ._links import bitmaps, described, link, record, record_verifier
 from ._spark import cut, release, tidy
 
 CHAIN = 2
@@ -104,7 +104,7 @@ def fingerprint_sets(texts: pa.Array, chain: int = CHAIN) -> list[np.ndarray]:
 
 
 def written(fingerprint: np.ndarray) -> str:
-    return fingerprint.astype(">u4").tobytes().hex()
+    return raw(fingerprint).hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -220,10 +220,15 @@ def read(fingerprint: str) -> np.ndarray:
     return np.frombuffer(bytes.fromhex(fingerprint), ">u4").astype(np.uint32)
 
 
+def raw(fingerprint: np.ndarray) -> bytes:
+    """As ``written``, in half the bytes."""
+    return fingerprint.astype(">u4").tobytes()
+
+
 def print_bags(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, 52-bit element, count) of written fingerprints."""
-    value = np.frombuffer(bytes.fromhex(data.tobytes().decode()), ">u4").astype(np.uint64)
-    return _bytes.bags(np.repeat(np.arange(len(offsets) - 1), np.diff(offsets) // 8), _bytes.mix(value))
+    """(row, 52-bit element, count) of raw fingerprints."""
+    value = np.frombuffer(data.tobytes(), ">u4").astype(np.uint64)
+    return _bytes.bags(np.repeat(np.arange(len(offsets) - 1), np.diff(offsets) // 4), _bytes.mix(value))
 
 
 def partition_keys(fingerprint: np.ndarray, threshold: float) -> np.ndarray:
@@ -243,25 +248,40 @@ def partition_keys(fingerprint: np.ndarray, threshold: float) -> np.ndarray:
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id: documents whose fingerprints are linked; equal fingerprints are one before the join."""
-    prints = cut(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
-    named = prints.select("doc_id", F.xxhash64("fingerprint").alias("id"), "fingerprint")
-    distinct = cut(named.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("fingerprint").alias("fingerprint")))
+    """doc_id, class_id: documents whose fingerprints are linked; equal fingerprints have one id before the join.
+
+    Fingerprints never move: they are records beside their bitmaps, which pairs are verified by where they lie.
+    """
 
     @tidy
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end, data, offsets in _bytes.chunks(batch.column(1)):
-                row, element, count = print_bags(data, offsets)
-                fine = bitmaps(row, element, count, end - start)
-                keys = [partition_keys(read(x), threshold).tobytes() for x in batch.column(1).slice(start, end - start).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), pa.array(np.bincount(row, count, end - start).astype(np.int32)), lists(folded(fine)), packed(fine), pa.array(keys, pa.binary())], ["id", "n", "map", "fine", "keys"])
-
-    known = cut(distinct.select("id", "fingerprint").mapInArrow(keyed, "id long, n int, map array<long>, fine binary, keys binary"))
-    listed = known.select("id", "keys")
-    members = cut(_sorted.members(listed, _sorted.shared_keys(listed)).distinct())
-    roots = link(members, known.drop("keys"), listed, verifier(distinct.select("id", F.col("fingerprint").alias("text")), print_bags), threshold)
-    release(members, known)
-    classed = distinct.select("id", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+            prints = fingerprint_sets(batch.column(1))
+            keys = [partition_keys(f, threshold).tobytes() for f in prints]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([raw(f) for f in prints], pa.binary()), pa.array(keys, pa.binary())], ["doc_id", "print", "keys"])
+
+    printed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(made, "doc_id long, print binary, keys binary")
+    prints = cut(printed.withColumn("id", F.xxhash64("print")))
+    listed = prints.select("id", "keys")
+    members = cut(_sorted.members(listed, _sorted.shared_keys(listed)).distinct(), by_workers=True)
+    records = print_records(prints)
+    roots = link(members, described(records), listed.dropDuplicates(["id"]), record_verifier(records, print_bags, threshold), threshold)
+    _sorted.discard(records)
+    release(members)
+    named = prints.select("doc_id", "id")
+    classed = named.groupBy("id").agg(F.min("doc_id").alias("least")).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = classed.groupBy("root").agg(F.min("least").alias("class_id"))
-    return named.select("doc_id", "id").join(classed.join(least, "root").select("id", "class_id"), "id").select("doc_id", "class_id")
+    return named.join(classed.join(least, "root").select("id", "class_id"), "id").select("doc_id", "class_id")
+
+
+def print_records(prints: DataFrame) -> _sorted.RecordFiles:
+    """Records of (id, print)."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+        for batch in batches:
+            ids, own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), batch.column(1).cast(pa.large_binary())
+            for start, end, data, offsets in _bytes.chunks(own):
+                row, element, count = print_bags(data, offsets)
+                yield ids[start:end], np.bincount(row, count, end - start).astype(np.int32), record(bitmaps(row, element, count, end - start), own.slice(start, end - start).to_pylist())
+
+    return _sorted.record_files(prints.select("id", "print"), made)

@@ -283,3 +283,26 @@ def test_op5_finishes_large_buckets(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: r.class_id for r in bagminhash.near_classes(docs).collect()}
     assert found == dict(enumerate(plain.classes([plain.shingles(t) for t in texts])))
+
+
+def moved(spark):
+    """Bytes that stages have written to shuffles so far."""
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty(30_000)
+    stages = context.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+
+def test_spotsigs_join_leaves_fingerprints_where_they_lie(spark):
+    rng = random.Random(12)
+    rows = []
+    for _ in range(12):
+        text = " ".join(rng.choice(["the", "of", f"w{rng.randrange(10_000)}"]) for _ in range(6000))
+        rows += [text, text, *[plain.edited(rng, text, 0.003) for _ in range(4)]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    size = sum(len(r.fingerprint) // 2 for r in spotsigs.fingerprints(docs).collect())
+    before = moved(spark)
+    found = {r.doc_id: r.class_id for r in spotsigs.near_classes(docs).collect()}
+    assert found == {i: i // 6 * 6 for i in range(len(rows))}
+    print(moved(spark) - before, size)
+    assert moved(spark) - before < 1.5 * size
