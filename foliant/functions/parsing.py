@@ -93,27 +93,44 @@ def work_title(raw: Column, pattern: str = PAGE_REF) -> Column:
     return F.when(fragment | (F.length(s) < 2), "").otherwise(s)
 
 
+#: What ``strip`` takes off, as characters: those of \\s and \\p{Z} in Java's patterns.
+_SPACES = " \t\n\x0b\f\r"
+_BLANKS = _SPACES + "\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def _trimmed(text: Column, marks: str = "") -> Column:
+    """``strip`` and then ``_rtrim`` without patterns; "$" also stands before a last U+0085, which only the patterns know."""
+    plain, exact = F.trim(text, F.lit(_BLANKS)), strip(text)
+    if marks:
+        plain, exact = F.rtrim(plain, F.lit(marks)), _rtrim(exact, marks)
+    return F.when(text.contains("\x85"), exact).otherwise(plain)
+
+
 def reference_chunks(rest: Column, pattern: str = PAGE_REF) -> Column:
     """array<struct<work, start, end>> of the body of a reference.
 
     "/" parts works, ";" parts page ranges of one work. A part that begins with
-    its pages belongs to SAME_WORK; one without pages has none.
+    its pages belongs to SAME_WORK; one without pages has none. pattern: one of
+    ``page_ref``. It runs once a work and once a part, for patterns are what
+    this costs.
     """
-    flat = F.regexp_replace(F.regexp_replace(rest, "[—–]", "-"), r"(?i)\b(passim|esp)\b", "")
-    trimmed = lambda x: _rtrim(strip(x), ",;.")
-    none = F.lit(None).cast("string")
+    flat = F.regexp_replace(F.translate(rest, "—–", "--"), r"(?i)\b(passim|esp)\b", "")
+    trimmed = lambda x: _trimmed(x, ",;.")
     # each step is an array of its own, so that no pattern runs more often than it must
     works = F.filter(F.transform(F.split(flat, "/"), trimmed), lambda x: x != "")
     placed = F.transform(works, lambda x: F.struct(x.alias("x"), F.regexp_instr(x, F.lit(pattern)).alias("at")))
 
     def split(s: Column) -> Column:
-        name = F.when(s["at"] > 0, strip(F.substr(s["x"], F.lit(1), s["at"] - 1))).otherwise(s["x"])
+        name = F.when(s["at"] > 0, _trimmed(F.substr(s["x"], F.lit(1), s["at"] - 1))).otherwise(s["x"])
         parts = F.filter(F.transform(F.split(F.substr(s["x"], s["at"]), ";"), trimmed), lambda y: y != "")
         return F.struct(F.when(name == "", SAME_WORK).otherwise(name).alias("work"), F.when(s["at"] > 0, parts).otherwise(F.array(F.lit(""))).alias("parts"))
 
     def ranges(s: Column) -> Column:
-        found = F.transform(s["parts"], lambda y: F.struct(or_null(F.regexp_extract(y, pattern, 1)).alias("start"), or_null(F.regexp_extract(y, pattern, 2)).alias("end")))
-        return F.transform(found, lambda r: F.struct(s["work"].alias("work"), F.coalesce(r["start"], none).alias("start"), F.coalesce(r["end"], r["start"]).alias("end")))
+        found = F.transform(s["parts"], lambda y: F.regexp_extract(y, pattern, 0))
+        first = lambda m: F.when(m != "", F.rtrim(F.substring_index(m, "-", 1), F.lit(_SPACES)))
+        last = lambda m: F.when(m != "", F.ltrim(F.substring_index(m, "-", -1), F.lit(_SPACES)))
+        # a single page has no dash: it is its own end
+        return F.transform(found, lambda m: F.struct(s["work"].alias("work"), first(m).alias("start"), last(m).alias("end")))
 
     return F.flatten(F.transform(F.transform(placed, split), ranges))
 

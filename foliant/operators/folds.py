@@ -118,7 +118,7 @@ def citations(lines: DataFrame, keys: list[str], repeat_absorbed: bool = True, p
     citation whose text has no page yet absorbs the lines below it up to one
     that has. Lines with pages but no author continue the last citation.
     repeat_absorbed: absorbed lines are looked at once more as continuations.
-    pages: the pattern of page references.
+    pages: the pattern of page references, one of ``parsing.page_ref``.
     """
     parts = _parts(lines, keys).withColumn("line", T.strip(F.col("line"))).filter(F.col("section").isin(1, 2) & (F.col("line") != ""))
     title = T.strip(F.regexp_extract("line", parsing.TOPIC, 3))

@@ -69,3 +69,13 @@ def test_likeness():
     assert S.prefix_score("ab", "abcdefgh") == 0.0
     assert S.lookup_score("FIobbes", "Hobbes") >= 0.78 and S.lookup_score("Plato", "Hobbes") < 0.5
     assert folds.outline_labels([1, 2, 2, 2, 1, 3, 53, 4]) == ["1", "2", "2a", "2b", None, "3", "3a", "4"]
+
+
+def test_reference_chunks_runs_few_patterns(spark, capsys):
+    odd = "Laws 4a \n- 5b;;. ; passim/　Republic, ;,/ x12a 7c — 8d.\u0085"
+    chunks = one(spark, P.reference_chunks(F.lit(odd)))
+    assert [tuple(c) for c in chunks] == [("Laws", "4a", "5b"), ("Republic, ", None, None), ("x12a", "7c", "8d")]
+    spark.range(1).select(P.reference_chunks(F.col("id").cast("string")).alias("c")).explain()
+    plan = capsys.readouterr().out
+    # a part's pages are found once, as a work's are
+    assert plan.count("regexp_extract(") == 1 and plan.count("regexp_instr(") == 1
