@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import squeeze, strip
@@ -135,6 +135,20 @@ def reference_chunks(rest: Column, pattern: str = PAGE_REF) -> Column:
     return F.flatten(F.transform(F.transform(placed, split), ranges))
 
 
+def chunk_rows(rows: DataFrame, rest: str, pattern: str = PAGE_REF) -> DataFrame:
+    """``rows`` with work, start, end in place of ``rest``, a row for each of its ``reference_chunks``; no order.
+
+    Rows instead of arrays, for Spark compiles what it does with columns, but not with the elements of arrays.
+    """
+    kept = [c for c in rows.columns if c != rest]
+    flat = F.regexp_replace(F.translate(F.col(rest), "—–", "--"), r"(?i)\b(passim|esp)\b", "")
+    works = rows.select(*kept, F.explode(F.split(flat, "/")).alias("x")).withColumn("x", _trimmed(F.col("x"), ",;.")).filter("x != ''").withColumn("at", F.regexp_instr("x", F.lit(pattern)))
+    name = F.when(F.col("at") > 0, _trimmed(F.substr("x", F.lit(1), F.col("at") - 1))).otherwise(F.col("x"))
+    parts = F.when(F.col("at") > 0, F.split(F.substr("x", F.col("at")), ";")).otherwise(F.array(F.lit("")))
+    found = works.select(*kept, "at", name.alias("name"), F.explode(parts).alias("y")).withColumn("y", _trimmed(F.col("y"), ",;.")).filter("at = 0 or y != ''").withColumn("m", or_null(F.regexp_extract("y", pattern, 0)))
+    return found.select(*kept, F.when(F.col("name") == "", SAME_WORK).otherwise(F.col("name")).alias("work"), F.rtrim(F.substring_index("m", "-", 1), F.lit(_SPACES)).alias("start"), F.ltrim(F.substring_index("m", "-", -1), F.lit(_SPACES)).alias("end"))
+
+
 def is_topic_title(title: Column) -> Column:
     """No colon and no page reference, three words or more, and a word of over two letters that begins in lower case."""
     words = F.split(squeeze(title), " ")

@@ -568,8 +568,8 @@ def page_refs(spark, sf_dir):
 @_register(r"""
 SELECT l_orderkey, l_linenumber, unnest(['bk ' || l_linenumber, 'bk ' || l_linenumber, 'On Work, ch 2']) AS work, unnest([(l_partkey % 999 + 1) || 'a', (l_suppkey % 999 + 1) || 'c', (l_quantity::INT) || 'd']) AS page_start, unnest([(l_partkey % 999 + 2) || 'b', (l_suppkey % 999 + 1) || 'c', (l_quantity::INT) || 'd']) AS page_end FROM lineitem""")
 def ref_chunks(spark, sf_dir):
-    found = _refs(spark, sf_dir).select("l_orderkey", "l_linenumber", F.explode(P.reference_chunks(F.col("rest"))).alias("c"))
-    return found.select("l_orderkey", "l_linenumber", "c.work", F.col("c.start").alias("page_start"), F.col("c.end").alias("page_end"))
+    found = P.chunk_rows(_refs(spark, sf_dir).select("l_orderkey", "l_linenumber", "rest"), "rest")
+    return found.select("l_orderkey", "l_linenumber", "work", F.col("start").alias("page_start"), F.col("end").alias("page_end"))
 
 
 @_register("""

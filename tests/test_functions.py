@@ -79,3 +79,14 @@ def test_reference_chunks_runs_few_patterns(spark, capsys):
     plan = capsys.readouterr().out
     # a part's pages are found once, as a work's are
     assert plan.count("regexp_extract(") == 1 and plan.count("regexp_instr(") == 1
+
+
+def test_chunk_rows_are_the_chunks(spark):
+    import random
+
+    rng = random.Random(3)
+    parts = ["bk v", "12a", "12b-13c", "9999d — 3a", " / ", ";", ",", ".", " ", "passim", "ESP", "Laws", "\n", "\u0085", "　", "-", "é", "5a \n- 6b", ";;", "/", "x12a"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(14)))) for i in range(2000)] + [(-1, None)]
+    texts = spark.createDataFrame(rows, "i int, rest string")
+    want = texts.select("i", F.explode(P.reference_chunks(F.col("rest"))).alias("c")).select("i", "c.*").collect()
+    assert sorted(map(str, P.chunk_rows(texts, "rest").collect())) == sorted(map(str, want))
