@@ -216,7 +216,7 @@ def test_blocked_pairs_spread_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(E, "ABREAST", 16, raising=False)
     names = [(k, f"Old {'x' * (k % 9)}", "b") for k in range(120)] + [(k, f"old{k % 3}", "c") for k in (200, 201, 202)] + [(None, "Old", "b"), (300, "?!", "b"), (301, "old", None)]
     rows = spark.createDataFrame(names, "k int, name string, block string").coalesce(1)
-    pairs = E.blocked_pairs(rows, "k", "name", "block").withColumn("task", F.spark_partition_id()).collect()
+    pairs = E.blocked_pairs(rows, "k", "name", "block").select("block", "prefix", "a", "b", "name_a", "name_b", F.spark_partition_id().alias("task")).collect()
     keyed = [(k, "".join(c for c in n.lower() if c.isalnum()), b) for k, n, b in names if k is not None and b is not None and n != "?!"]
     want = [(b, m[:3], j, k, m, n) for j, m, b in keyed for k, n, c in keyed if b == c and j < k and abs(len(m) - len(n)) <= 4]
     assert sorted(tuple(r)[:6] for r in pairs) == sorted(want)
